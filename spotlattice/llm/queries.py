@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing
+from . import chat, exact_dedup, mixing, packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,5 +81,9 @@ g AS (SELECT *, max(doc_id) OVER (PARTITION BY text) AS keep_id, count(*) OVER (
 SELECT doc_id, keep_id, group_size, rn = 1 AS kept, sha256(text) AS text_sha256 FROM g
 """
 
-QUERIES = {"op1_mix_sources": op1_mix_sources, "op5_chat_format": op5_chat_format, "op6_exact_dedup": op6_exact_dedup}
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_mix_sources": op1_mix_sources, "op5_chat_format": op5_chat_format, "op6_exact_dedup": op6_exact_dedup, "op10_best_fit_packing": op10_best_fit_packing}
 SQL = {"op1_mix_sources": OP1_SQL, "op5_chat_format": OP5_SQL, "op6_exact_dedup": OP6_SQL}
