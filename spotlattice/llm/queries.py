@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, packing
+from . import chat, exact_dedup, mixing, packing, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,5 +85,9 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_mix_sources": op1_mix_sources, "op5_chat_format": op5_chat_format, "op6_exact_dedup": op6_exact_dedup, "op10_best_fit_packing": op10_best_fit_packing}
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_file_round_trip(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_mix_sources": op1_mix_sources, "op4_token_files": op4_token_files, "op5_chat_format": op5_chat_format, "op6_exact_dedup": op6_exact_dedup, "op10_best_fit_packing": op10_best_fit_packing}
 SQL = {"op1_mix_sources": OP1_SQL, "op5_chat_format": OP5_SQL, "op6_exact_dedup": OP6_SQL}
