@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, packing, token_files
+from . import chat, exact_dedup, mixing, packing, token_files, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,5 +89,25 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_round_trip(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_mix_sources": op1_mix_sources, "op4_token_files": op4_token_files, "op5_chat_format": op5_chat_format, "op6_exact_dedup": op6_exact_dedup, "op10_best_fit_packing": op10_best_fit_packing}
+def _crc(column: str, mod: int):
+    return F.crc32(F.col(column).cast("string")) % mod
+
+
+def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Texts with their label, but for the rows held out: those whose crc32 of the id leaves 0 modulo 5."""
+    marks = labels.filter(F.col("toxic").isNotNull() & (_crc("doc_id", 5) != 0)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return docs.select("doc_id", "text", "lang").join(marks, "doc_id")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.learn(labelled_rows(docs, _table(spark, sf_dir, "labels")))
+    scored = toxicity.score(docs.select("doc_id", "text", "lang"), model)
+    return scored.select(
+        "doc_id", F.coalesce(_crc("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        toxicity.rejected(model).alias("rejected"),
+    )
+
+
+QUERIES = {"op1_mix_sources": op1_mix_sources, "op4_token_files": op4_token_files, "op5_chat_format": op5_chat_format, "op6_exact_dedup": op6_exact_dedup, "op8_toxicity": op8_toxicity, "op10_best_fit_packing": op10_best_fit_packing}
 SQL = {"op1_mix_sources": OP1_SQL, "op5_chat_format": OP5_SQL, "op6_exact_dedup": OP6_SQL}
