@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, packing, token_files, toxicity
+from . import chat, exact_dedup, html_text, mixing, packing, token_files, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -109,5 +109,24 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_mix_sources": op1_mix_sources, "op4_token_files": op4_token_files, "op5_chat_format": op5_chat_format, "op6_exact_dedup": op6_exact_dedup, "op8_toxicity": op8_toxicity, "op10_best_fit_packing": op10_best_fit_packing}
-SQL = {"op1_mix_sources": OP1_SQL, "op5_chat_format": OP5_SQL, "op6_exact_dedup": OP6_SQL}
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+OP7_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = html_text.extract_pages(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return got.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+QUERIES = {"op1_mix_sources": op1_mix_sources, "op4_token_files": op4_token_files, "op5_chat_format": op5_chat_format, "op6_exact_dedup": op6_exact_dedup, "op7_top_k": op7_top_k, "op8_toxicity": op8_toxicity, "op9_html_text": op9_html_text, "op10_best_fit_packing": op10_best_fit_packing}
+SQL = {"op1_mix_sources": OP1_SQL, "op5_chat_format": OP5_SQL, "op6_exact_dedup": OP6_SQL, "op7_top_k": OP7_SQL}
