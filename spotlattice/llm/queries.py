@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, html_text, lm, mixing, packing, token_files, topk, toxicity
+from . import chat, exact_dedup, html_text, lm, mixing, near_dedup, packing, token_files, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -134,5 +134,9 @@ def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", held_out)
 
 
-QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_lm_score": op2_lm_score, "op4_token_files": op4_token_files, "op5_chat_format": op5_chat_format, "op6_exact_dedup": op6_exact_dedup, "op7_top_k": op7_top_k, "op8_toxicity": op8_toxicity, "op9_html_text": op9_html_text, "op10_best_fit_packing": op10_best_fit_packing}
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_lm_score": op2_lm_score, "op3_near_dedup": op3_near_dedup, "op4_token_files": op4_token_files, "op5_chat_format": op5_chat_format, "op6_exact_dedup": op6_exact_dedup, "op7_top_k": op7_top_k, "op8_toxicity": op8_toxicity, "op9_html_text": op9_html_text, "op10_best_fit_packing": op10_best_fit_packing}
 SQL = {"op1_mix_sources": OP1_SQL, "op5_chat_format": OP5_SQL, "op6_exact_dedup": OP6_SQL, "op7_top_k": OP7_SQL}
