@@ -104,7 +104,7 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
 
     def run(frames):
         for f in frames:
-            for name, start, data in zip(f["file"], f["start"], f["content"], strict=True):
+            for name, data in zip(f["file"], f["content"], strict=True):
                 got = TokenFile(data)
                 ends = got.ends.all()
                 begins = np.concatenate(([0], ends[:-1])).astype(np.int64)
@@ -112,12 +112,13 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
                 sums = [zlib.crc32(wide[a:b].tobytes()) for a, b in zip(begins, ends, strict=True)]
                 own = pd.array(got.doc_ids, dtype="Int64")
                 own[got.doc_ids == NULL_ID] = pd.NA
-                yield pd.DataFrame({"doc_id": own, "start": start + begins, "n_tokens": ends - begins, "ids_crc32": np.array(sums, dtype=np.int64)})
+                yield pd.DataFrame({"file": name, "doc_id": own, "begin": begins, "n_tokens": ends - begins, "ids_crc32": np.array(sums, dtype=np.int64)})
 
     before = Window.orderBy("task", "number").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
     places = manifest.select("file", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("start"))
     files = spark.read.format("binaryFile").load(f"{folder}/tokens-*.bin").select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
-    return files.join(places, "file").mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    found = files.mapInPandas(run, "file string, doc_id long, begin long, n_tokens long, ids_crc32 long")  # what is joined has no contents
+    return found.join(places, "file").select("doc_id", (F.col("start") + F.col("begin")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def token_file_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
