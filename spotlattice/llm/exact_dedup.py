@@ -26,8 +26,9 @@ def exact_groups(
     hot_share: int = 256,
     salts: int = 64,
     carry: list[str] | None = None,
+    text_out: str | None = None,
 ) -> DataFrame:
-    """One row per input row: id, keep_id, group_size, kept, text_sha256 and the columns in ``carry``.
+    """One row per input row: id, keep_id, group_size, kept, text_sha256, the columns in ``carry``, and the normalised text as ``text_out``.
 
     Texts are equal when ``normalise`` (none by default) leaves equal bytes; null counts as empty,
     and all empty texts are one group. ``keep`` says whether the row with the largest or smallest
@@ -57,7 +58,7 @@ def exact_groups(
     )
     group = Window.partitionBy("_head", "_hash", "_salt", "_text")
     found = dealt.select(
-        "_id", "_sha", "_salt", *[f"_c_{c}" for c in carry or []],
+        "_id", "_sha", "_salt", *(["_text"] if text_out else []), *[f"_c_{c}" for c in carry or []],
         F.row_number().over(group.orderBy(best_first)).alias("_rn"), pick("_id").over(group).alias("_keep"), F.count(F.lit(1)).over(group).alias("_n"),
     )
     if hot:
@@ -73,11 +74,16 @@ def exact_groups(
     return found.select(
         F.col("_id").alias(id_col), F.col("_keep").alias("keep_id"), F.col("_n").alias("group_size"), (F.col("_rn") == 1).alias("kept"),
         F.col("_sha").alias("text_sha256"), *[F.col(f"_c_{c}").alias(c) for c in carry or []],
+        *([F.col("_text").alias(text_out)] if text_out else []),
     )
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest", **options) -> DataFrame:
     """The rows that stay, with all their columns."""
-    columns = docs.columns
-    boxed = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t"), F.struct(*columns).alias("row"))
-    return exact_groups(boxed, "k", "t", keep=keep, carry=["row"], **options).filter("kept").select("row.*")
+    rest = [docs[f"`{c}`"] for c in docs.columns if c != text_col]
+    text = F.col(text_col)
+    own = text if options.get("normalise") else F.lit(None).cast("string")  # else the text that was dealt is the text itself
+    boxed = docs.select(F.col(id_col).alias("k"), text.alias("t"), F.struct(*rest).alias("row"), own.alias("own"), text.isNull().alias("none"))
+    kept = exact_groups(boxed, "k", "t", keep=keep, carry=["row", "own", "none"], text_out="dealt", **options).filter("kept")
+    back = F.when(~F.col("none"), F.col("own") if options.get("normalise") else F.col("dealt"))
+    return kept.select(*[(back.alias(c) if c == text_col else F.col(f"row.`{c}`")) for c in docs.columns])

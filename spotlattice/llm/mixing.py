@@ -61,8 +61,9 @@ def mix_sources(
     weights: tuple[int, ...] = (5, 2, 1),
     max_epochs: int = 3,
     seed: str = "mix",
+    carry: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """One row per input row: id, size, source_size, target, taken.
+    """One row per input row: id, size, source_size, target, taken, and the columns of ``carry``.
 
     A source whose budget is e times its size plus a rest is taken whole e times; the rest is cut
     from the order of the keys at the exact word, so one document per source may be taken in part
@@ -74,7 +75,10 @@ def mix_sources(
     """
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
     rows = cut(
-        docs.select(F.col(id_col).alias("_id"), _source_key(F.col(source_col)).alias("_sk"), word_count(F.col(text_col)).alias("size"), key.alias("_key"))
+        docs.select(
+            F.col(id_col).alias("_id"), _source_key(F.col(source_col)).alias("_sk"), word_count(F.col(text_col)).alias("size"), key.alias("_key"),
+            *[c.alias(f"_c_{k}") for k, c in (carry or {}).items()],
+        )
     ).select("*", F.substring("_key", 1, 2).alias("_b1"), F.substring("_key", 1, 4).alias("_b2"))
     fine = rows.groupBy("_sk", "_b1", "_b2").agg(F.sum("size").alias("_n"))
     coarse = fine.groupBy("_sk", "_b1").agg(F.sum("_n").alias("_n"))
@@ -86,9 +90,28 @@ def mix_sources(
 
     first = coarse.select("_sk", "_b1", ahead(["_sk"], ["_b1"], "_n").alias("_a1")).join(targets, "_sk")
     second = fine.select("_sk", "_b1", "_b2", ahead(["_sk", "_b1"], ["_b2"], "_n").alias("_a2")).join(first, ["_sk", "_b1"]).drop("_b1")
-    placed = rows.select("_id", "_sk", "_b2", "size", ahead(["_sk", "_b2"], ["_key", "_id", "size"], "size").alias("_a3")).join(second, ["_sk", "_b2"])
+    placed = rows.select("_id", "_sk", "_b2", "size", *[f"_c_{k}" for k in carry or {}], ahead(["_sk", "_b2"], ["_key", "_id", "size"], "size").alias("_a3")).join(second, ["_sk", "_b2"])
     budget = F.floor("target").cast("long")
     whole = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     rest = budget - whole * F.col("source_size")
     last = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), rest - (F.col("_a1") + F.col("_a2") + F.col("_a3"))))
-    return placed.select(F.col("_id").alias(id_col), "size", "source_size", "target", (whole * F.col("size") + last).cast("long").alias("taken"))
+    return placed.select(F.col("_id").alias(id_col), "size", "source_size", "target", (whole * F.col("size") + last).cast("long").alias("taken"), *[F.col(f"_c_{k}").alias(k) for k in carry or {}])
+
+
+def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The mixed corpus: every row of ``docs`` as often as the mix takes it, whole.
+
+    A document of which the last epoch takes a part is taken whole there; documents of size 0 stay
+    once. Rows that repeat id, source and text share what is taken of them evenly, to whole times.
+    All columns stay. Which texts are repeated is settled by a join on (id, source, text hash).
+    """
+    names = {"i": F.col(id_col), "t": F.col(text_col), "s": F.col(source_col)}
+    own = docs.select(*[c.alias(k) for k, c in names.items()])
+    taken = mix_sources(own, "i", "t", "s", carry={"s": F.col("s"), "h": F.xxhash64(F.coalesce("t", F.lit("")))}, **options)
+    whole = F.ceil(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1)))
+    times = taken.groupBy("i", "s", "h").agg(F.when(F.sum("size") == 0, F.lit(1)).otherwise(whole).cast("int").alias("_times")).filter("_times != 1")
+    key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    at = F.col(id_col).eqNullSafe(F.col("i")) & F.col(source_col).eqNullSafe(F.col("s")) & (key == F.col("h"))
+    counted = docs.join(times, at, "left").withColumn("_times", F.coalesce("_times", F.lit(1)))
+    repeated = F.explode(F.when(F.col("_times") > 0, F.sequence(F.lit(1), F.col("_times"))).otherwise(F.array().cast("array<int>")))
+    return counted.withColumn("_epoch", repeated).select(*[docs[f"`{c}`"] for c in docs.columns])
