@@ -1 +1,33 @@
+"""Column functions shared by operators."""
 
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+#: Gene-name prefixes by species.
+MITO = {"mouse": ("mt-",), "human": ("MT-",)}
+RIBO = {"mouse": ("Rps", "Rpl"), "human": ("RPS", "RPL")}
+
+
+def share(part: Column, whole: Column, otherwise: float | None = None) -> Column:
+    """part / whole as a double; ``otherwise`` where whole is 0 or null."""
+    out = F.try_divide(part.cast("double"), whole.cast("double"))
+    return out if otherwise is None else F.coalesce(out, F.lit(float(otherwise)))
+
+
+def starts_with_any(name: Column, prefixes: tuple[str, ...]) -> Column:
+    """Whether a name starts with one of the prefixes, whatever the case; null names do not."""
+    out = F.lit(False)
+    for p in prefixes:
+        out = out | F.coalesce(F.startswith(F.lower(name), F.lit(p.lower())), F.lit(False))
+    return out
+
+
+def cluster_order(label: Column) -> list[Column]:
+    """Numbers in their order, then other labels."""
+    return [label.try_cast("int").asc_nulls_last(), label.asc()]
+
+
+def run_tag(prob: Column, nms: Column, growth: Column, key: Column) -> Column:
+    return F.format_string("sdP%.2f_sdN%.2f_vpx%d_cl%s", prob, nms, growth, key)

@@ -22,3 +22,11 @@ def ship(spark: SparkSession) -> SparkSession:
         sc.addPyFile(shutil.make_archive(os.path.join(top, own.name), "zip", os.path.join(top, "src"), own.name))
         setattr(sc, _SHIPPED, True)
     return spark
+
+
+def cut(df):
+    """Eager, reliable checkpoint in the session's spark.checkpoint.dir, or in a local folder where none is set (tests, one machine)."""
+    sc = df.sparkSession.sparkContext
+    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spotlattice-"))
+    return df.checkpoint(eager=True)
