@@ -85,7 +85,7 @@ class Queries:
         if most < 2**53:
             got = np.rint(self.f[who] @ x.astype(np.float64).T).astype(np.int64)
         else:  # sums that doubles do not hold exactly
-            got = (self.x[who].astype(object) @ x.astype(object).T).astype(np.int64)
+            got = np.clip(self.x[who].astype(object) @ x.astype(object).T, LOWEST, NO_ID).astype(np.int64)
         fine = ids[None, :] != self.ids[who][:, None]
         scores = np.concatenate([self.best[who], np.where(fine, got, LOWEST)], axis=1)
         owners = np.concatenate([self.best_ids[who], np.broadcast_to(ids, got.shape)], axis=1)
@@ -159,7 +159,7 @@ def top_k(
     candidates of a query are all rows with another id and a vector of the same length (all of
     them if fewer than k). Ties go to the smaller id; rows without an id are candidates, last in
     ties, and never queries. Null and empty vectors and those with null or non-finite components
-    take no part; a query among repeated rows is answered once per row. No rows give no rows.
+    take no part; scores beyond 64 bits are cut to them; a query among repeated rows is answered once per row. No rows give no rows.
     """
     spark = ship(vectors.sparkSession)
     rows = usable(vectors, id_col, vector_col, scale)
