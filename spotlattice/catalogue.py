@@ -400,12 +400,13 @@ def label_boundary(spark, d):
 
 @query()
 def adaptive_tiles(spark, d):
-    """Tiles over a mask of 64 x 64 pixels (32 native pixels each) that events mark as tissue."""
-    hit = table(spark, d, "events").select(F.floor(F.col("user_id") * 64 / 150).cast("int").alias("y"), F.floor(F.col("value") * 64 / 491).cast("int").alias("x"), F.lit(1).alias("t")).distinct()
-    grid = spark.range(64 * 64).select(F.lit(1).alias("slide"), F.floor(F.col("id") / 64).cast("int").alias("y"), (F.col("id") % 64).cast("int").alias("x"))
+    """Tiles over a mask of 16 x 16 pixels (128 native pixels each) whose tissue are the places of events."""
+    at = F.col("user_id") % 16
+    hit = table(spark, d, "events").filter("value < 300").select(at.cast("int").alias("y"), F.floor(F.col("value") * 16 / 491).cast("int").alias("x"), F.lit(1).alias("t")).distinct()
+    grid = spark.range(16 * 16).select(F.lit(1).alias("slide"), F.floor(F.col("id") / 16).cast("int").alias("y"), (F.col("id") % 16).cast("int").alias("x"))
     mask = grid.join(hit, ["y", "x"], "left").select("slide", "y", "x", F.coalesce("t", F.lit(0)).cast("long").alias("tissue"))
-    boxes = spark.createDataFrame([(1, 0, 0, 64, 64)], "slide int, y0 int, x0 int, y1 int, x1 int")
-    return tiler.adaptive_tiles(boxes, tiler.prefix_sums(mask), 32, 2048, 2048, 1024, 256, overlap=8)
+    boxes = spark.createDataFrame([(1, 0, 0, 16, 16)], "slide int, y0 int, x0 int, y1 int, x1 int")
+    return tiler.adaptive_tiles(boxes, tiler.prefix_sums(mask), 128, 2048, 2048, 1024, 256, overlap=8)
 
 
 @query("""SELECT d.d AS dataset, printf('sdP%.2f_sdN%.2f_vpx%d_cl%s', p.p, n.n, r.r, c.c) AS run_tag FROM (VALUES ('GH_LHb'), ('SH_LHb')) d(d), (VALUES (0.3::DOUBLE), (0.35)) p(p), (VALUES (0.5::DOUBLE), (0.6)) n(n),
