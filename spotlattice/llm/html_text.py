@@ -48,6 +48,10 @@ CLOSES = {
     "option": (frozenset(["option"]), frozenset(["select"])),
     "body": (frozenset(["head"]), frozenset()),
 }
+#: Words that make a class name speak of a page's layout and not of what the element holds.
+LAYOUT = frozenset("has with no without layout".split())
+#: How an element is left out: not at all, by a name that a marked article within overrides, or by what it is.
+IN, BY_NAME, BY_KIND = 0, 1, 2
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -55,26 +59,36 @@ PUNCTUATION = re.compile(r"[.,;:!?…。、！？；：]")
 SPACE = re.compile(r"\s+")
 
 
-def _left_out(tag: str, attributes: str) -> bool:
+def _named_out(tag: str, value: str) -> bool:
+    for token in value.split():
+        parts = {x.lower() for x in NAME_PART.findall(token)}
+        if tag in ("html", "body", "article", "main"):
+            parts = {token.lower()}
+        if parts & NAMES and not parts & LAYOUT:
+            return True
+    return False
+
+
+def _left_out(tag: str, attributes: str) -> int:
     if tag in LEFT_OUT:
-        return True
+        return BY_KIND
     if not attributes or "=" not in attributes and "hidden" not in attributes:
-        return False
+        return IN
+    out = IN
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
-            if any(x.lower() in NAMES for x in NAME_PART.findall(value)):
-                return True
+        if name in ("class", "id") and _named_out(tag, value):
+            out = max(out, BY_NAME)
         elif name == "role" and value.strip().lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            out = BY_KIND
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            out = BY_KIND
+    return out
 
 
 def blocks_of(page: str) -> list[tuple[str, str, int, bool, bool]]:
     """(path, text, characters in links, left out, inside a marked article) of each block with text, in page order."""
-    stack: list[tuple[str, bool, bool]] = []  # tag, left out, in article
+    stack: list[tuple[str, int, bool]] = []  # tag, left out, in article
     out: list[tuple[str, str, int, bool, bool]] = []
     text: list[str] = []
     links = 0
@@ -85,8 +99,8 @@ def blocks_of(page: str) -> list[tuple[str, str, int, bool, bool]]:
             said = SPACE.sub(" ", html.unescape("".join(text))).strip()
             if said:
                 path = "/".join(t for t, _, _ in stack if t in BLOCK)
-                _, off, inside = stack[-1] if stack else ("", False, False)
-                out.append((path, said, links, off, inside))
+                _, off, inside = stack[-1] if stack else ("", IN, False)
+                out.append((path, said, links, off > IN, inside))
             text.clear()
         links = 0
 
@@ -128,8 +142,11 @@ def blocks_of(page: str) -> list[tuple[str, str, int, bool, bool]]:
                         del stack[i:]
                         if tag not in ("td", "th", "tr", "li", "dt", "dd"):
                             break
-            _, off, inside = stack[-1] if stack else ("", False, False)
-            stack.append((tag, off or _left_out(tag, m[3]), inside or tag in ("article", "main") or 'role="main"' in m[3]))
+            _, off, inside = stack[-1] if stack else ("", IN, False)
+            own, marked = _left_out(tag, m[3]), tag in ("article", "main") or 'role="main"' in m[3]
+            if marked and not own and off == BY_NAME and not inside:
+                off = IN
+            stack.append((tag, max(off, own), inside or marked and not own))
         else:
             if tag in BLOCK:
                 flush()

@@ -175,6 +175,15 @@ def test_main_text():
     assert len(html_text.main_text("<p>" + "word, " * 200_000 + "</p>")) == 1_199_999
 
 
+def test_names_leave_out_elements_but_not_layouts():
+    words = "<p>Long paragraph, with words, and more of them.</p>"
+    assert html_text.main_text(f'<div class="content-with-sidebar">{words}</div>').startswith("Long")
+    assert html_text.main_text(f'<div class="sidebar-page"><article>{words}</article></div>').startswith("Long")
+    assert html_text.main_text(f'<article>{words}</article><article class="comment"><p>Reader, says.</p></article>').count("\n") == 0
+    assert html_text.main_text(f'<main>{words}<div id="userComments"><p>No, thanks.</p></div><div class="adSlot">Buy.</div></main>').endswith("them.")
+    assert html_text.main_text(f"<aside><article>{words}</article></aside>") == ""
+
+
 def test_extract_pages(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x, y</p>", "old"), (None, None, None, None), (1, "u", "<p>x, y</p>", "old")], "page_id long, url string, html string, text string")
     got = html_text.extract_pages(pages)
