@@ -26,7 +26,7 @@ from .storage import cut
 
 SYMBOLS, CLASSES = 1024, 64
 HEAD = SYMBOLS - CLASSES  # symbol 0 is the end of a text
-DIMS, NOISE, BATCH = 24, 64, 1024
+DIMS, NOISE, BATCH = 24, 32, 1024
 
 
 def _classes(w: Words) -> np.ndarray:
@@ -170,7 +170,7 @@ class Weights:
 
 
 def _scatter(rows: int, at: np.ndarray, values: np.ndarray) -> np.ndarray:
-    order = np.argsort(at, kind="stable")
+    order = np.argsort(at.astype(np.int16), kind="stable")  # 16 bits are sorted by radix
     own = at[order]
     first = np.flatnonzero(np.diff(own, prepend=-1))
     out = np.zeros((rows, *values.shape[1:]), dtype=np.float32)
@@ -181,7 +181,7 @@ def _scatter(rows: int, at: np.ndarray, values: np.ndarray) -> np.ndarray:
 class Trainer:
     """Noise-contrastive estimation with one noise sample a batch and adaptive rates."""
 
-    def __init__(self, weights: Weights, unigram: np.ndarray, seed: int, rate: float = 0.08):
+    def __init__(self, weights: Weights, unigram: np.ndarray, seed: int, rate: float = 0.2):
         self.w, self.rate, self.rng, self.seen = weights, rate, np.random.default_rng(seed), 0
         self.edges = np.cumsum(unigram)
         self.shift = (np.log(NOISE) + np.log(unigram)).astype(np.float32)
@@ -203,9 +203,9 @@ class Trainer:
         down = -1 / (1 + np.exp(-np.clip(guess @ qn.T + w.bias[noise] - self.shift[noise], -30, 30)))
         back = up[:, None] * q + down @ qn
         grads = [
-            _scatter(SYMBOLS, one, back @ w.near.T) + _scatter(SYMBOLS, two, back @ w.far.T),
-            _scatter(SYMBOLS, s, up[:, None] * guess) + _scatter(SYMBOLS, noise, down.T @ guess),
-            _scatter(SYMBOLS, s, up) + _scatter(SYMBOLS, noise, down.sum(axis=0)),
+            _scatter(SYMBOLS, np.concatenate([one, two]), np.concatenate([back @ w.near.T, back @ w.far.T])),
+            _scatter(SYMBOLS, np.concatenate([s, noise]), np.concatenate([up[:, None] * guess, down.T @ guess])),
+            (np.bincount(s, up, SYMBOLS) + np.bincount(noise, down.sum(axis=0), SYMBOLS)).astype(np.float32),
             r1.T @ back,
             r2.T @ back,
         ]

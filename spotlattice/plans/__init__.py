@@ -1 +1 @@
-
+"""Runs of several stages."""

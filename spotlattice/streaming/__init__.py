@@ -1 +1 @@
-
+"""Work on streams."""
