@@ -66,19 +66,22 @@ def shingles(texts: list[bytes | None], size: int) -> tuple[np.ndarray, np.ndarr
 
 @dataclass
 class Frequencies:
-    """Shingles in at least ``least`` of ``total`` documents, sorted, with their counts."""
+    """Shingles in at least ``least`` of ``total`` documents, sorted, with their counts; the last ``low`` bits of a hash are not kept."""
 
     h: np.ndarray
     df: np.ndarray
     total: int
     least: int
     strength: float
+    low: int = 0
 
     def weights(self, h: np.ndarray, tf: np.ndarray) -> np.ndarray:
         rare = np.ones(len(h), dtype=np.float32)
         if len(self.h) and self.total > self.least:
-            at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
-            hit = self.h[at] == h
+            low = np.uint64(self.low)
+            known = (h >> low) << low
+            at = np.minimum(np.searchsorted(self.h, known), len(self.h) - 1)
+            hit = self.h[at] == known
             scale = np.log(self.total / self.least)
             rare[hit] -= (np.log(self.df[at[hit]] / self.least) / scale).astype(np.float32)
         return tf.astype(np.float32) * (1 + np.float32(self.strength) * rare)
@@ -149,7 +152,7 @@ def count_shingles(texts: DataFrame, total: int, s: Settings) -> Frequencies:
     # what came is at most (shingles of a mean document) / common rows
     h = got["h"].to_numpy(dtype=np.int64).view(np.uint64)
     order = np.argsort(h)
-    return Frequencies(h[order] << low, got["df"].to_numpy(dtype=np.int64)[order], total, least, s.idf) if len(h) else Frequencies(h, np.zeros(0, np.int64), total, least, s.idf)
+    return Frequencies(h[order] << low, got["df"].to_numpy(dtype=np.int64)[order], total, least, s.idf, int(low)) if len(h) else Frequencies(h, np.zeros(0, np.int64), total, least, s.idf)
 
 
 class Sampler:

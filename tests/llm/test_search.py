@@ -145,6 +145,25 @@ def test_near_groups_match_all_pairs(spark, block):
     assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {min(ids) for ids in groups.values()}
 
 
+def test_frequent_shingles_weigh_less(spark):
+    texts = [f"all of them say this {i} a{i} b{i} c{i} d{i}" for i in range(40)]
+    f = near_dedup.count_shingles(spark.createDataFrame([(t.encode(),) for t in texts], "text binary"), 40, Settings())
+    h, begin = near_dedup.shingles([t.encode() for t in texts], 5)
+    w = [f.weights(h[a:b], np.full(b - a, 3)) for a, b in zip(begin[:-1], begin[1:], strict=True)]
+    assert all(np.isclose(x[0], 3.0) and np.allclose(x[1:], 3.6) for x in w)
+
+
+def test_classes_follow_the_idf(spark):
+    """The pair has similarity above 0.8 by counts alone, and below with what every document has weighing less."""
+    shared = " ".join(f"s{i}" for i in range(88))
+    pair = [f"{shared} " + " ".join(f"{x}{i}" for i in range(10)) for x in "pq"]
+    data = list(enumerate(pair + [f"{shared} " + " ".join(f"o{k}x{i}" for i in range(300)) for k in range(60)]))
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    of = lambda s: {r.doc_id: r.class_id for r in near_dedup.near_groups(docs, settings=s).collect()}
+    assert of(Settings(idf=0.0))[1] == 0
+    assert of(Settings())[1] == 1 and len(near_classes(data, Settings())) == len(data)
+
+
 def test_near_groups_edge_cases(spark):
     schema = "doc_id long, text string"
     assert near_dedup.near_groups(spark.createDataFrame([], schema)).count() == 0
