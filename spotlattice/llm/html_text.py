@@ -23,6 +23,9 @@ from ..session import ship
 #: Elements of HTML by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe object svg canvas math textarea title audio video noframes noembed xmp".split())
+#: Of RAW, those that hold text alone: nothing but their own end tag ends them, whatever the text looks like.
+TEXT_ONLY = frozenset("script style noscript iframe textarea title noframes noembed xmp".split())
+END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for t in TEXT_ONLY}
 BLOCK = frozenset(
     "html head body address article aside blockquote caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul".split()
@@ -104,25 +107,30 @@ def blocks_of(page: str) -> list[tuple[str, str, int, bool, bool]]:
             text.clear()
         links = 0
 
-    at, raw = 0, ""
-    for m in TOKEN.finditer(page):
+    at, seen, raw = 0, 0, ""
+    while m := TOKEN.search(page, seen):
+        seen = m.end()
+        tag = (m[2] or "").lower()
+        alone = tag in TEXT_ONLY and not m[1] and not m[3].rstrip().endswith("/")
+        if alone:
+            end = END[tag].search(page, seen)
+            seen = end.end() if end else len(page)
         if raw:
-            if not (m[1] and m[2].lower() == raw):
-                continue
-            raw, at = "", m.end()
-            text.append(" ")
-            continue
-        if m.start() < at:
+            if m[1] and tag == raw:
+                raw, at = "", seen
+                text.append(" ")
             continue
         said = page[at : m.start()]
         if said:
             text.append(said)
             if any(t == "a" for t, _, _ in stack):
                 links += len(said)
-        at = m.end()
+        at = seen
         if m[2] is None:
             continue
-        tag = m[2].lower()
+        if alone:
+            text.append(" ")
+            continue
         if not m[1]:
             if tag in BLOCK or tag == "hr":
                 flush()

@@ -203,6 +203,15 @@ def test_names_leave_out_elements_but_not_layouts():
     assert html_text.main_text(f"<aside><article>{words}</article></aside>") == ""
 
 
+@pytest.mark.parametrize("said", ["for(var i=0;i<n;i++){f(i);}", 'var s="<!--";', "if(a<b){s='x}", 'u="<a href=\'";', "t='</p><p>no, no.';", "x</scripts>y"])
+def test_scripts_end_at_their_own_tag(said):
+    for tag in ("script", "SCRIPT", "style", "template><script"):
+        end = tag.replace("template><script", "script></template")
+        got = html_text.main_text(f"<p>Head of it, here.</p><{tag}>{said}</{end}\n><p>Article text, and more.</p><script>y</script><p>The end, too.</p>")
+        assert got == "Head of it, here.\nArticle text, and more.\nThe end, too.", tag
+    assert html_text.main_text(f"<p>Head, here.</p><script>{said}") == "Head, here."
+
+
 def test_extract_pages(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x, y</p>", "old"), (None, None, None, None), (1, "u", "<p>x, y</p>", "old")], "page_id long, url string, html string, text string")
     got = html_text.extract_pages(pages)
