@@ -32,6 +32,9 @@ BLOCK = frozenset(
 )
 LEFT_OUT = frozenset("head nav header footer aside form button select dialog menu search fieldset".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Short blocks that belong to the text around them, and the elements between the two.
+PARTS = frozenset("li td th dt dd pre".split())
+BETWEEN = PARTS | frozenset("ul ol menu dl dir table tbody thead tfoot tr".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs header masthead footer "
@@ -89,10 +92,10 @@ def _left_out(tag: str, attributes: str) -> int:
     return out
 
 
-def blocks_of(page: str) -> list[tuple[str, str, int, bool, bool]]:
-    """(path, text, characters in links, left out, inside a marked article) of each block with text, in page order."""
-    stack: list[tuple[str, int, bool]] = []  # tag, left out, in article
-    out: list[tuple[str, str, int, bool, bool]] = []
+def blocks_of(page: str) -> list[tuple[str, str, int, bool, bool, tuple[int, ...]]]:
+    """(path, text, characters in links, left out, inside a marked article, numbers of the path's elements) of each block with text, in page order."""
+    stack: list[tuple[str, int, bool, int]] = []  # tag, left out, in article, number of the element
+    out: list[tuple[str, str, int, bool, bool, tuple[int, ...]]] = []
     text: list[str] = []
     links = 0
 
@@ -101,9 +104,9 @@ def blocks_of(page: str) -> list[tuple[str, str, int, bool, bool]]:
         if text:
             said = SPACE.sub(" ", html.unescape("".join(text))).strip()
             if said:
-                path = "/".join(t for t, _, _ in stack if t in BLOCK)
-                _, off, inside = stack[-1] if stack else ("", IN, False)
-                out.append((path, said, links, off > IN, inside))
+                path = "/".join(t for t, _, _, _ in stack if t in BLOCK)
+                _, off, inside, _ = stack[-1] if stack else ("", IN, False, 0)
+                out.append((path, said, links, off > IN, inside, tuple(i for t, _, _, i in stack if t in BLOCK)))
             text.clear()
         links = 0
 
@@ -123,7 +126,7 @@ def blocks_of(page: str) -> list[tuple[str, str, int, bool, bool]]:
         said = page[at : m.start()]
         if said:
             text.append(said)
-            if any(t == "a" for t, _, _ in stack):
+            if any(t == "a" for t, _, _, _ in stack):
                 links += len(said)
         at = seen
         if m[2] is None:
@@ -150,11 +153,11 @@ def blocks_of(page: str) -> list[tuple[str, str, int, bool, bool]]:
                         del stack[i:]
                         if tag not in ("td", "th", "tr", "li", "dt", "dd"):
                             break
-            _, off, inside = stack[-1] if stack else ("", IN, False)
+            _, off, inside, _ = stack[-1] if stack else ("", IN, False, 0)
             own, marked = _left_out(tag, m[3]), tag in ("article", "main") or 'role="main"' in m[3]
             if marked and not own and off == BY_NAME and not inside:
                 off = IN
-            stack.append((tag, max(off, own), inside or marked and not own))
+            stack.append((tag, max(off, own), inside or marked and not own, seen))
         else:
             if tag in BLOCK:
                 flush()
@@ -170,15 +173,36 @@ def blocks_of(page: str) -> list[tuple[str, str, int, bool, bool]]:
     return out
 
 
+def _with_parts(found: list, keep: np.ndarray, dense: np.ndarray) -> np.ndarray:
+    """``keep``, and list items, table cells and the like whose nearest container with blocks of its own has a kept one."""
+    steps = [[*zip(b[0].split("/"), b[5], strict=True)] if b[5] else [] for b in found]
+    part = [any(t in PARTS for t, _ in x) for x in steps]
+    holds: dict[int, bool] = defaultdict(bool)
+    for x, k, own in zip(steps, keep, part, strict=True):
+        if not own:
+            for _, i in x[-2:]:
+                holds[i] |= bool(k)
+    out = keep.copy()
+    for n, x in enumerate(steps):
+        if part[n] and not dense[n]:
+            out[n] |= next((holds[i] for t, i in reversed(x) if t not in BETWEEN and i in holds), False)
+    return out
+
+
 def main_text(page: str | None, share: float = 0.2) -> str:
-    """The blocks whose fused, smoothed ratio is at least ``share`` of the page's text-weighted mean, and headings among them."""
+    """The blocks whose fused, smoothed ratio is at least ``share`` of the page's text-weighted mean, and headings among them.
+
+    Of a marked article all blocks stay but those on paths that are links for more than half, unless
+    all are. Elsewhere list items, table cells and preformatted text stay with the text around them.
+    """
     found = [b for b in blocks_of(page or "") if not b[3]]
-    if any(b[4] for b in found):
+    marked = any(b[4] for b in found)
+    if marked:
         found = [b for b in found if b[4]]
     if not found:
         return ""
     size, marks, links, n = (defaultdict(int) for _ in range(4))
-    for path, said, linked, _, _ in found:
+    for path, said, linked, *_ in found:
         size[path] += len(said)
         marks[path] += len(PUNCTUATION.findall(said))
         links[path] += min(linked, len(said))
@@ -191,12 +215,16 @@ def main_text(page: str | None, share: float = 0.2) -> str:
     def smooth(v: np.ndarray) -> np.ndarray:
         return np.convolve(np.pad(v, 1, mode="edge"), kernel, mode="valid")
 
-    fused = np.sqrt(smooth(length * plain) * (smooth(signs) + 0.5)) * plain
-    weights = np.array([len(b[1]) for b in found], dtype=np.float64)
-    keep = fused >= share * float((fused * weights).sum() / weights.sum())
+    dense = plain < 0.5
+    if marked:
+        keep = ~dense | dense.all()
+    else:
+        fused = np.sqrt(smooth(length * plain) * (smooth(signs) + 0.5)) * plain
+        weights = np.array([len(b[1]) for b in found], dtype=np.float64)
+        keep = _with_parts(found, fused >= share * float((fused * weights).sum() / weights.sum()), dense)
     headed = [b[0].rpartition("/")[2] in HEADINGS for b in found]
     good = {b[0].rpartition("/")[0] for b, k, h in zip(found, keep, headed, strict=True) if k and not h}
-    return "\n".join(b[1] for b, k, h in zip(found, keep, headed, strict=True) if (k and not h) or (h and (b[0].rpartition("/")[0] in good or (k and not good))))
+    return "\n".join(b[1] for b, k, h in zip(found, keep, headed, strict=True) if (k and not h) or (h and (b[0].rpartition("/")[0] in good or (k and (marked or not good)))))
 
 
 def extract_pages(pages: DataFrame, html_col: str = "html", column: str = "text") -> DataFrame:

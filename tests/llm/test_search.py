@@ -212,6 +212,24 @@ def test_scripts_end_at_their_own_tag(said):
     assert html_text.main_text(f"<p>Head, here.</p><script>{said}") == "Head, here."
 
 
+@pytest.mark.parametrize("around", ["article", "main", "div", "div class='text'"])
+def test_lists_and_tables_stay_with_their_text(around):
+    para = "Words of a paragraph, and more of them. " * 10
+    items = [f"item number {i}" for i in range(6)]
+    rows = [[f"name {i}", f"{i} kg"] for i in range(4)]
+    table = "".join("<tr>" + "".join(f"<td>{c}</td>" for c in row) + "</tr>" for row in rows)
+    menu = "".join(f"<li><a href=/{i}>Go to {i}</a>" for i in range(5))
+    body = f"<p>{para}</p><ul>{''.join(f'<li>{x}</li>' for x in items)}</ul><p>{para}</p><table>{table}</table><dl><dt>term<dd>said of it</dl><p>{para}</p><pre>x = 1</pre><p>{para}"
+    got = html_text.main_text(f"<body><ul>{menu}</ul><{around}>{body}</{around.split()[0]}></body>").split("\n")
+    p = para.strip()
+    assert got == [p, *items, p, *[c for row in rows for c in row], "term", "said of it", p, "x = 1", p]
+
+
+def test_links_leave_a_marked_article():
+    article = "<article><h1>Title</h1><div><p>Text of it, here.</p></div><ul>{}</ul></article>".format("".join(f"<li><a href=/{i}>Other page {i}</a>" for i in range(4)))
+    assert html_text.main_text(article) == "Title\nText of it, here."
+
+
 def test_extract_pages(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x, y</p>", "old"), (None, None, None, None), (1, "u", "<p>x, y</p>", "old")], "page_id long, url string, html string, text string")
     got = html_text.extract_pages(pages)
