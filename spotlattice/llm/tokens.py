@@ -3,8 +3,8 @@
 Both vocabularies split a text before every single blank that other text surrounds, so a text is
 encoded piece by piece and equal pieces are encoded once. A new piece of Latin letters, digits and
 ASCII signs goes straight to the library's BPE model, word by word; any other goes through the
-whole library. Texts with white space other than single blanks and line feeds between words go to
-the library whole.
+whole library. Texts with white space other than single blanks and line feeds between words, and
+texts that may hold an added token of the vocabulary, go to the library whole.
 """
 
 from __future__ import annotations
@@ -54,9 +54,10 @@ class Encoder:
         if sys.byteorder != "little":
             raise OSError("ids are kept in the machine's byte order, which has to be little-endian")
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         if self.library.get_vocab_size(with_added_tokens=True) > 65_536:
             raise ValueError("ids do not fit 16 bits")
+        others = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values() if "<|" not in t.content]
+        self.added = re.compile("|".join(others), re.I) if others else None
         self.tokenize = self.library.model.tokenize
         self.letters = dict(enumerate(_byte_letters()))
         self.keeps = leading_blank
@@ -94,7 +95,7 @@ class Encoder:
         out = []
         pieces, keeps = self.pieces, self.keeps
         for t in texts:
-            if "  " in t or "\n\n" in t or "\n " in t or " \n" in t or t[:1] in " \n" or t[-1:] in " \n" or ODD.search(t):
+            if "  " in t or "\n\n" in t or "\n " in t or " \n" in t or t[:1] in " \n" or t[-1:] in " \n" or ODD.search(t) or "<|" in t or (self.added and self.added.search(t)):
                 out.append(self._whole([t])[0])
                 continue
             plain = PLAIN.fullmatch(t)

@@ -33,6 +33,17 @@ def test_ids_are_the_librarys(enc):
     assert [x.tolist() for x in enc.encode(TEXTS)] == [expected(enc, t) for t in TEXTS]  # from the caches
 
 
+@pytest.mark.parametrize("file,blank", FILES, ids=["byte", "word"])
+def test_added_tokens_are_the_untouched_librarys(file, blank):
+    from tokenizers import Tokenizer
+
+    plain, own = Tokenizer.from_file(vocabulary_path(file)), Encoder(vocabulary_path(file), blank)
+    texts = [*TEXTS, "a <|endoftext|> b", "a<|startoftext|>b", "<|endoftext|>", "x\n<|endoftext|>y", "a <|ENDOFTEXT|> b", "a <| b", "a <|endoftext|", "a b"]
+    for _ in range(2):
+        assert [x.tolist() for x in own.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(own.encode(["a <|endoftext|> b"])[0]) == (4 if blank else 3)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet=st.sampled_from(list("abAB 'st.,!-0123\nÉéßñ\t\u00a0日́<|>")), max_size=40))
 def test_ids_of_any_text(t):
