@@ -3,7 +3,7 @@
 A word is the sum of hashed embeddings: two independent hashes of the word and one each of its
 first four and five bytes (insults of one stem share them). Filters over one, two and three
 neighbouring words are max-pooled over the whole text and feed a logistic output. Only the text
-goes in. Thresholds for the decision are set by language on rows that training left out.
+goes in. Thresholds for the decision are set by language on all labelled rows that training left out.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ from ..session import ship
 from .bytewords import LETTERS, Words, runs_of, slices
 
 WIDTHS = (1, 2, 3)
+#: Thresholds tried for the decision.
+TRIED = np.linspace(0.2, 0.8, 61)
 SALTS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -96,8 +99,11 @@ def _start(got: np.ndarray, begin: np.ndarray, y: np.ndarray, buckets: int, dims
     return Model(tables, w, [np.zeros(filters, np.float32) for _ in WIDTHS], np.full(filters * len(WIDTHS), 0.3, np.float32), -2.0)
 
 
-def fit(texts: list[bytes | None], labels: np.ndarray, buckets: int = 1 << 16, dims: int = 8, filters: int = 8, epochs: int = 12, batch: int = 32, rate: float = 0.01, seed: int = 7) -> Model:
-    """Adam on the log loss (``buckets``: up to 65,536); the gradient of max pooling reaches only the words that won."""
+def fit(texts: list[bytes | None], labels: np.ndarray, buckets: int = 1 << 16, dims: int = 8, filters: int = 8, epochs: int = 12, batch: int = 32, rate: float = 0.01, seed: int = 7, share: float | None = None) -> Model:
+    """Adam on the log loss (``buckets``: up to 65,536); the gradient of max pooling reaches only the words that won.
+
+    ``share``: that of toxic rows among all that these stand for; rows of the two labels weigh accordingly.
+    """
     y = np.asarray(labels, dtype=np.float32)
     got, begin = features(texts or [b""], buckets)
     if not len(y):
@@ -110,6 +116,8 @@ def fit(texts: list[bytes | None], labels: np.ndarray, buckets: int = 1 << 16, d
     g2 = np.zeros(model.tables.shape[:2], dtype=np.float32)
     step = 0
     sizes = np.diff(begin)
+    mine = float(y.mean()) if len(y) else 0.0
+    worth = np.where(y == 1, share / mine, (1 - share) / (1 - mine)).astype(np.float32) if share is not None and 0 < mine < 1 else np.ones_like(y)
     for _ in range(epochs if len(y) else 0):
         order = rng.permutation(len(y))
         for at in range(0, len(y), batch):
@@ -125,7 +133,7 @@ def fit(texts: list[bytes | None], labels: np.ndarray, buckets: int = 1 << 16, d
                 pooled.append(np.maximum(np.take_along_axis(z, top, axis=0), 0))
             x = np.concatenate(pooled, axis=1)
             p = 1 / (1 + np.exp(-np.clip(x @ model.out + model.out_bias, -30, 30)))
-            d = ((p - y[own]) / len(own)).astype(np.float32)
+            d = ((p - y[own]) * worth[own] / len(own)).astype(np.float32)
             grads_w, grads_b = [], []
             ge = np.zeros_like(e)
             for k, top, z in zip(WIDTHS, wins, pooled, strict=True):
@@ -156,24 +164,34 @@ def fit(texts: list[bytes | None], labels: np.ndarray, buckets: int = 1 << 16, d
     return model
 
 
-def calibrate(model: Model, texts: list[bytes | None], labels: np.ndarray, langs: list, least: int = 20) -> Model:
-    """Thresholds by language with the fewest errors on these rows, the nearest to 0.5 of equals.
+def calibrate(model: Model, counts: pd.DataFrame, least: int = 20) -> Model:
+    """Thresholds by language with the fewest errors, the nearest to 0.5 of equals.
 
-    A language with fewer than ``least`` rows of either label has the threshold of all rows, which
-    is 0.5 if they are too few as well.
+    ``counts``: lang, toxic, place, n: how many labelled rows have a score that reaches ``place`` of
+    the ``TRIED`` thresholds; a null place stands for rows that training used. The others of a
+    language and label stand for these too. A language with fewer than ``least`` others of either
+    label has the threshold of all rows, which is 0.5 if they are too few as well.
     """
-    s, y = model.scores(texts), np.asarray(labels)
-
-    def best(own: np.ndarray, other: float) -> float:
-        if min((y[own] == 1).sum(), (y[own] == 0).sum()) < least:
-            return other
-        tried = np.linspace(0.2, 0.8, 61)
-        errors = [((s[own] >= t) != (y[own] == 1)).sum() for t in tried]
-        return float(min(zip(errors, np.abs(tried - 0.5), tried, strict=True))[2])
-
-    model.threshold = best(np.ones(len(y), bool), 0.5)
-    lang = np.array(["" if x is None else x for x in langs], dtype=object)
-    model.thresholds = {x: best(lang == x, model.threshold) for x in sorted(set(lang))}
+
+    def best(groups: list[pd.DataFrame]) -> float | None:
+        errors, others = np.zeros(len(TRIED)), [0, 0]
+        for g in groups:
+            for v in (0, 1):
+                own = g[g["toxic"] == v]
+                left = own[own["place"].notna()]
+                n = int(left["n"].sum())
+                if n:
+                    reached = np.cumsum(np.bincount(left["place"].astype(int), left["n"], len(TRIED) + 1)[::-1])[::-1][1:]
+                    errors += (n - reached if v else reached) * (own["n"].sum() / n)
+                others[v] += n
+        if min(others) < least:
+            return None
+        return float(min(zip(np.round(errors, 6), np.abs(TRIED - 0.5), TRIED, strict=True))[2])
+
+    common = best([counts.assign(lang="")])
+    model.threshold = 0.5 if common is None else common
+    found = {x: best([g]) for x, g in counts[counts["lang"].notna()].groupby("lang")}
+    model.thresholds = {x: t for x, t in found.items() if t is not None}
     return model
 
 
@@ -181,8 +199,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """``labels``: id and toxic (0 or 1; null counts as no label, and 1 wins if an id has both).
 
     A bounded sample is collected: up to ``positives`` and ``negatives`` ids of the two labels, in
-    the order of a hash of the id, and then the texts of these ids alone. One in five of them is
-    kept from training and sets the thresholds. Without rows of both labels scores are low.
+    the order of a hash of the id, and then the texts of these ids alone. Four in five of them train
+    the model, weighed as the labels of all ids are mixed. All other labelled rows are scored, and
+    counts of their scores set the thresholds. Without rows of both labels scores are low.
     """
     key = F.xxhash64(F.col(id_col), F.lit(seed))
     marks = labels.filter(F.col("toxic").isin(0, 1) & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max("toxic").cast("int").alias("toxic")).withColumn("k", key)
@@ -193,8 +212,18 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     got = rows.sort_values(["k", "_id", "text"], kind="stable").drop_duplicates("_id")
     texts, y = [bytes(t) for t in got["text"]], got["toxic"].to_numpy(dtype=np.int64)
     aside = (got["k"].to_numpy(dtype=np.int64) // 64 % 5) == 0
-    model = fit([t for t, a in zip(texts, aside, strict=True) if not a], y[~aside], seed=seed)
-    return calibrate(model, [t for t, a in zip(texts, aside, strict=True) if a], y[aside], [x for x, a in zip(got["lang"], aside, strict=True) if a])
+    share = marks.agg(F.avg("toxic")).first()[0]
+    model = fit([t for t, a in zip(texts, aside, strict=True) if not a], y[~aside], seed=seed, share=share)
+    if share is None:
+        return model
+
+    # texts stay where they are: scores are joined with the labels
+    scored = score(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")), model, column="_s").select("_id", "lang", "_s")
+    place = F.size(F.filter(F.array(*[F.lit(float(t)) for t in TRIED]), lambda t: t <= F.col("_s")))
+    used = sample.filter(F.pmod(F.shiftright("k", 6), F.lit(5)) != 0).select("_id", F.lit(True).alias("used"))
+    marked = scored.join(marks.select(F.col(id_col).alias("_id"), "toxic"), "_id").join(F.broadcast(used), "_id", "left")
+    counts = marked.groupBy("lang", "toxic", F.when(F.col("used").isNull(), place).alias("place")).agg(F.count(F.lit(1)).alias("n"))
+    return calibrate(model, counts.toPandas())  # two labels and 62 places a language
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", column: str = "score") -> DataFrame:

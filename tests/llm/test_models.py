@@ -57,6 +57,35 @@ def test_toxicity_held_out(spark):
     assert np.allclose(again.out, model.out)
 
 
+def test_toxicity_thresholds_cover_all_labelled_rows(spark):
+    """Bounded samples leave most rows out and mix the labels otherwise than they occur; thresholds are the best of the whole."""
+    data = [(i, t if i % 7 else t + " vilest", x, y) for i, t, x, y in corpus(1500, 4)]  # clean rows look toxic now and then
+    docs = spark.createDataFrame([(i, t, x) for i, t, x, _ in data], "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, y) for i, _, _, y in data], "doc_id long, toxic int")
+    seen = []
+    whole = toxicity.calibrate
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(toxicity, "calibrate", lambda model, counts, **k: seen.append(counts) or whole(model, counts, **k))
+        model = toxicity.learn(docs, labels, positives=100, negatives=50)
+    c = seen[0]
+    assert c["n"].sum() == len(data) and c[c["place"].isna()]["n"].sum() <= 150
+    for lang in ("aa", "bb", None):
+        own = c[c["lang"].isna() if lang is None else c["lang"] == lang]
+        assert [own[own["toxic"] == v]["n"].sum() for v in (0, 1)] == [sum(x == lang and y == v for _, _, x, y in data) for v in (0, 1)]
+    assert set(model.thresholds) == {"aa", "bb"}
+    s = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    wrong = lambda t: sum((s[i] >= t) != bool(y) for i, _, x, y in data if x == "aa")
+    assert wrong(model.thresholds["aa"]) <= min(map(wrong, toxicity.TRIED)) + 8
+
+
+def test_toxicity_weighs_labels_as_they_occur():
+    data = corpus(900, 5)
+    y = np.array([r[3] for r in data])
+    texts = [t.encode() if i % 3 else b"neither here nor there" for i, (_, t, _, _) in enumerate(data)]
+    mean = lambda share: float(toxicity.fit(texts, y, share=share).scores([b"neither here nor there"])[0])
+    assert mean(0.05) < 0.12 < 0.2 < mean(None) and abs(mean(float(y.mean())) - mean(None)) < 0.02
+
+
 def test_toxicity_edge_cases(spark):
     docs = spark.createDataFrame([(1, None, None), (2, "", "x"), (2, "", "x"), (None, "a " * 100_000, "y")], "doc_id long, text string, lang string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
