@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pandas as pd
@@ -11,12 +12,26 @@ from pyspark.sql import functions as F
 
 from ..session import cut, ship
 
+PLACES = Decimal("1e-9")
+
+
+def _round9(d: np.ndarray) -> np.ndarray:
+    """As Spark rounds to 9 places: halves of the shortest decimal form go up."""
+    scaled = d * 1e9
+    out = np.floor(scaled + 0.5) / 1e9
+    close = np.flatnonzero(np.abs(scaled - np.floor(scaled) - 0.5) <= np.maximum(1e-3, scaled * 2.0**-50))
+    if len(close):
+        values, at = np.unique(d[close], return_inverse=True)
+        out[close] = np.array([float(Decimal(repr(float(x))).quantize(PLACES, ROUND_HALF_UP)) if x < 2**53 else x for x in values])[at]
+    return out
+
 
 def nearest(vectors: DataFrame, k: int = 20, metric: str = "euclidean", key: str = "id", vector: str = "v", block: int = 2048) -> DataFrame:
-    """a, b, rank, distance: the k nearest others of each vector, exactly; ties by b.
+    """a, b, rank, distance: the k nearest others of each vector, exactly; ties of distances rounded to 9 places by b.
 
     Vectors are dealt into blocks; every pair of blocks is one task that keeps k per vector, so no
-    pair of vectors is ever a row. metric: euclidean or cosine.
+    pair of vectors is ever a row. The matrix product only rules out who is beyond the kth by more
+    than its error. metric: euclidean or cosine.
     """
     ship(vectors.sparkSession)
     n = vectors.count()
@@ -33,20 +48,32 @@ def nearest(vectors: DataFrame, k: int = 20, metric: str = "euclidean", key: str
             return pd.DataFrame({"a": [], "b": [], "distance": []})
         c = c.sort_values("a")
         x, y = np.stack(q["v"].to_numpy()), np.stack(c["v"].to_numpy())
+        xx, yy = (x * x).sum(1), (y * y).sum(1)
+        error = 4 * (x.shape[1] + 8) * np.finfo(np.float64).eps
         if metric == "cosine":
-            norms = np.sqrt((x * x).sum(1))[:, None] * np.sqrt((y * y).sum(1))[None, :]
+            norms = np.sqrt(xx)[:, None] * np.sqrt(yy)[None, :]
             d = 1 - x @ y.T / np.where(norms == 0, 1, norms)
         else:
-            d = np.sqrt(np.maximum(0, (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * x @ y.T))
+            d = xx[:, None] + yy[None, :] - 2 * x @ y.T  # squared, with lost digits where vectors are close
         a, b = q["a"].to_numpy(), c["a"].to_numpy()
-        d[a[:, None] == b[None, :]] = np.inf
-        m = min(k + 8, len(b))
-        near = np.argpartition(d, m - 1, axis=1)[:, :m]
-        out = pd.DataFrame({"a": np.repeat(a, m), "b": b[near.ravel()], "distance": np.take_along_axis(d, near, 1).ravel()})
-        if metric == "euclidean":  # the short form loses digits where vectors are close
-            r = np.repeat(np.arange(len(a)), m)
-            out["distance"] = np.where(np.isinf(out["distance"]), np.inf, np.sqrt(((x[r] - y[near.ravel()]) ** 2).sum(1)))
-        return out[np.isfinite(out["distance"])]
+        d[(a[:, None] == b[None, :]) | ~np.isfinite(d)] = np.inf
+        kth = np.partition(d, k - 1, axis=1)[:, k - 1] if k < len(b) else np.full(len(a), np.inf)
+        if metric == "cosine":
+            most = kth + 2 * error + 1e-9
+        else:
+            error = error * (xx + yy.max())
+            most = (np.sqrt(np.maximum(kth, 0) + error) + 1e-9) ** 2 + error
+        out = []
+        for r in range(len(a)):
+            near = np.flatnonzero((d[r] <= most[r]) & (d[r] < np.inf))
+            if metric == "cosine":
+                norms = np.sqrt(xx[r]) * np.sqrt(yy[near])
+                own = 1 - (y[near] * x[r]).sum(1) / np.where(norms == 0, 1, norms)
+            else:
+                own = np.sqrt(((y[near] - x[r]) ** 2).sum(1))
+            first = np.argsort(_round9(own), kind="stable")[:k]  # b is in order
+            out.append((near[first], own[first]))
+        return pd.DataFrame({"a": np.repeat(a, [len(n) for n, _ in out]), "b": b[np.concatenate([n for n, _ in out])], "distance": np.concatenate([o for _, o in out])})
 
     found = left.unionByName(right).groupBy("i", "j").applyInPandas(pairs, "a long, b long, distance double")
     place = F.row_number().over(Window.partitionBy("a").orderBy(F.round("distance", 9), "b"))

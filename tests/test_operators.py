@@ -167,6 +167,18 @@ def test_neighbours_graph_and_components(spark):
     assert len(s) == 60 and all(q.doublet_score >= 0 for q in s)
 
 
+@pytest.mark.parametrize("metric", ["euclidean", "cosine"])
+@pytest.mark.parametrize("block", [2048, 64])
+def test_nearest_of_equal_vectors_takes_the_smallest_ids(spark, metric, block):
+    r = np.random.default_rng(3)
+    x = np.concatenate([np.tile(r.normal(0, 1, 6), (100, 1)), np.zeros((40, 6)), r.normal(0, 1, (20, 6))])[r.permutation(160)]
+    got = neighbours.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>"), 19, metric, block=block)
+    n = np.linalg.norm(x, axis=1)
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)) if metric == "euclidean" else 1 - (x[:, None] * x[None]).sum(2) / np.maximum(n[:, None] * n[None], 1e-300)
+    want = {(i, rank, j) for i in range(160) for rank, j in enumerate(sorted(set(range(160)) - {i}, key=lambda j: (round(d[i, j], 9), j))[:19], 1)}
+    assert {(q.a, q["rank"], q.b) for q in got.collect()} == want
+
+
 def test_tiles_cover_the_tissue_once(spark):
     mask = np.zeros((32, 32), int)
     mask[:20, :24] = 1
