@@ -1,10 +1,11 @@
 """Main text of web pages by tag-path ratios.
 
 Text is split into blocks; a block's path is the chain of block elements from the root. Over each
-path the lengths of text, of punctuation and of link text are summed; their ratios per block are
-smoothed along the page, fused, and compared with a threshold of the page's own. Elements that by
-name, role, class or id hold no article text are left out beforehand, and where a page marks its
-article, blocks outside are too.
+path the lengths of text, of punctuation and of link text are summed; their ratios are smoothed
+along the page, fused into one score a path, and compared with a threshold of the page's own: paths
+that reach it are the article. Only elements that by what they are hold no article text (scripts,
+menus, forms, what is hidden) are left out beforehand. A class name that speaks of adverts, notices
+or comments, and a place outside a marked article, lower a path's score and rule nothing out.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import html
 import re
 from collections import defaultdict
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -56,8 +58,10 @@ CLOSES = {
 }
 #: Words that make a class name speak of a page's layout and not of what the element holds.
 LAYOUT = frozenset("has with no without layout".split())
-#: How an element is left out: not at all, by a name that a marked article within overrides, or by what it is.
+#: What speaks against an element: nothing, a name, or what it is.
 IN, BY_NAME, BY_KIND = 0, 1, 2
+#: Smoothing along the page; the plain length of a block that counts half; what a doubt leaves of a score.
+KERNEL, LENGTH, DOUBT = np.array([0.25, 0.5, 0.25]), 80.0, 0.1
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -92,21 +96,70 @@ def _left_out(tag: str, attributes: str) -> int:
     return out
 
 
-def blocks_of(page: str) -> list[tuple[str, str, int, bool, bool, tuple[int, ...]]]:
-    """(path, text, characters in links, left out, inside a marked article, numbers of the path's elements) of each block with text, in page order."""
-    stack: list[tuple[str, int, bool, int]] = []  # tag, left out, in article, number of the element
-    out: list[tuple[str, str, int, bool, bool, tuple[int, ...]]] = []
+class _Open:
+    """The open elements of a page. Positions are kept by tag, so no search walks the stack."""
+
+    def __init__(self):
+        self.tags: list[str] = []
+        #: what holds for text inside: left out, inside a marked article, named, path, element, container, within a part
+        self.states: list[tuple] = []
+        self.at: dict[str, list[int]] = defaultdict(list)
+
+    def push(self, tag: str, state: tuple) -> None:
+        self.at[tag].append(len(self.tags))
+        if tag in BLOCK:
+            self.at[""].append(len(self.tags))
+        self.tags.append(tag)
+        self.states.append(state)
+
+    def nearest(self, tags) -> int:
+        return max((self.at[t][-1] for t in tags if self.at[t]), default=-1)
+
+    def cut(self, to: int) -> None:
+        while len(self.tags) > to:
+            tag = self.tags.pop()
+            self.states.pop()
+            self.at[tag].pop()
+            if tag in BLOCK:
+                self.at[""].pop()
+
+
+@dataclass
+class Page:
+    """Blocks with text, in page order, and the tree of block elements above them."""
+
+    text: list[str]
+    links: list[int]  # characters of a block inside links
+    path: list[int]  # number of the tag path; blocks of one path agree in ``named`` and ``inside``
+    inside: list[bool]  # in a marked article
+    named: list[bool]  # in an element whose class or id speaks of something else
+    element: list[int]
+    part: list[bool]  # in a list item, table cell or the like
+    container: list[int]  # nearest element above that is neither such a part nor what lies between
+    parents: list[int]
+    heading: list[bool]
+
+
+def blocks_of(page: str) -> Page:
+    """One pass over the page; what elements of ``LEFT_OUT``, roles and hidden elements hold is not read."""
+    out = Page(*([] for _ in fields(Page)))
+    open_ = _Open()
+    paths: dict[tuple, int] = {}
+    root = (False, False, False, -1, -1, -1, False)
     text: list[str] = []
     links = 0
 
     def flush() -> None:
         nonlocal links
         if text:
-            said = SPACE.sub(" ", html.unescape("".join(text))).strip()
+            off, inside, named, path, element, container, part = open_.states[-1] if open_.states else root
+            said = "" if off else SPACE.sub(" ", html.unescape("".join(text))).strip()
             if said:
-                path = "/".join(t for t, _, _, _ in stack if t in BLOCK)
-                _, off, inside, _ = stack[-1] if stack else ("", IN, False, 0)
-                out.append((path, said, links, off > IN, inside, tuple(i for t, _, _, i in stack if t in BLOCK)))
+                headed = bool(open_.at[""]) and open_.tags[open_.at[""][-1]] in HEADINGS
+                own = (said, min(links, len(said)), path, inside, named, element, part, container)
+                for field, x in zip((out.text, out.links, out.path, out.inside, out.named, out.element, out.part, out.container), own, strict=True):
+                    field.append(x)
+                out.heading.append(headed)
             text.clear()
         links = 0
 
@@ -126,7 +179,7 @@ def blocks_of(page: str) -> list[tuple[str, str, int, bool, bool, tuple[int, ...
         said = page[at : m.start()]
         if said:
             text.append(said)
-            if any(t == "a" for t, _, _, _ in stack):
+            if open_.at["a"]:
                 links += len(said)
         at = seen
         if m[2] is None:
@@ -134,97 +187,92 @@ def blocks_of(page: str) -> list[tuple[str, str, int, bool, bool, tuple[int, ...
         if alone:
             text.append(" ")
             continue
-        if not m[1]:
-            if tag in BLOCK or tag == "hr":
-                flush()
-            if tag in RAW:
-                if not m[3].rstrip().endswith("/"):
-                    raw = tag
-                continue
-            if tag in VOID:
-                text.append(" ")
-                continue
-            if tag in CLOSES:
-                ends, stops = CLOSES[tag]
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in stops:
-                        break
-                    if stack[i][0] in ends:
-                        del stack[i:]
-                        if tag not in ("td", "th", "tr", "li", "dt", "dd"):
-                            break
-            _, off, inside, _ = stack[-1] if stack else ("", IN, False, 0)
-            own, marked = _left_out(tag, m[3]), tag in ("article", "main") or 'role="main"' in m[3]
-            if marked and not own and off == BY_NAME and not inside:
-                off = IN
-            stack.append((tag, max(off, own), inside or marked and not own, seen))
-        else:
+        if m[1]:
             if tag in BLOCK:
                 flush()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
-                if tag not in BLOCK and stack[i][0] in BLOCK:
-                    break
+            place = open_.nearest((tag,))
+            if place >= 0 and (tag in BLOCK or place > open_.nearest(("",))):
+                open_.cut(place)
+            continue
+        if tag in BLOCK or tag == "hr":
+            flush()
+        if tag in RAW:
+            if not m[3].rstrip().endswith("/"):
+                raw = tag
+            continue
+        if tag in VOID:
+            text.append(" ")
+            continue
+        if tag in CLOSES:
+            ends, stops = CLOSES[tag]
+            while (place := open_.nearest(ends)) > open_.nearest(stops):
+                open_.cut(place)
+        off, inside, named, path, element, container, part = open_.states[-1] if open_.states else root
+        how, marked = _left_out(tag, m[3]), tag in ("article", "main") or 'role="main"' in m[3]
+        marked = marked and how == IN and not off
+        off, inside = off or how == BY_KIND, inside or marked
+        named = how == BY_NAME or named and not marked
+        if tag in BLOCK:
+            path = paths.setdefault((path, tag, named, inside), len(paths))
+            out.parents.append(element)
+            element = len(out.parents) - 1
+            part = part or tag in PARTS
+            container = container if tag in BETWEEN else element
+        open_.push(tag, (off, inside, named, path, element, container, part))
     if not raw:
         text.append(page[at:])
     flush()
     return out
 
 
-def _with_parts(found: list, keep: np.ndarray, dense: np.ndarray) -> np.ndarray:
-    """``keep``, and list items, table cells and the like whose nearest container with blocks of its own has a kept one."""
-    steps = [[*zip(b[0].split("/"), b[5], strict=True)] if b[5] else [] for b in found]
-    part = [any(t in PARTS for t, _ in x) for x in steps]
-    holds: dict[int, bool] = defaultdict(bool)
-    for x, k, own in zip(steps, keep, part, strict=True):
-        if not own:
-            for _, i in x[-2:]:
-                holds[i] |= bool(k)
-    out = keep.copy()
-    for n, x in enumerate(steps):
-        if part[n] and not dense[n]:
-            out[n] |= next((holds[i] for t, i in reversed(x) if t not in BETWEEN and i in holds), False)
-    return out
+def path_scores(p: Page) -> tuple[np.ndarray, np.ndarray]:
+    """(score, share of link text) of the path of each block.
+
+    Over a path, plain text and punctuation are summed and divided by its blocks; both are smoothed
+    along the page and averaged over the path again. Each ratio is brought to 0..1 and their product
+    is lowered by the path's links, by a class name that speaks of something else, and, where the
+    page marks its article, by lying outside.
+    """
+    _, of = np.unique(np.array(p.path), return_inverse=True)
+    n = np.bincount(of)
+    size = np.array([len(t) for t in p.text], dtype=np.float64)
+    links = np.array(p.links, dtype=np.float64)
+    marks = np.array([len(PUNCTUATION.findall(t)) for t in p.text], dtype=np.float64)
+    linked = (np.bincount(of, links) / np.bincount(of, size))[of]
+
+    def smooth(v: np.ndarray) -> np.ndarray:
+        along = np.convolve(np.pad((np.bincount(of, v) / n)[of], 1, mode="edge"), KERNEL, mode="valid")
+        return (np.bincount(of, along) / n)[of]
 
+    length, signs = smooth(size - links), smooth(marks)
+    score = length / (length + LENGTH) * (signs + 0.5) / (signs + 1.5) * (1 - linked)
+    inside = np.array(p.inside)
+    return score * np.where(p.named, DOUBT, 1.0) * np.where(inside | ~inside.any(), 1.0, DOUBT), linked
 
-def main_text(page: str | None, share: float = 0.2) -> str:
-    """The blocks whose fused, smoothed ratio is at least ``share`` of the page's text-weighted mean, and headings among them.
 
-    Of a marked article all blocks stay but those on paths that are links for more than half, unless
-    all are. Elsewhere list items, table cells and preformatted text stay with the text around them.
+def main_text(page: str | None, share: float = 0.35) -> str:
+    """Text of the paths that reach ``share`` of the page's text-weighted level, and of what belongs to them.
+
+    Of a marked article all blocks stay but those of paths that are links for more than half (unless
+    all are) and those that a name puts in doubt. Elsewhere list items, table cells and
+    preformatted text stay with the text around them, and headings with what they head.
     """
-    found = [b for b in blocks_of(page or "") if not b[3]]
-    marked = any(b[4] for b in found)
-    if marked:
-        found = [b for b in found if b[4]]
-    if not found:
+    p = blocks_of(page or "")
+    if not p.text:
         return ""
-    size, marks, links, n = (defaultdict(int) for _ in range(4))
-    for path, said, linked, *_ in found:
-        size[path] += len(said)
-        marks[path] += len(PUNCTUATION.findall(said))
-        links[path] += min(linked, len(said))
-        n[path] += 1
-    length = np.array([size[b[0]] / n[b[0]] for b in found])
-    signs = np.array([marks[b[0]] / n[b[0]] for b in found])
-    plain = np.array([1 - links[b[0]] / size[b[0]] for b in found])
-    kernel = np.array([0.25, 0.5, 0.25])
-
-    def smooth(v: np.ndarray) -> np.ndarray:
-        return np.convolve(np.pad(v, 1, mode="edge"), kernel, mode="valid")
-
-    dense = plain < 0.5
-    if marked:
-        keep = ~dense | dense.all()
-    else:
-        fused = np.sqrt(smooth(length * plain) * (smooth(signs) + 0.5)) * plain
-        weights = np.array([len(b[1]) for b in found], dtype=np.float64)
-        keep = _with_parts(found, fused >= share * float((fused * weights).sum() / weights.sum()), dense)
-    headed = [b[0].rpartition("/")[2] in HEADINGS for b in found]
-    good = {b[0].rpartition("/")[0] for b, k, h in zip(found, keep, headed, strict=True) if k and not h}
-    return "\n".join(b[1] for b, k, h in zip(found, keep, headed, strict=True) if (k and not h) or (h and (b[0].rpartition("/")[0] in good or (k and (marked or not good)))))
+    score, linked = path_scores(p)
+    weight = np.array([len(t) for t in p.text]) * score
+    level = float((weight * score).sum() / weight.sum()) if weight.sum() else np.inf
+    good = score >= share * level
+    dense = linked > 0.5
+    inside, named, heading, part = (np.array(x) for x in (p.inside, p.named, p.heading, p.part))
+    keep = np.where(inside & ~named, ~dense | bool(dense[inside].all()), good)
+    holds = {x for i in np.flatnonzero(keep & ~part) for x in (p.element[i], p.parents[p.element[i]] if p.element[i] >= 0 else -1)} - {-1}
+    keep |= part & ~dense & np.array([c in holds for c in p.container])
+    under = [p.parents[e] if e >= 0 else -1 for e in p.element]
+    held = {under[i] for i in np.flatnonzero(keep & ~heading)}
+    keep = np.where(heading, np.array([u in held for u in under]) | keep & (inside | (not held)), keep)
+    return "\n".join(t for t, k in zip(p.text, keep, strict=True) if k)
 
 
 def extract_pages(pages: DataFrame, html_col: str = "html", column: str = "text") -> DataFrame:

@@ -237,3 +237,44 @@ def test_extract_pages(spark):
     assert sorted(((r.page_id or 0), r.text) for r in got.collect()) == [(0, ""), (1, "x, y"), (1, "x, y")]
     assert html_text.extract_pages(pages.limit(0)).count() == 0
     assert html_text.extract_pages(pages).withColumn("n", F.length("text")).agg(F.sum("n")).first()[0] == 8
+
+
+@pytest.mark.parametrize("name", ["post social-science", "ad-free content", "public-notice-board", "share"])
+def test_a_class_word_loses_no_article(name):
+    words = "".join(f"<p>Paragraph {i} of it, with words, and more of them. It ends.</p>" for i in range(6))
+    assert html_text.main_text(f"<body><div class='{name}'>{words}</div><div>Imprint</div></body>").count("Paragraph") == 6
+
+
+def test_path_ratios_decide():
+    """Neither names nor elements tell the boilerplate of these pages: only its paths do."""
+    r = random.Random(3)
+    said = lambda n: " ".join("".join(r.choices("abcdefgh", k=r.randint(2, 9))) + r.choice(["", "", "", ",", "."]) for _ in range(n)) + "."
+    right = lost = more = 0
+    for _ in range(60):
+        paras = [said(r.randint(25, 120)) for _ in range(r.randint(3, 12))]
+        menu = "".join(f"<li><a href=/{i}>{said(2)}</a></li>" for i in range(6))
+        short = "".join(f"<section><span>{said(2)}</span></section>" for _ in range(4))
+        page = f"<body><ul>{menu}</ul><div><h2>{said(4)}</h2>{''.join(f'<p>{x}</p>' for x in paras)}</div>{short}<table><tr><td><a href=x>{said(3)}</a></td></tr></table></body>"
+        p = html_text.blocks_of(page)
+        score, _ = html_text.path_scores(p)
+        assert min(score[[i for i, t in enumerate(p.text) if t in paras]]) > max(score[[i for i, t in enumerate(p.text) if t not in paras]])
+        got = html_text.main_text(page).split("\n")[1:]
+        right, lost, more = right + len(set(got) & set(paras)), lost + len(set(paras) - set(got)), more + len(set(got) - set(paras))
+    assert lost == 0 and more <= 0.01 * right
+
+
+def test_comments_longer_than_the_article_stay_out():
+    article = "".join(f"<p>Paragraph {i} of it, with words, and more of them. It ends.</p>" for i in range(4))
+    talk = "".join(f"<p>Reader {i} says so, at length, and with signs. Then more, and more.</p>" for i in range(40))
+    for a, b in (("<article>{}</article>", "<div>{}</div>"), ("<div>{}</div>", "<div id=comments>{}</div>"), ("<main>{}<div class='reader-comments'>{}</div></main>", "")):
+        got = html_text.main_text("<body>" + (a.format(article, talk) if not b else a.format(article) + b.format(talk)) + "</body>")
+        assert got.count("Paragraph") == 4 and "Reader" not in got
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "<p>Hello, you.", "<ul><li>item, x " * 30_000, "<p><button>" + "<b><i>" * 50_000 + "<div>x, y.", "<p>" + "<a href=x>b</a> and, so " * 50_000])
+def test_deep_and_long_pages_take_linear_time(page):
+    import time
+
+    began = time.time()
+    assert isinstance(html_text.main_text(page), str)
+    assert time.time() - began < 20
