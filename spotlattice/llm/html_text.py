@@ -61,7 +61,7 @@ LAYOUT = frozenset("has with no without layout".split())
 #: What speaks against an element: nothing, a name, or what it is.
 IN, BY_NAME, BY_KIND = 0, 1, 2
 #: Smoothing along the page; the plain length of a block that counts half; what a doubt leaves of a score.
-KERNEL, LENGTH, DOUBT = np.array([0.25, 0.5, 0.25]), 80.0, 0.1
+KERNEL, LENGTH, DOUBT = np.array([0.2, 0.6, 0.2]), 80.0, 0.1
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -228,8 +228,8 @@ def blocks_of(page: str) -> Page:
 def path_scores(p: Page) -> tuple[np.ndarray, np.ndarray]:
     """(score, share of link text) of the path of each block.
 
-    Over a path, plain text and punctuation are summed and divided by its blocks; both are smoothed
-    along the page and averaged over the path again. Each ratio is brought to 0..1 and their product
+    Over a path, plain text and punctuation are summed and divided by its blocks, and each ratio is
+    brought to 0..1; both are smoothed along the page and averaged over the path again. Their product
     is lowered by the path's links, by a class name that speaks of something else, and, where the
     page marks its article, by lying outside.
     """
@@ -241,11 +241,11 @@ def path_scores(p: Page) -> tuple[np.ndarray, np.ndarray]:
     linked = (np.bincount(of, links) / np.bincount(of, size))[of]
 
     def smooth(v: np.ndarray) -> np.ndarray:
-        along = np.convolve(np.pad((np.bincount(of, v) / n)[of], 1, mode="edge"), KERNEL, mode="valid")
+        along = np.convolve(np.pad(v[of], 1, mode="edge"), KERNEL, mode="valid")
         return (np.bincount(of, along) / n)[of]
 
-    length, signs = smooth(size - links), smooth(marks)
-    score = length / (length + LENGTH) * (signs + 0.5) / (signs + 1.5) * (1 - linked)
+    length, signs = np.bincount(of, size - links) / n, np.bincount(of, marks) / n
+    score = smooth(length / (length + LENGTH)) * smooth((signs + 0.5) / (signs + 1.5)) * (1 - linked)
     inside = np.array(p.inside)
     return score * np.where(p.named, DOUBT, 1.0) * np.where(inside | ~inside.any(), 1.0, DOUBT), linked
 
