@@ -134,9 +134,13 @@ def qc_keep(spark, d):
     return matrix.qc_keep(_metrics(spark, d), 1.5, 20, 50, 60.0, 0.9).select("cell", "qc_keep")
 
 
-@query(f"WITH {QC_SQL} SELECT 'n_umi' AS metric, min(n_umi)::DOUBLE AS lowest, quantile_cont(n_umi, 0.25) AS q25, quantile_cont(n_umi, 0.5) AS median, quantile_cont(n_umi, 0.75) AS q75, max(n_umi)::DOUBLE AS highest FROM qc")
+PLOTTED = ["n_umi", "n_genes", "pct_mito", "pct_ribo"]
+PLOT_SQL = " UNION ALL ".join(f"SELECT '{c}' AS metric, {c}::DOUBLE AS x FROM qc" for c in PLOTTED)
+
+
+@query(f"WITH {QC_SQL}, l AS ({PLOT_SQL}) SELECT metric, round(min(x), 6) AS lowest, round(quantile_cont(x, 0.25), 6) AS q25, round(quantile_cont(x, 0.5), 6) AS median, round(quantile_cont(x, 0.75), 6) AS q75, round(max(x), 6) AS highest FROM l GROUP BY 1")
 def qc_plot_data(spark, d):
-    return matrix.plot_summary(_metrics(spark, d), ["n_umi"])
+    return rounded(matrix.plot_summary(_metrics(spark, d), PLOTTED), "lowest", "q25", "median", "q75", "highest")
 
 
 @query(f"WITH {CELLS_SQL} SELECT spot, min(cell_id) AS cell_id FROM hit WHERE odd OR edge GROUP BY spot")
@@ -245,6 +249,12 @@ def scaled_expression(spark, d):
     return rounded(expression.scale(_values(spark, d), _stats(spark, d))[0], "z", places=5)
 
 
+@query(f"WITH {STATS_SQL} SELECT gene, round(least(10, -mean / CASE WHEN var > 0 THEN sqrt(var) ELSE 1 END), 5) AS z0 FROM st")
+def scaled_zeros(spark, d):
+    """The other half of scaling: the z-score that every zero of a gene has."""
+    return rounded(expression.scale(_values(spark, d), _stats(spark, d))[1], "z0", places=5)
+
+
 @query(f"""WITH {STATS_SQL}, b AS (SELECT *, coalesce(var / nullif(mean, 0), 0) AS disp, ntile(20) OVER (ORDER BY mean, gene) AS bin FROM st),
 n AS (SELECT gene, round((disp - avg(disp) OVER (PARTITION BY bin)) / CASE WHEN stddev_samp(disp) OVER (PARTITION BY bin) > 0 THEN stddev_samp(disp) OVER (PARTITION BY bin) ELSE 1 END, 6) AS norm_dispersion FROM b)
 SELECT gene, norm_dispersion FROM n ORDER BY norm_dispersion DESC, gene LIMIT 100""")
@@ -252,7 +262,8 @@ def hvg_topn(spark, d):
     return expression.variable_genes(_stats(spark, d), 100).select("gene", "norm_dispersion")
 
 
-WILCOXON_SQL = NORM_SQL + """, cl AS (SELECT s_suppkey AS cell, s_nationkey % 5 AS cluster FROM supplier), sz AS (SELECT cluster, count(*)::DOUBLE AS size FROM cl GROUP BY 1), nn AS (SELECT sum(size) AS cells FROM sz),
+CLUSTERS_SQL = """, cl AS (SELECT s_suppkey AS cell, s_nationkey % 5 AS cluster FROM supplier), sz AS (SELECT cluster, count(*)::DOUBLE AS size FROM cl GROUP BY 1), nn AS (SELECT sum(size) AS cells FROM sz)"""
+WILCOXON_SQL = NORM_SQL + CLUSTERS_SQL + """,
 dense AS (SELECT g.gene, cl.cell, cl.cluster, coalesce(value, 0) AS value FROM (SELECT DISTINCT gene FROM norm) g CROSS JOIN cl LEFT JOIN norm ON norm.gene = g.gene AND norm.cell = cl.cell),
 rk AS (SELECT gene, cluster, rank() OVER (PARTITION BY gene ORDER BY value)::DOUBLE + (count(*) OVER (PARTITION BY gene, value) - 1)::DOUBLE / 2 AS r FROM dense),
 test AS (SELECT cluster, gene, (sum(r) - max(size) * (max(cells) + 1) / 2) / sqrt(max(size) * (max(cells) - max(size)) * (max(cells) + 1) / 12) AS z FROM rk JOIN sz USING (cluster), nn GROUP BY 1, 2)"""
@@ -288,15 +299,27 @@ def markers_table(spark, d):
     return top.select("cluster", "gene", F.round("z", 6).alias("score"), F.round("logfc", 6).alias("logFC"), F.round("p_adj", 6).alias("p_adj"))
 
 
-MEANS_SQL = NORM_SQL + """, cl AS (SELECT s_suppkey AS cell, s_nationkey % 5 AS cluster FROM supplier), sz AS (SELECT cluster, count(*)::DOUBLE AS size FROM cl GROUP BY 1), nn AS (SELECT sum(size) AS cells FROM sz),
+OWN_SQL = """,
 own AS (SELECT gene, cluster, sum(exp(value) - 1) AS raw, sum(value) AS s, count(*) FILTER (value > 0)::DOUBLE AS k FROM norm JOIN cl USING (cell) GROUP BY 1, 2), tot AS (SELECT gene, sum(raw) AS raw_all FROM own GROUP BY 1),
 mean AS (SELECT tot.gene, sz.cluster, raw_all, size, cells, coalesce(raw, 0) AS raw, coalesce(s, 0) AS s, coalesce(k, 0) AS k FROM tot CROSS JOIN sz CROSS JOIN nn LEFT JOIN own ON own.gene = tot.gene AND own.cluster = sz.cluster)"""
+MEANS_SQL = NORM_SQL + CLUSTERS_SQL + OWN_SQL
 
 
-@query(f"WITH {MEANS_SQL} SELECT cluster, gene, round(log2((raw / size + 1e-9) / (greatest(0, (raw_all - raw) / (cells - size)) + 1e-9)), 3) AS logfc FROM mean WHERE raw > 0 AND raw_all - raw > 1e-3")
+FOLD_SQL = "log2((round(raw / size, 9) + 1e-9) / (round(greatest(0, coalesce((raw_all - raw) / nullif(cells - size, 0), 0)), 9) + 1e-9))"
+
+
+@query(f"WITH {MEANS_SQL} SELECT cluster, gene, round({FOLD_SQL}, 3) AS logfc FROM mean")
 def marker_logfc(spark, d):
-    m = expression.cluster_means(_values(spark, d), cell_clusters(spark, d)).filter("raw > 0 AND raw_all - raw > 1e-3")
-    return rounded(expression.log_fold_change(m), "logfc", places=3)
+    return rounded(expression.log_fold_change(expression.cluster_means(_values(spark, d), cell_clusters(spark, d))), "logfc", places=3)
+
+
+@query(f"""WITH {WILCOXON_SQL}{OWN_SQL}, r AS (SELECT cluster, gene, round(z, 6) AS score, row_number() OVER (PARTITION BY cluster ORDER BY round(z, 6) DESC, gene) AS place FROM test)
+SELECT r.cluster, r.gene, place, score, round({FOLD_SQL}, 3) AS logfc FROM r JOIN mean ON mean.cluster = r.cluster AND mean.gene = r.gene WHERE place <= 100""")
+def marker_scores(spark, d):
+    """The marker table but for its p-values, which SQL has no function for."""
+    fold = expression.log_fold_change(expression.cluster_means(_values(spark, d), cell_clusters(spark, d)))
+    top = expression.top_markers(rounded(_tests(spark, d), "z")).join(fold, ["cluster", "gene"], "left")
+    return rounded(top.select("cluster", "gene", "place", F.col("z").alias("score"), "logfc"), "logfc", places=3)
 
 
 @query(f"""WITH {MEANS_SQL}, a AS (SELECT *, s / size AS mean, k / size AS fraction FROM mean), b AS (SELECT *, min(mean) OVER (PARTITION BY gene) AS lo, max(mean) OVER (PARTITION BY gene) AS hi FROM a)
@@ -378,11 +401,12 @@ def cluster_bbox(spark, d):
     return tiles.padded_bounds(spots(spark, d), F.lit(0.03), "cluster")
 
 
-@query("SELECT t.cluster, event_id AS spot, event_type = t.cluster AS foreground FROM events, (SELECT DISTINCT event_type AS cluster FROM events) t")
+@query("SELECT event_id AS spot, event_type = (SELECT min(event_type) FROM events) AS foreground FROM events")
 def cluster_fg_bg(spark, d):
+    """Spots of one cluster against all others: a flag on each spot."""
     s = spots(spark, d)
-    each = F.broadcast(s.select(F.col("cluster").alias("of")).distinct())  # one row a cluster
-    return s.crossJoin(each).select(F.col("of").alias("cluster"), "spot", (F.col("cluster") == F.col("of")).alias("foreground"))
+    one = F.broadcast(s.agg(F.min("cluster").alias("_one")))
+    return s.crossJoin(one).select("spot", (F.col("cluster") == F.col("_one")).alias("foreground"))
 
 
 @query("SELECT CAST(floor(user_id / 4) AS BIGINT) AS by, CAST(floor(value / 4) AS BIGINT) AS bx, max(event_id) AS pooled FROM events GROUP BY 1, 2")
@@ -398,7 +422,16 @@ def label_boundary(spark, d):
     return tiles.boundary(p)
 
 
-@query()
+@query("""WITH RECURSIVE hit AS (SELECT DISTINCT CAST(user_id % 16 AS INTEGER) AS y, CAST(floor(value * 16 / 491) AS INTEGER) AS x FROM events WHERE value < 300),
+f(y0, x0, y1, x1) AS (SELECT 0, 0, 16, 16 UNION ALL
+ SELECT ys.lo, xs.lo, ys.hi, xs.hi FROM (
+  SELECT unnest(CASE WHEN y1 - y0 > 2 THEN [{'lo': y0, 'hi': (y0 + y1) // 2}, {'lo': (y0 + y1) // 2, 'hi': y1}] ELSE [{'lo': y0, 'hi': y1}] END) AS ys, x0, x1 FROM (
+   SELECT f.y0, f.x0, f.y1, f.x1, (SELECT count(*) FROM hit WHERE hit.y >= f.y0 AND hit.y < f.y1 AND hit.x >= f.x0 AND hit.x < f.x1)::DOUBLE / ((f.y1 - f.y0) * (f.x1 - f.x0)) AS p FROM f)
+  WHERE p > 0.05 AND NOT (y1 - y0 <= 8 AND x1 - x0 <= 8 AND ((p >= 0.6 AND least(y1 - y0, x1 - x0) >= 2) OR (y1 - y0 <= 2 AND x1 - x0 <= 2)))) a,
+  LATERAL (SELECT unnest(CASE WHEN a.x1 - a.x0 > 2 THEN [{'lo': a.x0, 'hi': (a.x0 + a.x1) // 2}, {'lo': (a.x0 + a.x1) // 2, 'hi': a.x1}] ELSE [{'lo': a.x0, 'hi': a.x1}] END) AS xs) b),
+g AS (SELECT f.y0, f.x0, f.y1, f.x1, (SELECT count(*) FROM hit WHERE hit.y >= f.y0 AND hit.y < f.y1 AND hit.x >= f.x0 AND hit.x < f.x1)::DOUBLE / ((f.y1 - f.y0) * (f.x1 - f.x0)) AS p FROM f),
+t AS (SELECT y0 * 128 - 4 AS a, x0 * 128 - 4 AS b, y1 * 128 + 4 AS c, x1 * 128 + 4 AS d FROM g WHERE p > 0.05 AND y1 - y0 <= 8 AND x1 - x0 <= 8 AND ((p >= 0.6 AND least(y1 - y0, x1 - x0) >= 2) OR (y1 - y0 <= 2 AND x1 - x0 <= 2)))
+SELECT DISTINCT 1 AS slide, greatest(0, a) AS y0, greatest(0, b) AS x0, least(2048, c) AS y1, least(2048, d) AS x1 FROM t""")
 def adaptive_tiles(spark, d):
     """Tiles over a mask of 16 x 16 pixels (128 native pixels each) whose tissue are the places of events."""
     at = F.col("user_id") % 16
@@ -409,21 +442,25 @@ def adaptive_tiles(spark, d):
     return tiler.adaptive_tiles(boxes, tiler.prefix_sums(mask), 128, 2048, 2048, 1024, 256, overlap=8)
 
 
-@query("""SELECT d.d AS dataset, printf('sdP%.2f_sdN%.2f_vpx%d_cl%s', p.p, n.n, r.r, c.c) AS run_tag FROM (VALUES ('GH_LHb'), ('SH_LHb')) d(d), (VALUES (0.3::DOUBLE), (0.35)) p(p), (VALUES (0.5::DOUBLE), (0.6)) n(n),
- (VALUES (1), (3), (5)) r(r), (VALUES ('current'), ('coarser')) c(c)""")
+@query("""SELECT d.d AS dataset, printf('sdP%.2f_sdN%.2f_vpx%d_cl%s', p.p, n.n, r.r, c.c) AS run_tag FROM (VALUES ('left'), ('right')) d(d), (VALUES (0.3::DOUBLE), (0.35)) p(p), (VALUES (0.5::DOUBLE), (0.6)) n(n),
+ (VALUES (1), (3), (5)) r(r), (VALUES ('fine'), ('coarse')) c(c)""")
 def sweep_grid(spark, d):
     from .plans.sweep import grid
 
-    return grid(spark, dataset=["GH_LHb", "SH_LHb"], prob=[0.3, 0.35], nms=[0.5, 0.6], growth=[1, 3, 5], config=["current", "coarser"]).select("dataset", "run_tag")
+    return grid(spark, dataset=["left", "right"], prob=[0.3, 0.35], nms=[0.5, 0.6], growth=[1, 3, 5], config=["fine", "coarse"]).select("dataset", "run_tag")
 
 
-@query()
+@query("SELECT s_suppkey AS cell_id, 1::BIGINT AS rings, 9::BIGINT AS points, 's' || s_suppkey AS name FROM supplier")
 def geojson_roundtrip(spark, d):
+    """Outlines as features, one a line, and read back with their properties."""
     from .sources import geojson
 
     k = F.col("s_suppkey")
     xs, ys = geometry.octagon((k * 37) % 100 + 0.013, (k * 53) % 100 + 0.017, F.lit(4.0) + (k % 3).cast("double"))
-    rings = table(spark, d, "supplier").select(k.alias("cell_id"), F.lit(0).alias("part"), F.lit(0).alias("ring"), xs.alias("xs"), ys.alias("ys"))
-    text = geojson.collection(geojson.to_features(rings))
-    back = geojson.parse(text)
-    return back.groupBy("cell_id").agg(F.count(F.lit(1)).alias("rings"), F.sum(F.size("xs")).alias("points"))
+    props = F.create_map(F.lit("name"), F.concat(F.lit("s"), k.cast("string")))
+    rings = table(spark, d, "supplier").select(k.alias("cell_id"), F.lit(0).alias("part"), F.lit(0).alias("ring"), xs.alias("xs"), ys.alias("ys"), props.alias("props"))
+    back = geojson.parse_lines(geojson.to_features(rings))
+    return back.groupBy("cell_id").agg(F.count(F.lit(1)).alias("rings"), F.sum(F.size("xs")).alias("points"), F.min(F.col("props")["name"]).alias("name"))
+
+
+from . import catalogue_pixels  # noqa: E402,F401  registers its queries

@@ -17,10 +17,14 @@ def grid_join(spots: DataFrame, regions: DataFrame, size: float, pad: float = 0.
 
     ``regions`` has an ``edges`` column. Every region is dealt to the grid cells its box meets; every
     spot is in one cell, so no pair comes twice. ``size`` near a region's own keeps both sides small.
+    Of the edges only those in reach of the grid row travel with a pair: all that a ray along the row,
+    or a distance up to ``pad``, can meet.
     """
     boxed = regions.select("*", *g.bounds(F.col("edges")))
     steps = [F.sequence(_cell(F.col(f"{a}_lo") - pad, size), _cell(F.col(f"{a}_hi") + pad, size)) for a in "xy"]
-    dealt = boxed.withColumn("_gx", F.explode(steps[0])).withColumn("_gy", F.explode(steps[1]))
+    low, high = F.col("_gy") * size - pad, (F.col("_gy") + 1) * size + pad
+    rows = boxed.withColumn("_gy", F.explode(steps[1])).withColumn("edges", F.filter("edges", lambda e: (F.greatest(e["y1"], e["y2"]) >= low) & (F.least(e["y1"], e["y2"]) <= high)))
+    dealt = rows.filter(F.size("edges") > 0).withColumn("_gx", F.explode(steps[0]))
     placed = spots.withColumn("_gx", _cell(F.col(x), size)).withColumn("_gy", _cell(F.col(y), size))
     near = F.col(x).between(F.col("x_lo") - pad, F.col("x_hi") + pad) & F.col(y).between(F.col("y_lo") - pad, F.col("y_hi") + pad)
     return placed.join(dealt, ["_gx", "_gy"]).filter(near).drop("_gx", "_gy", "x_lo", "x_hi", "y_lo", "y_hi")
@@ -33,6 +37,13 @@ def assign_spots(spots: DataFrame, regions: DataFrame, spot: str = "spot", cell:
     return pairs.groupBy(spot).agg(F.min(cell).alias(cell))
 
 
+def region_filter(regions: DataFrame, rois: DataFrame, cell: str = "cell_id", size: float = 64.0) -> DataFrame:
+    """Regions of which a representative point lies strictly inside a region of interest."""
+    px, py = g.representative_point(F.col("edges"))
+    points = regions.select(cell, F.inline(F.array(F.struct(px.alias("x"), py.alias("y"))))).filter("x is not null")  # a generator, so that a point is worked out once
+    return regions.join(roi_filter(points, rois, cell, size).select(cell), cell, "left_semi")
+
+
 def roi_filter(spots: DataFrame, rois: DataFrame, spot: str = "spot", size: float = 64.0) -> DataFrame:
     """Spots strictly inside the union of the regions of interest."""
     inside = grid_join(spots, rois, size).filter(g.contains(F.col("x"), F.col("y"), F.col("edges")))
@@ -55,14 +66,16 @@ def assign_dilated(spots: DataFrame, regions: DataFrame, radius: float, spot: st
     claims = grid_join(spots, centred, size, r).select(spot, "x", "y", cell, gap.alias("_gap"), away.alias("_away")).filter(F.col("_gap") <= r)
     # any centroid nearer than the claimed one cuts it off: its own claim need not exist
     reach = centred.select(F.col(cell).alias("_other"), "_cx", "_cy", F.lit(1).alias("_one"))
-    far = claims.groupBy(spot).agg(F.min("x").alias("x"), F.min("y").alias("y"), F.min(F.struct("_away", cell)).alias("_best"))
+    mine = F.collect_list(F.struct(F.col(cell), F.round("_gap", 6).alias("distance")))  # regions that overlap at one spot
+    far = claims.groupBy(spot).agg(F.min("x").alias("x"), F.min("y").alias("y"), F.min(F.struct("_away", cell)).alias("_best"), mine.alias("_claims"))
     box = F.col("_best._away")
     cells = [F.explode(F.sequence(_cell(F.col(a) - box, size), _cell(F.col(a) + box, size))) for a in "xy"]
     sought = far.withColumn("_gx", cells[0]).withColumn("_gy", cells[1])
     placed = reach.withColumn("_gx", _cell(F.col("_cx"), size)).withColumn("_gy", _cell(F.col("_cy"), size))
     d = F.sqrt((x - F.col("_cx")) ** 2 + (y - F.col("_cy")) ** 2)
-    nearest = sought.join(placed, ["_gx", "_gy"]).groupBy(spot).agg(F.min(F.struct(d.alias("_away"), F.col("_other").alias(cell))).alias("_near"))
-    return nearest.select(spot, F.col(f"_near.{cell}").alias(cell)).join(claims.select(spot, cell, "_gap"), [spot, cell]).select(spot, cell, F.round("_gap", 6).alias("distance"))
+    nearest = sought.join(placed, ["_gx", "_gy"]).groupBy(spot).agg(F.min(F.struct(d.alias("_away"), F.col("_other").alias(cell))).alias("_near"), F.any_value("_claims").alias("_claims"))
+    own = F.filter("_claims", lambda c: c[cell] == F.col(f"_near.{cell}"))
+    return nearest.select(spot, F.inline(own))
 
 
 def dilate_stars(regions: DataFrame, radius: float, cell: str = "cell_id", size: float = 16.0, rays: int = 64) -> DataFrame:

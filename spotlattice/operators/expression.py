@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import cut, ship
+
 
 def log_normalise(matrix: DataFrame, target: float = 1e4, cell: str = "cell", n: str = "n", out: str = "value") -> DataFrame:
     """ln(1 + n * target / total of the cell)."""
@@ -40,18 +46,24 @@ def variable_genes(stats: DataFrame, n_top: int, bins: int = 20, gene: str = "ge
     return b.withColumn("norm_dispersion", F.round(norm, 6)).orderBy(F.desc("norm_dispersion"), gene).limit(n_top).select(gene, "mean", "var", "norm_dispersion")
 
 
-def wilcoxon(values: DataFrame, clusters: DataFrame, cell: str = "cell", gene: str = "gene", value: str = "value", cluster: str = "cluster") -> DataFrame:
+def wilcoxon(values: DataFrame, clusters: DataFrame, cell: str = "cell", gene: str = "gene", value: str = "value", cluster: str = "cluster", step: float = 1 / 32) -> DataFrame:
     """cluster, gene, z of the rank-sum test of each cluster against the rest; ties share mean ranks, without tie correction.
 
     ``clusters`` has one row a cell. Zeros are one tie below all (positive) values, so only stored
-    values are ranked; genes without any are left out.
+    values are ranked; genes without any are left out. A gene's values are dealt into ranges of
+    ``step``, whose counts are summed first, so a gene that every cell has is not one task.
     """
     sizes = clusters.groupBy(cluster).agg(F.count(F.lit(1)).cast("double").alias("size"))
     n = sizes.agg(F.sum("size").alias("cells"))
     v = values.filter(F.col(value) > 0).join(clusters.select(cell, cluster), cell)
-    by = Window.partitionBy(gene)
-    tied = F.count(F.lit(1)).over(Window.partitionBy(gene, value))
-    ranked = v.select(gene, cluster, (F.rank().over(by.orderBy(value)) + (tied.cast("double") - 1) / 2).alias("r"), F.count(F.lit(1)).over(by).cast("double").alias("stored"))
+    v = v.select(gene, cluster, value, F.floor(F.col(value) / step).alias("_b"))
+    ranges = v.groupBy(gene, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    own = Window.partitionBy(gene)
+    ahead = F.coalesce(F.sum("_n").over(own.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = ranges.select(gene, "_b", ahead.alias("_ahead"), F.sum("_n").over(own).cast("double").alias("stored"))
+    by = Window.partitionBy(gene, "_b")
+    tied = F.count(F.lit(1)).over(Window.partitionBy(gene, "_b", value))
+    ranked = v.withColumn("r", F.rank().over(by.orderBy(value)) + (tied.cast("double") - 1) / 2).join(placed, [gene, "_b"]).withColumn("r", F.col("r") + F.col("_ahead"))
     sums = ranked.groupBy(gene, cluster).agg(F.sum("r").alias("r"), F.count(F.lit(1)).cast("double").alias("k"))
     genes = ranked.groupBy(gene).agg(F.first("stored").alias("stored")).crossJoin(F.broadcast(n))
     every = genes.crossJoin(F.broadcast(sizes)).join(sums, [gene, cluster], "left")
@@ -78,13 +90,61 @@ def adjust(tests: DataFrame, p: str, cluster: str = "cluster", gene: str = "gene
 
 
 def two_sided_p(z: Column) -> Column:
-    """Two-sided normal p-value, by Abramowitz and Stegun 26.2.17 near 0 and the asymptotic series beyond 4."""
-    a = F.abs(z)
-    t = 1 / (1 + 0.2316419 * a)
-    poly = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
-    density = F.exp(-a * a / 2) / F.sqrt(F.lit(2) * F.pi())
-    far = density / a * (1 - 1 / (a * a) + 3 / (a**4) - 15 / (a**6) + 105 / (a**8))
-    return F.least(F.lit(1.0), 2 * F.when(a > 4, far).otherwise(density * poly))
+    """Two-sided normal p-value; null for null."""
+
+    def tail(v: pd.Series) -> pd.Series:
+        return v.map(lambda x: math.erfc(abs(x) / math.sqrt(2)), na_action="ignore")
+
+    ship(SparkSession.getActiveSession())
+    return F.pandas_udf(tail, "double")(z)
+
+
+def local_trend(x: np.ndarray, y: np.ndarray, span: float = 0.3, knots: int = 400) -> np.ndarray:
+    """Local quadratic fit of y on x with tricube weights over the nearest ``span`` of the points, at quantile knots, interpolated between."""
+    order = np.argsort(x, kind="stable")
+    xs, ys, n = x[order], y[order], len(x)
+    k = min(n, max(4, int(np.ceil(span * n))))
+    at = np.unique(np.quantile(xs, np.linspace(0, 1, min(knots, n))))
+    fitted = np.empty(len(at))
+    for i, c in enumerate(at):
+        a = int(np.clip(np.searchsorted(xs, c) - k // 2, 0, n - k))
+        while a > 0 and c - xs[a - 1] < xs[a + k - 1] - c:
+            a -= 1
+        while a + k < n and xs[a + k] - c < c - xs[a]:
+            a += 1
+        px, py = xs[a : a + k] - c, ys[a : a + k]
+        far = np.abs(px).max() or 1.0
+        w = np.sqrt((1 - np.minimum(np.abs(px) / far, 1) ** 3) ** 3 + 1e-12)
+        fitted[i] = np.linalg.lstsq(np.stack([np.ones(k), px, px * px], 1) * w[:, None], py * w, rcond=None)[0][0]
+    return np.interp(x, at, fitted)
+
+
+def stabilised_genes(values: DataFrame, n_cells: int, n_top: int, span: float = 0.3, cell: str = "cell", gene: str = "gene", value: str = "value") -> DataFrame:
+    """gene, mean, var, norm_var, place: the ``n_top`` genes with the largest variance of standardised, clipped values.
+
+    The variance expected of a mean is a local quadratic trend of log10 variance on log10 mean (Stuart
+    et al., 2019). Values are standardised by mean and expected deviation and clipped at the root of
+    the number of cells. One row a gene comes to the driver for the trend, values never do; genes
+    without variance have 0.
+    """
+    stats = cut(gene_mean_var(values, n_cells, gene, value))
+    fit = stats.filter("var > 0 and mean > 0").toPandas()  # one row a gene
+    sd = np.sqrt(10 ** local_trend(np.log10(fit["mean"].to_numpy()), np.log10(fit["var"].to_numpy()), span)) if len(fit) else np.zeros(0)
+    spark = values.sparkSession
+    expected = spark.createDataFrame(pd.DataFrame({gene: fit[gene], "sd": sd}), f"{gene} {stats.schema[gene].dataType.simpleString()}, sd double")
+    top = float(np.sqrt(n_cells))
+    per = stats.join(expected, gene).withColumn("z0", F.least(F.lit(top), -F.col("mean") / F.col("sd")))
+    z = F.least(F.lit(top), (F.col(value) - F.col("mean")) / F.col("sd"))
+    sums = values.join(per.select(gene, "mean", "sd"), gene).groupBy(gene).agg(F.sum(z * z).alias("q"), F.count(F.lit(1)).alias("k"))
+    norm = (F.col("q") + (n_cells - F.col("k")) * F.col("z0") * F.col("z0")) / max(1, n_cells - 1)
+    scored = stats.join(per.select(gene, "z0"), gene, "left").join(sums, gene, "left").withColumn("norm_var", F.round(F.coalesce(norm, F.lit(0.0)), 6))
+    place = F.row_number().over(Window.orderBy(F.desc("norm_var"), gene))
+    return scored.orderBy(F.desc("norm_var"), gene).limit(n_top).withColumn("place", place).select(gene, "mean", "var", "norm_var", "place")
+
+
+def gene_subset(matrix: DataFrame, genes: DataFrame, gene: str = "gene") -> DataFrame:
+    """Rows of the genes in ``genes``."""
+    return matrix.join(genes.select(gene), gene, "left_semi").select(*matrix.columns)
 
 
 def cluster_means(values: DataFrame, clusters: DataFrame, cell: str = "cell", gene: str = "gene", value: str = "value", cluster: str = "cluster") -> DataFrame:
@@ -100,10 +160,14 @@ def cluster_means(values: DataFrame, clusters: DataFrame, cell: str = "cell", ge
 
 
 def log_fold_change(means: DataFrame, gene: str = "gene", cluster: str = "cluster") -> DataFrame:
-    """log2 of mean normalised counts in the cluster over those in the rest."""
-    a = F.col("raw") / F.col("size")
+    """log2 of mean normalised counts in the cluster over those in the rest.
+
+    Both means are rounded to 9 places before 1e-9 is added, so that a gene that only one side has
+    does not depend on the order in which the other side's sum came to almost 0.
+    """
+    a = F.round(F.col("raw") / F.col("size"), 9)
     b = F.coalesce(F.try_divide(F.col("raw_all") - F.col("raw"), F.col("cells") - F.col("size")), F.lit(0.0))
-    return means.select(cluster, gene, F.log2((a + 1e-9) / (F.greatest(b, F.lit(0.0)) + 1e-9)).alias("logfc"))
+    return means.select(cluster, gene, F.log2((a + 1e-9) / (F.round(F.greatest(b, F.lit(0.0)), 9) + 1e-9)).alias("logfc"))
 
 
 def dotplot(means: DataFrame, gene: str = "gene", cluster: str = "cluster") -> DataFrame:

@@ -97,3 +97,45 @@ def centroid(edges: Column) -> tuple[Column, Column]:
         _total(edges, lambda e: (e["x1"] + e["x2"]) * (e["x1"] * e["y2"] - e["x2"] * e["y1"])) / (6 * a),
         _total(edges, lambda e: (e["y1"] + e["y2"]) * (e["x1"] * e["y2"] - e["x2"] * e["y1"])) / (6 * a),
     )
+
+
+def is_simple(edges: Column) -> Column:
+    """Whether a region has an area and no two of its edges cross. Edges that only share an end, or touch, do not cross."""
+
+    def side(a: Column, px: Column, py: Column) -> Column:
+        return F.signum((a["x2"] - a["x1"]) * (py - a["y1"]) - (a["y2"] - a["y1"]) * (px - a["x1"]))
+
+    def crosses(a: Column, b: Column) -> Column:
+        return (side(a, b["x1"], b["y1"]) * side(a, b["x2"], b["y2"]) < 0) & (side(b, a["x1"], a["y1"]) * side(b, a["x2"], a["y2"]) < 0)
+
+    return (F.abs(signed_area(edges)) > 0) & ~F.exists(edges, lambda a: F.exists(edges, lambda b: crosses(a, b)))
+
+
+def scan_spans(y: Column, edges: Column) -> Column:
+    """Array of (a, b): what of the line at ``y`` lies inside, in order."""
+    met = F.filter(edges, lambda s: (s["y1"] > y) != (s["y2"] > y))
+    crossings = F.array_sort(F.transform(met, lambda s: (s["x2"] - s["x1"]) * (y - s["y1"]) / (s["y2"] - s["y1"]) + s["x1"]))
+
+    def pairs(at: Column) -> Column:
+        each = F.transform(at, lambda v, i: F.struct(v.alias("a"), F.get(at, i + 1).alias("b"), (i % 2 == 0).alias("own")))
+        return F.filter(each, lambda p: p["own"] & p["b"].isNotNull())
+
+    return F.transform(F.array(crossings), pairs)[0]  # bound by a lambda, so that it is sorted once
+
+
+def representative_point(edges: Column) -> tuple[Column, Column]:
+    """A point inside: the middle of the widest span of the line halfway between the vertices next to the middle of the box."""
+    ys = F.flatten(F.transform(edges, lambda e: F.array(e["y1"], e["y2"])))
+    mid = (F.array_min(ys) + F.array_max(ys)) / 2
+    y = (F.array_max(F.filter(ys, lambda v: v <= mid)) + F.array_min(F.filter(ys, lambda v: v > mid))) / 2
+    widest = F.array_max(F.transform(scan_spans(y, edges), lambda p: F.struct((p["b"] - p["a"]).alias("w"), ((p["a"] + p["b"]) / 2).alias("x"))))
+    return widest["x"], y
+
+
+def repaired(edges: Column) -> Column:
+    """Edges without those of no length and those that come twice in opposite directions: what even-odd filling sees of a ring that is not valid.
+
+    A ring that crosses itself keeps its edges; inside is then what an odd number of them surrounds.
+    """
+    back = lambda e: F.exists(edges, lambda o: (o["x1"] == e["x2"]) & (o["y1"] == e["y2"]) & (o["x2"] == e["x1"]) & (o["y2"] == e["y1"]))
+    return F.filter(edges, lambda e: ((e["x1"] != e["x2"]) | (e["y1"] != e["y2"])) & ~back(e))

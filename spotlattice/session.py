@@ -7,7 +7,7 @@ import shutil
 import tempfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED = "_spotlattice_shipped"
 
@@ -24,9 +24,20 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cut(df):
-    """Eager, reliable checkpoint in the session's spark.checkpoint.dir, or in a local folder where none is set (tests, one machine)."""
-    sc = df.sparkSession.sparkContext
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and not sc._jsc.sc().getCheckpointDir().isDefined():
+def shared_dir(spark: SparkSession) -> str:
+    """The session's spark.checkpoint.dir; a local folder only where none is set and the master is local. A cluster without one raises."""
+    sc = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found.rstrip("/")
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: executors need a folder that all of them reach")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spotlattice-"))
+    return str(sc._jsc.sc().getCheckpointDir().get()).rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Eager, reliable checkpoint in the shared folder: survives lost executors."""
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -24,13 +24,13 @@ def parse_roi(data: bytes) -> tuple[list[float], list[float]]:
     version, kind, top, left = short(VERSION_AT), data[TYPE_AT], short(TOP_AT), short(LEFT_AT)
     if kind not in OUTLINES:
         raise ValueError(f"region type {kind} is no outline")
-    n = struct.unpack_from(">H", data, COUNT_AT)[0] or struct.unpack_from(">H", data, OTHER_COUNT_AT)[0]
+    n = struct.unpack_from(">H", data, COUNT_AT)[0] or struct.unpack_from(">i", data, OTHER_COUNT_AT)[0]
+    if n < 3 or len(data) < BODY_AT + 4 * n:
+        raise ValueError("fewer than three points" if n < 3 else "cut short")
     if short(OPTIONS_AT) & SUBPIXEL and version >= SUBPIXEL_VERSION and len(data) >= BODY_AT + 12 * n:
         x, y = (np.frombuffer(data, ">f4", n, BODY_AT + 4 * n + 4 * n * k).astype(float) for k in (0, 1))
     else:
         x, y = (np.frombuffer(data, ">i2", n, BODY_AT + 2 * n * k).astype(float) + o for k, o in ((0, left), (1, top)))
-    if n < 3:
-        raise ValueError("fewer than three points")
     xs, ys = x.tolist(), y.tolist()
     if (xs[0], ys[0]) != (xs[-1], ys[-1]):
         xs, ys = [*xs, xs[0]], [*ys, ys[0]]
@@ -38,16 +38,22 @@ def parse_roi(data: bytes) -> tuple[list[float], list[float]]:
 
 
 def read_rois(spark: SparkSession, path: str) -> DataFrame:
-    """roi, xs, ys of every region file under ``path``."""
+    """roi, xs, ys, error of every region file under ``path``; a file that is no outline has no ring and says why."""
     ship(spark)
 
+    def one(data: bytes) -> tuple:
+        try:
+            return (*parse_roi(data), None)
+        except (ValueError, struct.error) as e:
+            return None, None, str(e)
+
     def run(frames):
         for f in frames:
-            rings = [parse_roi(bytes(c)) for c in f["content"]]
-            yield pd.DataFrame({"roi": f["roi"], "xs": [r[0] for r in rings], "ys": [r[1] for r in rings]})
+            rings = [one(bytes(c)) for c in f["content"]]
+            yield pd.DataFrame({"roi": f["roi"], **{k: pd.Series([r[i] for r in rings], index=f.index, dtype=object) for i, k in enumerate(("xs", "ys", "error"))}})
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.roi").load(path)
-    return files.select(F.regexp_extract("path", r"([^/]+)\.roi$", 1).alias("roi"), "content").mapInPandas(run, "roi string, xs array<double>, ys array<double>")
+    return files.select(F.regexp_extract("path", r"([^/]+)\.roi$", 1).alias("roi"), "content").mapInPandas(run, "roi string, xs array<double>, ys array<double>, error string")
 
 
 #: Numbers of image tags, and bytes of their types.
@@ -96,7 +102,7 @@ def read_strips(spark: SparkSession, path: str) -> DataFrame:
     """path, y0, rows, width, channels, pixels (doubles in 0..1, row by row, three channels) of uncompressed TIFF strips.
 
     One grey channel becomes three, channels beyond three are left out, whole numbers are divided
-    by the largest of their type.
+    by the largest of their type; floating values stay.
     """
     ship(spark)
 

@@ -45,7 +45,7 @@ def roi(kind=7, points=((1, 2), (4, 2), (4, 6)), top=10, left=20, version=227, s
     struct.pack_into(">h", head, 4, version)
     head[6] = kind
     struct.pack_into(">hh", head, 8, top, left)
-    struct.pack_into(">H", head, 18 if late else 16, len(points))
+    struct.pack_into(*((">i", head, 18) if late else (">H", head, 16)), len(points))
     struct.pack_into(">h", head, 50, 128 if sub else 0)
     body = b"".join(struct.pack(f">{len(points)}h", *c) for c in zip(*points, strict=True))
     if sub:
@@ -63,7 +63,11 @@ def test_rois(spark, tmp_path):
         with pytest.raises(ValueError):
             binary.parse_roi(bad)
     (tmp_path / "a.roi").write_bytes(roi())
-    assert binary.read_rois(spark, str(tmp_path)).first().roi == "a"
+    (tmp_path / "b.roi").write_bytes(roi(1))
+    (tmp_path / "c.roi").write_bytes(roi()[:66])
+    got = {r.roi: r for r in binary.read_rois(spark, str(tmp_path)).collect()}
+    assert got["a"].xs[0] == 21.0 and got["a"].error is None
+    assert got["b"].xs is None and "outline" in got["b"].error and "short" in got["c"].error
 
 
 def tiff(px, order="<"):
@@ -101,7 +105,7 @@ def test_geojson(spark, tmp_path):
     assert [(r.cell_id, r.part, r.ring) for r in got] == [(5, 0, 0), (5, 0, 1), (None, 0, 0), (None, 1, 0)]
     assert got[0].xs == [0.0, 4.0, 4.0, 0.0, 0.0] and got[0].props["k"] == "v"
     rings = geojson.read(spark, str(tmp_path / "a.geojson")).withColumn("cell_id", F.coalesce("cell_id", F.lit(6)))
-    back = geojson.parse(geojson.collection(geojson.to_features(rings))).orderBy("cell_id", "part", "ring").collect()
+    back = geojson.parse_lines(geojson.to_features(rings)).orderBy("cell_id", "part", "ring").collect()
     assert [(r.cell_id, r.part, r.ring, r.xs, r.ys) for r in back] == [(r.cell_id or 6, r.part, r.ring, r.xs, r.ys) for r in got]
 
 
