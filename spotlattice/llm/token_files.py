@@ -94,7 +94,7 @@ def write_token_files(
     return cut(ordered.mapInPandas(run, MANIFEST))
 
 
-def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
+def read_token_files(manifest: DataFrame, folder: str, step: int = 4096) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, read from the files.
 
     ``start``: ids of all documents before it, in all files. The checksum is that of the ids as
@@ -106,16 +106,21 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
         for f in frames:
             for name, data in zip(f["file"], f["content"], strict=True):
                 got = TokenFile(data)
-                ends = got.ends.all()
-                begins = np.concatenate(([0], ends[:-1])).astype(np.int64)
-                wide = got.ids.astype("<u4")
-                sums = [zlib.crc32(wide[a:b].tobytes()) for a, b in zip(begins, ends, strict=True)]
-                own = pd.array(got.doc_ids, dtype="Int64")
-                own[got.doc_ids == NULL_ID] = pd.NA
-                yield pd.DataFrame({"file": name, "doc_id": own, "begin": begins, "n_tokens": ends - begins, "ids_crc32": np.array(sums, dtype=np.int64)})
-
-    before = Window.orderBy("task", "number").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
-    places = manifest.select("file", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("start"))
+                for a in range(0, len(got), step):  # a stretch at a time: no table of all offsets
+                    b = min(a + step, len(got))
+                    ends = got.ends.part(a, b)
+                    begins = np.concatenate(([got.ends.select(a - 1) if a else 0], ends[:-1]))
+                    sums = [zlib.crc32(got.ids[i:j].astype("<u4").tobytes()) for i, j in zip(begins, ends, strict=True)]
+                    own = pd.array(got.doc_ids(a, b), dtype="Int64")
+                    yield pd.DataFrame({"file": name, "doc_id": own, "begin": begins, "n_tokens": ends - begins, "ids_crc32": np.array(sums, dtype=np.int64)})
+
+    def ahead(w):
+        return F.coalesce(F.sum("n_ids").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    tasks = manifest.groupBy("task").agg(F.sum("n_ids").alias("n_ids"))
+    firsts = tasks.select("task", ahead(Window.orderBy("task")).alias("first"))  # one row a task
+    own = manifest.select("file", "task", ahead(Window.partitionBy("task").orderBy("number")).alias("own"))
+    places = own.join(F.broadcast(firsts), "task").select("file", (F.col("first") + F.col("own")).alias("start"))
     files = spark.read.format("binaryFile").load(f"{folder}/tokens-*.bin").select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
     found = files.mapInPandas(run, "file string, doc_id long, begin long, n_tokens long, ids_crc32 long")  # what is joined has no contents
     return found.join(places, "file").select("doc_id", (F.col("start") + F.col("begin")).alias("start"), "n_tokens", "ids_crc32")

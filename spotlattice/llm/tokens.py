@@ -19,15 +19,22 @@ import numpy as np
 
 #: Characters that some Unicode tables count as white space, or that join with what stands before.
 ODD = re.compile(r"[\x00-\x09\x0b-\x1f\x7f-\xa0̀-ͯᄀ-ᇿ ᠎ -‏ -  -⁤　﻿]")
-#: Letters in which both vocabularies' tables agree and that no normalisation changes but for case.
-LETTER = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
+
+
+def _letters() -> str:
+    """Latin letters up to U+024F in which both vocabularies' tables agree, and whose lower case is one of them."""
+    agreed = {chr(c) for a, b in ((0x41, 0x5A), (0x61, 0x7A), (0xC0, 0xD6), (0xD8, 0xF6), (0xF8, 0x12F), (0x131, 0x24F)) for c in range(a, b + 1)}
+    return "".join(sorted(c for c in agreed if c.lower() in agreed))
+
+
+LETTER = _letters()
 PLAIN = re.compile(rf"[\n -~{LETTER}]*+")
 #: How each vocabulary cuts a piece into words.
 ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
 BLANK_WORDS = re.compile(rf"{ENDINGS}| ?[{LETTER}]+| ?[0-9]+| ?[^\s{LETTER}0-9]+")
 BARE_WORDS = re.compile(rf"{ENDINGS}|[{LETTER}]+|[0-9]|[^\s{LETTER}0-9]+")
-#: Kept by a worker process; what comes after they are full is encoded each time.
-CACHE_PIECES, CACHE_WORDS = 700_000, 500_000
+#: Bytes kept by a worker process, with what an entry itself takes; what comes after they are full is encoded each time.
+CACHE_PIECES, CACHE_WORDS, ENTRY = 96_000_000, 48_000_000, 200
 
 
 def vocabulary_path(name: str) -> str:
@@ -65,6 +72,7 @@ class Encoder:
         self.line = self._whole(["\n"])[0]
         self.pieces: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {}
+        self.room_pieces, self.room_words = CACHE_PIECES, CACHE_WORDS
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u2").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -77,8 +85,10 @@ class Encoder:
             else:
                 seen = word.encode().decode("latin-1").translate(self.letters)
             found = array("H", [t.id for t in self.tokenize(seen)]).tobytes()
-            if len(self.words) < CACHE_WORDS:
+            takes = ENTRY + 2 * len(word) + len(found)
+            if takes <= self.room_words:
                 self.words[word] = found
+                self.room_words -= takes
         return found
 
     def _piece(self, piece: str) -> bytes:
@@ -109,8 +119,10 @@ class Encoder:
                     for i, y in enumerate(cut):
                         if got[i] is None:
                             got[i] = self._piece(y) if plain else self._whole([y])[0]
-                            if len(pieces) < CACHE_PIECES:
+                            takes = ENTRY + 2 * len(y) + len(got[i])
+                            if takes <= self.room_pieces:
                                 pieces[y] = got[i]
+                                self.room_pieces -= takes
                 lines.append(b"".join(got))
             out.append(self.line.join(lines))
         return [np.frombuffer(x, dtype="<u2") for x in out]

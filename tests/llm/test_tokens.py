@@ -1,5 +1,6 @@
 """Token ids, packing and token files: against the library, exact round trips, invariants of plans."""
 
+import itertools
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -119,7 +120,10 @@ def test_pack_documents(spark):
 def test_elias_fano(steps):
     v = np.cumsum(np.array(steps, dtype=np.int64))
     e = EliasFano.of(v)
-    assert e.all().tolist() == v.tolist() and [e.select(i) for i in range(len(v))] == v.tolist()
+    assert e.part(0, len(v)).tolist() == v.tolist() and [e.select(i) for i in range(len(v))] == v.tolist()
+    again, end = EliasFano.at(b"xyz" + (raw := e.to_bytes()), 3)
+    assert end == len(raw) + 3 and again.select(len(v) - 1) == v[-1] if len(v) else again.n == 0
+    assert all(again.part(a, b).tolist() == v[a:b].tolist() for a in range(0, len(v), 37) for b in (a, a + 1, a + 64, a + 200))
     if len(v) > 100:
         assert (len(e.low) + len(e.high)) * 8 <= len(v) * (3 + max(0, np.log2(max(1, v[-1] / len(v))))) + 64
     with pytest.raises(IndexError):
@@ -127,8 +131,14 @@ def test_elias_fano(steps):
 
 
 def test_token_file():
-    f = TokenFile(encode_file([5, None, 7], [2, 1, 3], np.arange(6, dtype="<u2").tobytes(), 2))
+    f = TokenFile(encode_file([None, -5, 7], [2, 1, 3], np.arange(6, dtype="<u2").tobytes(), 2))
     assert [f.doc(i).tolist() for i in range(3)] == [[0, 1], [2], [3, 4, 5]] and f.span(2) == (3, 6)
+    assert [f.doc_id(i) for i in range(3)] == f.doc_ids(0, 3) == [None, -5, 7] and f.doc_ids(1, 9) == [-5, 7]
+    n = 20_000
+    r = np.random.default_rng(0)
+    sizes, keys = r.integers(1, 900, n), np.sort(r.integers(0, 10**12, n))
+    data = encode_file(keys.tolist(), sizes.tolist(), b"", 2)
+    assert len(data) < 9 * n and len(EliasFano.of(keys).directory) * 4 < n
     with pytest.raises(ValueError):
         TokenFile(b"x" * 100)
 
@@ -151,3 +161,25 @@ def test_token_files_round_trip(spark, tmp_path):
     assert token_files.token_file_round_trip(docs.limit(0)).count() == 0
     left = docs.select(F.col("text").alias("t"), F.col("doc_id").alias("i"))
     assert token_files.token_file_round_trip(left, "i", "t").count() == len(data)
+
+
+@pytest.mark.parametrize("file,blank", FILES, ids=["byte", "word"])
+def test_every_letter_in_context_is_the_untouched_librarys(file, blank):
+    from tokenizers import Tokenizer
+
+    plain, own = Tokenizer.from_file(vocabulary_path(file)), Encoder(vocabulary_path(file), blank)
+    points = [c for c in itertools.chain(range(1, 0x600), range(0x1E00, 0x2200), range(0x2C60, 0x2C80), range(0xA720, 0xA7F0)) if not 0xD800 <= c < 0xE000]
+    texts = [f"ab{chr(c)}cd ={chr(c)} x{chr(c)}'s {chr(c)}, {chr(c).upper()}{chr(c).lower()}" for c in points]
+    want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert [hex(c) for c, a, b in zip(points, own.encode(texts), want, strict=True) if a.tolist() != b] == []
+
+
+def test_caches_are_bounded_in_bytes(monkeypatch):
+    from spotlattice.llm import tokens
+
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 50_000)
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 20_000)
+    e = Encoder(vocabulary_path(FILES[0][0]), True)
+    long = [" ".join(f"{i}x" * 500 for i in range(k, k + 20)) for k in range(0, 200, 20)]
+    assert [x.tolist() for x in e.encode(long)] == [expected(e, t) for t in long]
+    assert sum(len(k) + len(v) for k, v in e.pieces.items()) < 50_000 and sum(len(k) + len(v) for k, v in e.words.items()) < 20_000
