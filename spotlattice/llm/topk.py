@@ -2,29 +2,45 @@
 
 A node's inner product with a query is at most q . centre + |q| * radius. Nodes are visited in the
 order of that bound and left out once it is below the current kth score of every query that is
-still open. A pilot shard is searched first; its kth scores go to all shards, and within a task
-they pass from shard to shard.
+still open. Trees are built once, a row each, and so are blocks of queries; every pair of a tree and
+a block is searched where Spark's join brings the two together. A bounded pilot is searched first:
+its kth scores travel with the queries, and pairs of one block in one task pass on what they found.
 """
 
 from __future__ import annotations
 
 import heapq
+import io
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import cut, ship
 
 NO_ID = (1 << 63) - 1
 LOWEST = -(1 << 63)
-RESULT = "q long, vec_id long, score long"
+RESULT = "block int, q int, query_id long, vec_id long, score long"
+
+
+def packed(**arrays: np.ndarray) -> bytes:
+    out = io.BytesIO()
+    np.savez(out, **arrays)
+    return out.getvalue()
+
+
+def unpacked(data: bytes) -> dict[str, np.ndarray]:
+    with np.load(io.BytesIO(data)) as got:
+        return {k: got[k] for k in got.files}
 
 
 class BallTree:
     def __init__(self, ids: np.ndarray, x: np.ndarray, leaf: int):
-        self.x, self.ids, self.nodes = x, ids, []
+        self.x, self.ids = x, ids
+        spans: list[list[int]] = []
+        centres, radii = [], []
         order = np.arange(len(x))
         f = x.astype(np.float64)
         todo = [(0, len(x), -1, 0)]
@@ -33,16 +49,29 @@ class BallTree:
             own = f[order[a:b]]
             centre = own.mean(axis=0)
             radius = float(np.sqrt(((own - centre) ** 2).sum(axis=1).max()))
-            self.nodes.append([a, b, centre, radius, -1, -1])
-            me = len(self.nodes) - 1
+            spans.append([a, b, -1, -1])
+            centres.append(centre)
+            radii.append(radius)
+            me = len(spans) - 1
             if parent >= 0:
-                self.nodes[parent][4 + side] = me
+                spans[parent][2 + side] = me
             if b - a > leaf and radius > 0:
                 axis = int(own.var(axis=0).argmax())
                 mid = (b - a) // 2
                 order[a:b] = order[a:b][np.argpartition(own[:, axis], mid)]
                 todo += [(a, a + mid, me, 0), (a + mid, b, me, 1)]
-        self.order = order
+        self.order, self.spans, self.centres, self.radii = order, np.array(spans).reshape(-1, 4), np.array(centres), np.array(radii)
+
+    def to_bytes(self) -> bytes:
+        small = self.x.astype(np.int32) if len(self.x) and np.abs(self.x.astype(np.float64)).max() < 2**31 else self.x
+        return packed(x=small, ids=self.ids, order=self.order, spans=self.spans, centres=self.centres, radii=self.radii)
+
+    @classmethod
+    def of_bytes(cls, data: bytes) -> BallTree:
+        out = cls.__new__(cls)
+        out.__dict__.update(unpacked(data))
+        out.x = out.x.astype(np.int64)
+        return out
 
     def search(self, queries: Queries) -> None:
         if not len(self.x) or not len(queries.x):
@@ -54,13 +83,13 @@ class BallTree:
             who = who[open_]
             if not len(who):
                 continue
-            a, b, _, _, left, right = self.nodes[at]
+            a, b, left, right = self.spans[at]
             if left < 0:
                 rows = self.order[a:b]
                 queries.offer(who, self.ids[rows], self.x[rows])
                 continue
-            for child in (left, right):
-                centre, radius = self.nodes[child][2:4]
+            for child in (int(left), int(right)):
+                centre, radius = self.centres[child], self.radii[child]
                 norm = queries.norm[who]
                 bound = queries.f[who] @ centre + norm * radius
                 bound += 1e-9 * norm * (np.sqrt(centre @ centre) + radius) + 1e-6  # rounding
@@ -97,41 +126,28 @@ class Queries:
         last = np.where(self.filled[who][:, -1], self.best[who][:, -1].astype(np.float64), -np.inf)
         self.kth[who] = np.maximum(self.least[who], last)
 
-    def result(self, keys: np.ndarray) -> pd.DataFrame:
+    def result(self, block: int) -> pd.DataFrame:
         worth = self.filled & (self.best >= np.where(np.isinf(self.least), LOWEST, self.least)[:, None])
         row, col = np.nonzero(worth)
-        return pd.DataFrame({"q": keys[row], "vec_id": self.best_ids[row, col], "score": self.best[row, col]})
+        return pd.DataFrame({"block": block, "q": row.astype(np.int32), "query_id": self.ids[row], "vec_id": self.best_ids[row, col], "score": self.best[row, col]})
 
 
 def _descending(scores: np.ndarray) -> np.ndarray:
     return ~scores  # -x - 1 keeps the order and does not overflow
 
 
-def _shards(frames, size: int):
-    held: list[pd.DataFrame] = []
-    n = 0
+def _of_size(frames, size: int):
+    """Runs of rows with vectors of one length: (ids, vectors), ``size`` rows at most."""
+    held: dict[int, list[tuple]] = {}
     for f in frames:
-        for at in range(0, len(f), size):
-            held.append(f.iloc[at : at + size])
-            n += len(held[-1])
-            if n >= size:
-                yield pd.concat(held)
-                held, n = [], 0
-    if held:
-        yield pd.concat(held)
-
-
-def _search(frames, blocks: list[tuple], k: int, shard_rows: int, leaf: int):
-    """blocks: one per length of vector: (length, keys, ids, vectors, kth or None)."""
-    open_ = {length: (keys, Queries(ids, x, k, kth)) for length, keys, ids, x, kth in blocks}
-    for shard in _shards(frames, shard_rows):
-        sizes = shard["v"].map(len).to_numpy()
-        for length, (_, queries) in open_.items():
-            own = shard[sizes == length]
-            if len(own):
-                BallTree(own["vec_id"].to_numpy(), np.stack(own["v"].to_numpy()), leaf).search(queries)
-    for keys, queries in open_.values():
-        yield queries.result(keys)
+        for i, v in zip(f["vec_id"], f["v"], strict=True):
+            own = held.setdefault(len(v), [])
+            own.append((i, v))
+            if len(own) == size:
+                yield np.array([i for i, _ in own]), np.stack([v for _, v in own])
+                del held[len(v)]
+    for own in held.values():
+        yield np.array([i for i, _ in own]), np.stack([v for _, v in own])
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str, scale: float) -> DataFrame:
@@ -163,33 +179,53 @@ def top_k(
     """
     spark = ship(vectors.sparkSession)
     rows = usable(vectors, id_col, vector_col, scale)
-    queries = rows.filter((F.col("vec_id") % every == 0) & (F.col("vec_id") != NO_ID))
-    n, n_queries = rows.count(), queries.count()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    asks = (F.col("vec_id") % every == 0) & (F.col("vec_id") != NO_ID)
+    n, n_queries = rows.agg(F.count(F.lit(1)), F.count_if(asks)).first()
     if not n_queries:
-        return empty
-    shards = rows.repartition(max(1, -(-n // shard_rows)), "vec_id")
-    n_blocks = -(-n_queries // block)
-    pilot = rows.filter(F.pmod(F.xxhash64("vec_id"), F.lit(max(1, n // shard_rows))) == 0).limit(shard_rows)
-    parts = []
-    for b in range(n_blocks):
-        own = queries.filter(F.pmod(F.xxhash64("vec_id", F.lit(b"q")), F.lit(n_blocks)) == b).toPandas()  # about ``block`` rows
-        if own.empty:
-            continue
-        keys = np.arange(len(own)) + (b << 40)
-        sizes = own["v"].map(len).to_numpy()
-        blocks = [(m, keys[sizes == m], own["vec_id"].to_numpy()[sizes == m], np.stack(own["v"].to_numpy()[sizes == m]), None) for m in np.unique(sizes)]
-        first = pd.concat(_search([pilot.toPandas()], blocks, k, shard_rows, leaf))
-        counts = first.groupby("q")["score"].agg(["size", "min"])
-        low = counts["min"][counts["size"] >= k].reindex(keys).to_numpy(dtype=np.float64)
-        low = np.where(np.isnan(low), -np.inf, low)
-        shared = spark.sparkContext.broadcast([(m, q, i, x, low[sizes == m]) for m, q, i, x, _ in blocks])
-        names = spark.createDataFrame(pd.DataFrame({"q": keys, "query_id": own["vec_id"]}), "q long, query_id long")
-        found = shards.mapInPandas(lambda frames, shared=shared: _search(frames, shared.value, k, shard_rows, leaf), RESULT)
-        place = Window.partitionBy("q").orderBy(F.desc("score"), F.asc("vec_id"))
-        best = found.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k)
-        parts.append(best.join(names, "q").select("query_id", "rank", F.when(F.col("vec_id") != NO_ID, F.col("vec_id")).alias("vec_id"), "score"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    place = F.xxhash64("vec_id", "v", F.lit(b"q"))
+    sample = rows.filter(F.pmod(F.xxhash64("vec_id", "v"), F.lit(max(1, n // shard_rows))) == 0).limit(shard_rows)
+    pilot = spark.sparkContext.broadcast([BallTree(i, x, leaf) for i, x in _of_size([sample.toPandas()], shard_rows)])  # shard_rows vectors at most
+
+    def trees(frames):
+        for i, x in _of_size(frames, shard_rows):
+            yield pd.DataFrame({"length": [x.shape[1]], "tree": [BallTree(i, x, leaf).to_bytes()]})
+
+    def blocks(frames):
+        for i, x in _of_size(frames, block):
+            own = Queries(i, x, k)
+            for t in pilot.value:
+                if t.x.shape[1] == x.shape[1]:
+                    t.search(own)
+            kth = np.where(own.filled[:, -1], own.best[:, -1].astype(np.float64), -np.inf)
+            yield pd.DataFrame({"length": [x.shape[1]], "asked": [packed(ids=i, x=x, kth=kth)]})
+
+    def search(batches):
+        now, own = None, None
+        for b in batches:
+            for number, asked, tree in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
+                if number != now:
+                    if own is not None:
+                        yield pa.RecordBatch.from_pandas(own.result(now), schema=out, preserve_index=False)
+                    q = unpacked(asked.as_py())
+                    now, own = number, Queries(q["ids"], q["x"], k, q["kth"])
+                BallTree.of_bytes(tree.as_py()).search(own)
+        if own is not None:
+            yield pa.RecordBatch.from_pandas(own.result(now), schema=out, preserve_index=False)
+
+    out = pa.schema([("block", pa.int32()), ("q", pa.int32()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    shards = max(1, -(-n // shard_rows))
+    made = cut(rows.repartition(shards, F.xxhash64("vec_id", "v")).mapInPandas(trees, "length int, tree binary"))
+    given = cut(rows.filter(asks).repartition(max(1, -(-n_queries // block)), place).mapInPandas(blocks, "length int, asked binary"))
+    number = given.select("length", "asked", F.monotonically_increasing_id().alias("m"))
+    numbered = cut(number.withColumn("block", F.row_number().over(Window.orderBy("m"))).drop("m"))  # one row a block
+    n_blocks = numbered.count()
+    # every tree meets every block of its length; a block lies in as many slots as keep all tasks busy
+    slots = max(1, min(shards, -(-2 * spark.sparkContext.defaultParallelism // n_blocks)))
+    each = F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))
+    trees_in = made.withColumn("slot", F.pmod(F.monotonically_increasing_id() + F.spark_partition_id(), F.lit(slots)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(1), F.lit(n_blocks))))
+    pairs = numbered.withColumn("slot", each).repartition(n_blocks * slots, "block", "slot").join(trees_in.hint("merge"), ["block", "slot", "length"])
+    found = pairs.select("block", "asked", "tree").mapInArrow(search, RESULT)
+    best = Window.partitionBy("block", "q").orderBy(F.desc("score"), F.asc("vec_id"))
+    top = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return top.select("query_id", "rank", F.when(F.col("vec_id") != NO_ID, F.col("vec_id")).alias("vec_id"), "score")

@@ -58,7 +58,7 @@ def test_ball_tree_leaves_nodes_out():
     q = topk.Queries(np.array([-1]), np.array([[1000, 1000, 1000, 1000]]), 5)
     offer = q.offer
     q.offer = lambda who, ids, rows: (seen.append(len(ids)), offer(who, ids, rows))
-    topk.BallTree(np.arange(1000), x.astype(np.int64), 32).search(q)
+    topk.BallTree.of_bytes(topk.BallTree(np.arange(1000), x.astype(np.int64), 32).to_bytes()).search(q)
     assert sum(seen) < 600
     assert set(q.best_ids[0]) == set(np.argsort(-(x.astype(np.int64) @ np.full(4, 1000)), kind="stable")[:5])
 
