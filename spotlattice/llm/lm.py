@@ -27,10 +27,12 @@ from .storage import cut
 SYMBOLS, CLASSES = 1024, 64
 HEAD = SYMBOLS - CLASSES  # symbol 0 is the end of a text
 DIMS, NOISE, BATCH = 24, 32, 1024
+#: Words of one text that are looked up and scored at a time.
+STRETCH = 1 << 20
 
 
 def _classes(w: Words) -> np.ndarray:
-    return ((w.lead[0].astype(np.int64) * 31 + w.lead[1]) % CLASSES).astype(np.int64)
+    return ((w.lead[0].astype(np.int16) * 31 + w.lead[1]) % CLASSES).astype(np.int16)
 
 
 def _as_long(h: np.ndarray) -> np.ndarray:
@@ -122,21 +124,23 @@ def build_dictionary(counts: DataFrame, n_texts: int, size: int = 1 << 19) -> Di
 
 
 def _symbols(w: Words, d: Dictionary) -> np.ndarray:
-    """Symbol of each word."""
-    if not len(d.head) or not w.n:
-        return HEAD + _classes(w)
-    h = _as_long(w.hash)
-    at = np.minimum(np.searchsorted(d.head, h), len(d.head) - 1)
-    return np.where(d.head[at] == h, d.head_symbol[at], HEAD + _classes(w))
+    """Symbol of each word, in 16 bits."""
+    out = HEAD + _classes(w)
+    if len(d.head):
+        for a in range(0, w.n, STRETCH):
+            h = _as_long(w.hash[a : a + STRETCH])
+            at = np.minimum(np.searchsorted(d.head, h), len(d.head) - 1)
+            out[a : a + STRETCH] = np.where(d.head[at] == h, d.head_symbol[at], out[a : a + STRETCH])
+    return out
 
 
 def _stream(w: Words, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols of whole texts with their ends, and the one and two symbols before each (the end where there is none)."""
     texts = len(w.begin) - 1
-    s = np.zeros(w.n + texts, dtype=np.int64)
-    s[np.arange(w.n) + w.doc] = symbols
-    one = np.concatenate(([0], s[:-1])) if len(s) else s
-    two = np.concatenate(([0, 0], s[:-2]))[: len(s)]
+    s = np.zeros(w.n + texts, dtype=np.int16)
+    s[np.delete(np.arange(w.n + texts, dtype=np.int32), w.begin[1:] + np.arange(texts))] = symbols
+    one = np.concatenate((np.zeros(1, np.int16), s[:-1])) if len(s) else s
+    two = np.concatenate((np.zeros(2, np.int16), s[:-2]))[: len(s)]
     two[w.begin[:-1] + np.arange(texts)] = 0
     return s, one, two
 
@@ -188,10 +192,11 @@ class Trainer:
         self.square = [np.full_like(p, 1e-3) for p in weights.parts()]
 
     def train(self, s: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
-        order = self.rng.permutation(len(s))
-        for at in range(0, len(order), BATCH):
-            own = order[at : at + BATCH]
-            self._step(s[own], one[own], two[own])
+        for a in range(0, len(s), STRETCH):
+            order = a + self.rng.permutation(min(STRETCH, len(s) - a))
+            for at in range(0, len(order), BATCH):
+                own = order[at : at + BATCH]
+                self._step(s[own].astype(np.int64), one[own].astype(np.int64), two[own].astype(np.int64))
         self.seen += len(s)
 
     def _step(self, s, one, two) -> None:
@@ -296,21 +301,31 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text_
             for _, t in runs_of(b.column(0)):
                 w = Words(t)
                 n = len(t)
-                h = _as_long(w.hash)
-                at = np.minimum(np.searchsorted(d.h, h), max(0, len(d.h) - 1))
-                listed = d.h[at] == h if len(d.h) else np.zeros(w.n, bool)
-                symbols = np.where(listed, d.symbol[at], HEAD + _classes(w)) if len(d.h) else HEAD + _classes(w)
-                own = np.where(listed, logs[at], 0.0) if len(d.h) else np.zeros(w.n)
-                tail = symbols >= HEAD
+                base, score, known, rest_of, rest = np.full(n, np.log10(d.end_count + 1.0)), np.zeros(n), np.full(n, int(d.end_count > 0)), np.zeros(n, np.int64), []
+                symbols = HEAD + _classes(w)
+                for a in range(0, w.n if len(d.h) else 0, STRETCH):
+                    h, doc = _as_long(w.hash[a : a + STRETCH]), w.doc[a : a + STRETCH]
+                    at = np.minimum(np.searchsorted(d.h, h), len(d.h) - 1)
+                    listed = d.h[at] == h
+                    sym = np.where(listed, d.symbol[at], symbols[a : a + STRETCH])
+                    symbols[a : a + STRETCH] = sym
+                    own = np.where(listed, logs[at], 0.0)
+                    base += np.bincount(doc, own, n)
+                    score += np.bincount(doc, np.where(sym >= HEAD, own - d.class_log[np.maximum(sym - HEAD, 0)], 0.0), n)
+                    known += np.bincount(doc, listed, n).astype(np.int64)
+                    rest_of += np.bincount(doc[~listed], minlength=n)
+                    rest.append(h[~listed])
+                if w.n and not len(d.h):
+                    score -= np.bincount(w.doc, d.class_log[symbols - HEAD], n)
+                    rest_of += np.bincount(w.doc, minlength=n)
+                    rest.append(_as_long(w.hash))
                 s, one, two = _stream(w, symbols)
-                of_token = np.repeat(np.arange(n), np.diff(w.begin) + 1)
-                base = np.bincount(w.doc, own, n) + np.log10(d.end_count + 1.0)
-                score = np.bincount(of_token, tables.log10(s, one, two), n)
-                score += np.bincount(w.doc, np.where(tail, own - d.class_log[np.maximum(symbols - HEAD, 0)], 0.0), n)
-                known = np.bincount(w.doc, listed, n).astype(np.int64) + (d.end_count > 0)
-                rest = ~listed
-                ends = np.concatenate(([0], np.cumsum(np.bincount(w.doc[rest], minlength=n))))
-                parts.append((np.diff(w.begin) + 1, known, base, score, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(h[rest]))))
+                ends_at = w.begin[1:] + np.arange(1, n + 1)
+                for a in range(0, len(s), STRETCH):
+                    to = min(a + STRETCH, len(s))
+                    score += np.bincount(np.searchsorted(ends_at, np.arange(a, to), "right"), tables.log10(s[a:to], one[a:to], two[a:to]), n)
+                ends = np.concatenate(([0], np.cumsum(rest_of)))
+                parts.append((np.diff(w.begin) + 1, known, base, score, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate(rest) if rest else np.zeros(0, np.int64)))))
             if parts:
                 flat = [pa.concat_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in col]) for col in zip(*parts, strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column(1), *flat], names=["_k", "n_tokens", "n_known", "base", "score", "rest"])

@@ -28,6 +28,8 @@ from .components import components
 from .storage import cut
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Shingles of a text that are worked out at a time.
+STRETCH = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -54,14 +56,17 @@ def shingles(texts: list[bytes | None], size: int) -> tuple[np.ndarray, np.ndarr
     n = np.diff(w.begin)
     counts = np.where(n >= size, n - size + 1, (n > 0).astype(np.int64))
     begin = np.concatenate(([0], np.cumsum(counts)))
-    first = np.arange(begin[-1]) - np.repeat(begin[:-1] - w.begin[:-1], counts)
-    last = np.repeat(w.begin[1:], counts)
     out = np.zeros(begin[-1], dtype=np.uint64)
-    for j in range(size):
-        at = first + j
-        ok = at < last
-        out = out * ODD + np.where(ok, w.hash[np.minimum(at, max(0, w.n - 1))] if w.n else np.uint64(0), np.uint64(j + 1))
-    return mix(out), begin
+    for a in range(0, len(out), STRETCH):
+        place = np.arange(a, min(a + STRETCH, len(out)))
+        doc = np.searchsorted(begin, place, "right") - 1
+        first = place - begin[doc] + w.begin[doc]
+        last = w.begin[doc + 1]
+        own = np.zeros(len(place), dtype=np.uint64)
+        for j in range(size):
+            own = own * ODD + np.where(first + j < last, w.hash[np.minimum(first + j, w.n - 1)], np.uint64(j + 1))
+        out[a : a + STRETCH] = mix(own)
+    return out, begin
 
 
 @dataclass

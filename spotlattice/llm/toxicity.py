@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship
@@ -74,11 +74,21 @@ class Model:
         pooled = [np.maximum(np.maximum.reduceat(self.convolve(e, begin, k), begin[:-1], axis=0), 0) for k in WIDTHS]
         return np.concatenate(pooled, axis=1) @ self.out + self.out_bias
 
+    def long_logit(self, got: np.ndarray, step: int = 1 << 17) -> float:
+        """As ``logits`` of one text, a stretch of words at a time; each stretch reads the words that its last filters reach."""
+        top = np.zeros(len(self.out), dtype=np.float32)
+        for a in range(0, len(got), step):
+            e = self.embed(got[a : a + step + WIDTHS[-1] - 1])
+            ends = np.array([0, len(e)])
+            top = np.maximum(top, np.concatenate([self.convolve(e, ends, k)[:step].max(axis=0) for k in WIDTHS]))
+        return float(top @ self.out + self.out_bias)
+
     def scores(self, texts: list[bytes | None]) -> np.ndarray:
         if not texts:
             return np.zeros(0)
         got, begin = features(texts, self.tables.shape[1])
-        return 1 / (1 + np.exp(-np.clip(self.logits(got, begin).astype(np.float64), -30, 30)))
+        z = np.array([self.long_logit(got)]) if len(texts) == 1 else self.logits(got, begin)
+        return 1 / (1 + np.exp(-np.clip(z.astype(np.float64), -30, 30)))
 
 
 def _start(got: np.ndarray, begin: np.ndarray, y: np.ndarray, buckets: int, dims: int, filters: int, seed: int) -> Model:
@@ -195,21 +205,25 @@ def calibrate(model: Model, counts: pd.DataFrame, least: int = 20) -> Model:
     return model
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", positives: int = 2000, negatives: int = 3000, seed: int = 7) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", positives: int = 2000, negatives: int = 3000, most_bytes: int = 64_000_000, seed: int = 7) -> Model:
     """``labels``: id and toxic (0 or 1; null counts as no label, and 1 wins if an id has both).
 
     A bounded sample is collected: up to ``positives`` and ``negatives`` ids of the two labels, in
-    the order of a hash of the id, and then the texts of these ids alone. Four in five of them train
-    the model, weighed as the labels of all ids are mixed. All other labelled rows are scored, and
-    counts of their scores set the thresholds. Without rows of both labels scores are low.
+    the order of a hash of the id, and then the texts of these ids alone, one a row id (of rows that
+    repeat an id, the smallest by hash of the text), in the order of the hash until they come to
+    ``most_bytes``; a text of more than a 64th of that is left to the thresholds. Four in five of them train the model, weighed as the labels of all ids are mixed.
+    All other labelled rows are scored, and counts of their scores set the thresholds. Without rows
+    of both labels scores are low.
     """
     key = F.xxhash64(F.col(id_col), F.lit(seed))
     marks = labels.filter(F.col("toxic").isin(0, 1) & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max("toxic").cast("int").alias("toxic")).withColumn("k", key)
     own = [marks.filter(F.col("toxic") == v).orderBy("k", id_col).limit(n) for v, n in ((1, positives), (0, negatives))]
     sample = F.broadcast(own[0].union(own[1]).withColumnRenamed(id_col, "_id"))  # positives + negatives rows at most
     text = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("text")
-    rows = docs.select(F.col(id_col).alias("_id"), text, F.col(lang_col).alias("lang")).join(sample, "_id").toPandas()
-    got = rows.sort_values(["k", "_id", "text"], kind="stable").drop_duplicates("_id")
+    found = docs.select(F.col(id_col).alias("_id"), text).join(sample, "_id")
+    once = found.filter(F.length("text") <= most_bytes // 64).groupBy("_id", "k", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("s")).select("_id", "k", "toxic", "s.text")
+    size = F.sum(F.length("text").cast("long")).over(Window.orderBy("k", "_id"))  # positives + negatives rows at most
+    got = once.withColumn("_upto", size).filter(F.col("_upto") <= most_bytes).drop("_upto").toPandas().sort_values(["k", "_id"], kind="stable")
     texts, y = [bytes(t) for t in got["text"]], got["toxic"].to_numpy(dtype=np.int64)
     aside = (got["k"].to_numpy(dtype=np.int64) // 64 % 5) == 0
     share = marks.agg(F.avg("toxic")).first()[0]
@@ -220,7 +234,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # texts stay where they are: scores are joined with the labels
     scored = score(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")), model, column="_s").select("_id", "lang", "_s")
     place = F.size(F.filter(F.array(*[F.lit(float(t)) for t in TRIED]), lambda t: t <= F.col("_s")))
-    used = sample.filter(F.pmod(F.shiftright("k", 6), F.lit(5)) != 0).select("_id", F.lit(True).alias("used"))
+    trained = got["_id"][~aside]
+    used = docs.sparkSession.createDataFrame(pd.DataFrame({"_id": trained, "used": True}), f"_id {docs.schema[id_col].dataType.simpleString()}, used boolean")
     marked = scored.join(marks.select(F.col(id_col).alias("_id"), "toxic"), "_id").join(F.broadcast(used), "_id", "left")
     counts = marked.groupBy("lang", "toxic", F.when(F.col("used").isNull(), place).alias("place")).agg(F.count(F.lit(1)).alias("n"))
     return calibrate(model, counts.toPandas())  # two labels and 62 places a language
