@@ -3,9 +3,11 @@
 A document is a weighted set: shingles of five words, each weighted by how often it occurs times
 its inverse document frequency, which is counted over all documents. Consistent weighted samples
 of the sets (Ioffe, 2010) are banded; documents that share a band are candidates. Candidates are
-gathered into coarse components without a pair being listed, and within a component every pair is
-verified by weighted Jaccard similarity, in blocks. Only the links of a spanning forest leave a
-block; they keep every class together.
+gathered into coarse components without a pair being listed. Weighted Jaccard similarity then
+verifies them: a component of one block has all its pairs compared; in a larger one every text is
+compared with a pivot first, and only texts that the pivot does not hold are compared with all
+others, in pairs of blocks. Texts the pivot holds are one class already, so no class is lost. Only
+the links of a spanning forest leave a block.
 
 Texts that differ only in white space or the case of A-Z are one text here, kept once by the
 digest of its words.
@@ -39,9 +41,9 @@ class Settings:
     bands: int = 18
     rows: int = 5
     #: Shingles in fewer than this share of all documents weigh as the rarest do; it bounds the table of the others.
-    common: float = 0.001
+    common: float = 0.0001
     #: How much more the rarest shingle weighs than one that is in every document.
-    idf: float = 0.2
+    idf: float = 0.5
     block: int = 512
     seed: int = 20
 
@@ -161,7 +163,11 @@ def count_shingles(texts: DataFrame, total: int, s: Settings) -> Frequencies:
 
 
 class Sampler:
-    """Improved consistent weighted sampling; its variates are functions of shingle and sample number alone."""
+    """Improved consistent weighted sampling; its variates are functions of shingle and sample number alone.
+
+    The three variates of a sample come together from a table of 65,536 draws. For the weight that
+    most shingles have, a rare one that occurs once, what a draw is worth is worked out beforehand.
+    """
 
     def __init__(self, s: Settings):
         rng = np.random.default_rng(s.seed)
@@ -171,22 +177,30 @@ class Sampler:
         self.r = rng.gamma(2, 1, 1 << 16).astype(np.float32)
         self.log_c = np.log(rng.gamma(2, 1, 1 << 16)).astype(np.float32)
         self.beta = rng.random(1 << 16).astype(np.float32)
+        self.usual = np.float32(1 + np.float32(s.idf))
+        self.usual_value, self.usual_t = self._worth(np.log(self.usual), np.arange(1 << 16))
+
+    def _worth(self, log_w: np.ndarray, draw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        r, beta = self.r[draw], self.beta[draw]
+        t = np.floor(log_w / r + beta)
+        return self.log_c[draw] - r * (t - beta + 1), t
 
     def bands(self, h: np.ndarray, w: np.ndarray, at_once: int = 4096) -> np.ndarray:
         best = np.full(self.k, np.inf, dtype=np.float32)
         name = np.zeros(self.k, dtype=np.uint64)
-        low = np.uint64(0xFFFF)
-        for a in range(0, len(h), at_once):
-            own, log_w = h[a : a + at_once, None], np.log(w[a : a + at_once])[:, None]
-            x = own * self.odd
-            r, beta = self.r[x >> np.uint64(48)], self.beta[(x >> np.uint64(16)) & low]
-            t = np.floor(log_w / r + beta)
-            value = self.log_c[(x >> np.uint64(32)) & low] - r * (t - beta + 1)
-            win = value.argmin(axis=0)
-            cols = np.arange(self.k)
-            better = value[win, cols] < best
-            best = np.where(better, value[win, cols], best)
-            name = np.where(better, mix(own[win, 0] ^ (t[win, cols].astype(np.int64).view(np.uint64) * ODD)), name)
+        cols = np.arange(self.k)
+        usual = w == self.usual
+        for own, log_w in ((h[usual], None), (h[~usual], np.log(w[~usual])[:, None])):
+            for a in range(0, len(own), at_once):
+                part = own[a : a + at_once]
+                draw = ((part[:, None] * self.odd) >> np.uint64(48)).astype(np.uint16)
+                value, t = (self.usual_value[draw], None) if log_w is None else self._worth(log_w[a : a + at_once], draw)
+                win = value.argmin(axis=0)
+                top = value[win, cols]
+                level = self.usual_t[draw[win, cols]] if t is None else t[win, cols]
+                better = top < best
+                best = np.where(better, top, best)
+                name = np.where(better, mix(part[win] ^ (level.astype(np.int64).view(np.uint64) * ODD)), name)
         out = np.arange(1, self.s.bands + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
         for j in range(self.s.rows):
             out = mix(out * ODD + name.reshape(self.s.bands, self.s.rows)[:, j])
@@ -250,10 +264,12 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spark, s = ship(docs.sparkSession), settings
     extra = list(carry or {})
-    rows = docs.select(F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("text"), F.col(id_col).alias("_id"), *[c.alias(f"_c_{k}") for k, c in (carry or {}).items()])
-    texts = rows.select("text")
+    text = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")
+    same = [F.xxhash64(text).alias("_h"), F.crc32(text).alias("_c")]  # with the id they name a text among all
+    rows = docs.select(text.alias("text"), F.col(id_col).alias("_id"), *same, *[c.alias(f"_c_{k}") for k, c in (carry or {}).items()])
+    texts = rows.select("text", "_id", "_h", "_c")
     total = rows.count()
-    shared = spark.sparkContext.broadcast(count_shingles(texts, total, s))
+    shared = spark.sparkContext.broadcast(count_shingles(rows.select("text"), total, s))
 
     def sign(batches):
         sampler, f = Sampler(s), shared.value
@@ -282,79 +298,119 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     banded = signed.filter(F.col("bands").isNotNull()).select("digest", F.explode("bands").alias("h"))
     leaders = banded.groupBy("h").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).filter("lo != hi").select("h", "lo")
     coarse = components(banded.join(leaders, "h").select(F.col("digest").alias("a"), F.col("lo").alias("b")))
-    links = verified_links(texts, coarse, shared, s)
-    classes = components(links)
+    links = verified_links(texts, signed, coarse, shared, s)
+    classes = cut(components(links))
 
     each = signed.groupBy("digest").agg(F.min("_id").alias("lo"), F.count(F.lit(1)).alias("n"))
-    rooted = each.join(classes.select(F.col("a").alias("digest"), F.col("b").alias("root")), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
+    linked = classes.select(F.col("a").alias("digest"), F.col("b").alias("root")).union(classes.select(F.col("b").alias("digest"), F.col("b").alias("root")).distinct())
+    every = each.join(linked, "digest", "left")
     first = F.min(F.struct(F.col("lo").isNull().alias("none"), "lo", "digest"))
-    whole = rooted.groupBy("root").agg(first.alias("first"), F.sum("n").alias("class_size"))
-    named = rooted.select("digest", "root").join(whole, "root").drop("root")
+    figures = every.filter("root is not null").groupBy("root").agg(first.alias("first"), F.sum("n").alias("class_size"))
+    # the texts of a large class meet its figures in several tasks
+    salts = 16
+    salted = figures.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    own = F.struct(F.col("lo").isNull().alias("none"), "lo", "digest").alias("first")
+    alone = every.filter("root is null").select("digest", own, F.col("n").alias("class_size"))
+    together = every.filter("root is not null").select("digest", "root", F.pmod(F.xxhash64("digest"), F.lit(salts)).cast("int").alias("salt")).join(salted, ["root", "salt"])
+    named = alone.unionByName(together.select("digest", "first", "class_size"))
     twice = F.row_number().over(Window.partitionBy("digest", "_id").orderBy(F.lit(0)))
     out = signed.drop("bands").withColumn("_rn", twice).join(named, "digest")
     kept = (F.col("digest") == F.col("first.digest")) & F.col("_id").eqNullSafe(F.col("first.lo")) & (F.col("_rn") == 1)
     return out.select(F.col("_id").alias(id_col), F.col("first.lo").alias("class_id"), "class_size", kept.alias("kept"), *[F.col(f"_c_{k}").alias(k) for k in extra])
 
 
-def verified_links(texts: DataFrame, coarse: DataFrame, shared, s: Settings, most_broadcast: int = 2_000_000) -> DataFrame:
-    """Links (a, b) between digests: a spanning forest of all similar pairs within each coarse component.
+LINKS = "a binary, b binary"
+
+
+def _links(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.binary()), pa.array([y for _, y in pairs], pa.binary())], names=["a", "b"])
+
+
+def _runs(batches, keys: int):
+    """Rows (as lists of columns beyond the first ``keys``) of each run of equal keys, of batches that are sorted by them."""
+    now, held = None, []
+    for b in batches:
+        cols = [c.to_pylist() for c in b.columns]
+        for row in zip(*cols, strict=True):
+            if row[:keys] != now:
+                if held:
+                    yield now, held
+                now, held = row[:keys], []
+            held.append(row[keys:])
+    if held:
+        yield now, held
 
-    A component is dealt into blocks of about ``s.block`` texts, and each pair of blocks is one
-    group, so no task holds more than two blocks whatever the size of the component.
+
+def verified_links(texts: DataFrame, signed: DataFrame, coarse: DataFrame, shared, s: Settings) -> DataFrame:
+    """Links (a, b) between digests that keep together all that similar pairs within each coarse component keep together.
+
+    ``texts``: text, _id, _h, _c of every row; one row a digest is fetched. A group in a task is one
+    block, or two, of about ``s.block`` texts, whatever the size of a component.
     """
-    spark = texts.sparkSession
-    member = cut(coarse.select("a", "b").union(coarse.select(F.col("b").alias("a"), "b").distinct()))
-    sizes = member.groupBy("b").agg(F.count(F.lit(1)).alias("n")).select("b", F.ceil(F.col("n") / s.block).cast("int").alias("blocks"))
-    placed = member.join(sizes, "b").select(F.col("a").alias("digest"), F.col("b").alias("comp"), "blocks", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int").alias("block"))
-    n = member.count()
-    if n <= most_broadcast:  # 16 bytes each
-        wanted = spark.sparkContext.broadcast(frozenset(bytes(x) for x in member.select("a").toPandas()["a"]))
-    else:
-        wanted = None
-
-    def pick(batches):
-        seen: set[bytes] = set()
-        for b in batches:
-            t = b.column(0).to_pylist()
-            d = [digest(x) for x in t]
-            own = []
-            for i, x in enumerate(d):
-                if x not in seen and (wanted is None or x in wanted.value):
-                    own.append(i)
-                    if len(seen) < 200_000:
-                        seen.add(x)
-            yield pa.RecordBatch.from_arrays([pa.array([d[i] for i in own], pa.binary()), pa.array([t[i] for i in own], pa.binary())], names=["digest", "text"])
-
-    found = texts.mapInArrow(pick, "digest binary, text binary").join(placed, "digest")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = found.select("digest", "text", "comp", "block", other.alias("other")).select(
-        "digest", "text", "comp", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
-    )
-
-    def verify(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.drop_duplicates("digest").sort_values(["block", "digest"])
-        if len(f) < 2:
-            return pd.DataFrame({"a": [], "b": []})
-        sets = []
-        raw = [bytes(t) for t in f["text"]]
+    member = coarse.select(F.col("a").alias("digest"), F.col("b").alias("comp")).union(coarse.select(F.col("b").alias("digest"), F.col("b").alias("comp")).distinct())
+    sizes = member.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / s.block).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int").alias("block")
+    # the sizes of components of several blocks are few; no text travels here
+    placed = member.join(sizes, "comp").select("digest", "comp", "blocks", block)
+    one = signed.groupBy("digest").agg(F.min(F.struct("_h", "_c", "_id")).alias("r"))
+    wanted = placed.join(one, "digest").select("digest", "comp", "blocks", "block", F.col("r._h").alias("_wh"), F.col("r._c").alias("_wc"), F.col("r._id").alias("_wi"))
+    at = (F.col("_h") == F.col("_wh")) & (F.col("_c") == F.col("_wc")) & F.col("_id").eqNullSafe(F.col("_wi"))
+    found = cut(texts.join(wanted, at).groupBy("digest", "comp", "blocks", "block").agg(F.first("text").alias("text")))
+
+    def sets_of(raw: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        out = []
         for a, b in slices([len(t) for t in raw]):
             h, begin = shingles(raw[a:b], s.words)
-            sets += [weighted_set(h[begin[i] : begin[i + 1]], shared.value) for i in range(b - a)]
-        i, j = int(f["i"].iloc[0]), int(f["j"].iloc[0])
-        left = len(f) if i == j else int((f["block"] == i).sum())
-        names = [bytes(x) for x in f["digest"]]
-        links = similar_links(sets, left, s.similarity) if i == j or left < len(f) else []
-        return pd.DataFrame({"a": [names[x] for x, _ in links], "b": [names[y] for _, y in links]})
-
-    return dealt.groupBy("comp", "i", "j").applyInPandas(verify, "a binary, b binary")
+            out += [weighted_set(h[begin[i] : begin[i + 1]], shared.value) for i in range(b - a)]
+        return out
 
+    def within(batches):
+        for _, rows in _runs(batches, 1):
+            links = similar_links(sets_of([t for _, t in rows]), len(rows), s.similarity)
+            yield _links([(rows[x][0], rows[y][0]) for x, y in links])
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings(), most_broadcast: int = 1_000_000) -> DataFrame:
+    def to_pivot(batches):
+        pivot, own = None, None
+        for b in batches:
+            names, raw, given = (b.column(c).to_pylist() for c in (1, 2, 3))
+            linked = []
+            for a, z in slices([len(t) for t in raw]):
+                for t, p, x in zip(raw[a:z], given[a:z], sets_of(raw[a:z]), strict=True):
+                    if p != pivot:
+                        pivot, own = p, sets_of([p])[0]
+                    linked.append(t == p or bool(similar_links([x, own], 1, s.similarity)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(names, pa.binary()), pa.array(linked, pa.bool_())], names=["comp", "digest", "linked"])
+
+    def between(batches):
+        for _, rows in _runs(batches, 3):
+            n = sum(not right for right, _, _ in rows)  # those that ask come first
+            if 0 < n < len(rows):
+                links = similar_links(sets_of([t for _, _, t in rows]), n, s.similarity)
+                yield _links([(rows[x][1], rows[y][1]) for x, y in links if rows[x][1] != rows[y][1]])
+
+    def together(df: DataFrame, *keys: str, then: list[str]) -> DataFrame:
+        return df.repartition(*keys).sortWithinPartitions(*keys, *then)
+
+    small = together(found.filter("blocks = 1").select("comp", "digest", "text"), "comp", then=["digest"]).mapInArrow(within, LINKS)
+    large = found.filter("blocks > 1")
+    pivots = large.filter("digest = comp").select("comp", F.col("text").alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    asked = large.join(pivots, ["comp", "block"]).select("comp", "digest", "text", "pivot")
+    held = cut(asked.mapInArrow(to_pivot, "comp binary, digest binary, linked boolean"))
+    stars = held.filter("linked and digest != comp").select(F.col("digest").alias("a"), F.col("comp").alias("b"))
+    left = held.filter("not linked").select("comp", "digest")
+    parts = left.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / s.block).cast("int").alias("parts"))
+    asks = large.join(left, ["comp", "digest"]).join(parts, "comp").select(
+        "comp", F.pmod(F.xxhash64("digest", F.lit(1)), F.col("parts")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(False).alias("right"), "digest", "text"
+    )
+    answers = large.join(parts, "comp").select("comp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"), F.col("block").alias("j"), F.lit(True).alias("right"), "digest", "text")
+    crossed = together(asks.unionByName(answers), "comp", "i", "j", then=["right", "digest"]).mapInArrow(between, LINKS)
+    return small.unionByName(stars).unionByName(crossed)
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
     """``docs`` with one document of each class; rows that repeat id and text stay or go together."""
     key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     groups = cut(near_groups(docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")), "i", "t", settings, {"h": F.xxhash64(F.coalesce(F.col("t"), F.lit("")))}))
     gone = groups.groupBy("i", "h").agg(F.max("kept").alias("stays")).filter("not stays")
     gone = gone.select(F.col("i").alias("_gone_i"), F.col("h").alias("_gone_h"))
-    if gone.count() <= most_broadcast:  # 16 bytes each
-        gone = F.broadcast(gone)
     return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone_i")) & (key == F.col("_gone_h")), "left_anti")

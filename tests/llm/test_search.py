@@ -150,7 +150,7 @@ def test_frequent_shingles_weigh_less(spark):
     f = near_dedup.count_shingles(spark.createDataFrame([(t.encode(),) for t in texts], "text binary"), 40, Settings())
     h, begin = near_dedup.shingles([t.encode() for t in texts], 5)
     w = [f.weights(h[a:b], np.full(b - a, 3)) for a, b in zip(begin[:-1], begin[1:], strict=True)]
-    assert all(np.isclose(x[0], 3.0) and np.allclose(x[1:], 3.6) for x in w)
+    assert all(np.isclose(x[0], 3.0) and np.allclose(x[1:], 4.5) for x in w)
 
 
 def test_classes_follow_the_idf(spark):
