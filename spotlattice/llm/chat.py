@@ -40,8 +40,10 @@ def fold_events(events: DataFrame) -> DataFrame:
     new text in its place, 'regenerate' empties it for the deltas that follow. An edit or a
     regeneration takes back the later turns that (last) began before it in the log. An unknown or null
     kind counts as 'delta', null text as empty, a null turn or seq sorts first. The role is that
-    of the first event of the turn that has one.
+    of the first event of the turn that has one. Events of one turn with equal seq are taken in the
+    order of their texts, and repeated rows count each. Other columns are not read.
     """
+    events = events.select("conv_id", "seq", "turn", "kind", "role", "text")
     resets = F.col("kind").isin("message", "edit", "regenerate")
     revisions = F.col("kind").isin("edit", "regenerate")
     turn = Window.partitionBy("conv_id", "turn")
@@ -62,23 +64,20 @@ def render(messages: DataFrame, loss_role: str = "assistant") -> DataFrame:
     """``messages``: conv_id, turn, role, text; returns conv_id, formatted, loss_spans.
 
     loss_spans are (start, length) in code points of ``formatted``: the escaped text of each turn of
-    ``loss_role``. A null role renders as empty. A conversation is one output value, so it is the
-    one thing here that has to fit a task.
+    ``loss_role``. A null role renders as empty. Rows of one turn come in the order of role and text.
+    A conversation is one output value, so it is the one thing here that has to fit a task.
     """
     role, text = F.coalesce(F.col("role"), F.lit("")), F.coalesce(F.col("text"), F.lit(""))
+    order = Window.partitionBy("conv_id").orderBy(*[F.col(c).asc_nulls_first() for c in ("turn", "head", "body", "loss")]).rowsBetween(Window.unboundedPreceding, -1)
     turns = messages.select(
         "conv_id", "turn", F.concat(F.lit(START), escape_role(role), F.lit("\n")).alias("head"), escape(text).alias("body"), (role == loss_role).alias("loss")
-    )
-    listed = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "head", "body", "loss"))).alias("turns"))
+    ).withColumn("before", F.coalesce(F.sum(F.length("head") + F.length("body") + F.lit(len(END))).over(order), F.lit(0)))
+    listed = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("before", "turn", "head", "body", "loss"))).alias("turns"))
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t["head"], t["body"], F.lit(END))), "")
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"))
-
-    def step(acc: Column, t: Column) -> Column:
-        begin, n = acc["at"] + F.length(t["head"]), F.length(t["body"]).cast("long")
-        span = F.array(F.struct(begin.cast("long").alias("start"), n.alias("length")))
-        return F.struct((begin + n + len(END)).cast("long").alias("at"), F.when(t["loss"], F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
-
-    return listed.select("conv_id", whole.alias("formatted"), F.aggregate("turns", start, step, lambda acc: acc["spans"]).alias("loss_spans"))
+    spans = F.transform(
+        F.filter("turns", lambda t: t["loss"]), lambda t: F.struct((t["before"] + F.length(t["head"])).cast("long").alias("start"), F.length(t["body"]).cast("long").alias("length"))
+    )
+    return listed.select("conv_id", whole.alias("formatted"), spans.alias("loss_spans"))
 
 
 def parse_turns(formatted: Column) -> Column:

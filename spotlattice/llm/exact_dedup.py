@@ -2,9 +2,10 @@
 
 Rows are dealt by sampled range splitters over (head of the text, hash, salt) and sorted on disk
 where needed; equal texts lie side by side and are compared in full, neighbour by neighbour, by
-the window over the whole text. A text that holds more than 1 / ``hot_share`` of all rows is dealt
-by the hash of the id as well; its parts are joined by figures that were pre-aggregated before
-the shuffle, at most ``hot_share`` rows.
+the window over the whole text. A text that holds more rows than a partition has on average is hot:
+its rows are dealt by the hash of the id as well, and its figures come from an aggregation over the
+whole text, which adds up in every task before anything is shuffled. There are fewer hot texts than
+partitions, so their figures (no texts) are broadcast.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ def exact_groups(
     text_col: str = "text",
     normalise: Callable[[Column], Column] | None = None,
     keep: str = "largest",
-    hot_share: int = 256,
     salts: int = 64,
     carry: list[str] | None = None,
     text_out: str | None = None,
@@ -44,33 +44,32 @@ def exact_groups(
     rows = docs.select(
         F.col(id_col).alias("_id"), (normalise(text) if normalise else text).alias("_text"), *[F.col(c).alias(f"_c_{c}") for c in carry or []]
     ).withColumn("_sha", F.sha2("_text", 256))
-    counted = cut(rows.groupBy("_sha").agg(F.count(F.lit(1)).alias("_n"), pick("_id").alias("_keep")).filter(F.col("_n") > 1))
-    total = docs.count()
-    # more than total / hot_share rows each: at most hot_share of them
-    hot = counted.filter(F.col("_n") > F.lit(total / hot_share)).collect()
-    digests = [r["_sha"] for r in hot]
-    salt = F.when(F.col("_sha").isin(digests), F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int")) if hot else F.lit(None).cast("int")
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = cut(rows.groupBy("_sha").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1))
+    hot = counted.filter(F.col("_n") * partitions > docs.count()).select("_sha")  # fewer than partitions
+    whole = rows.select("_id", "_text", "_sha").join(F.broadcast(hot), "_sha").groupBy("_text")
+    figures = cut(whole.agg(F.min("_sha").alias("_sha"), F.count(F.lit(1)).alias("_hn"), pick("_id").alias("_hk")).drop("_text"))
+    salt = F.when(F.col("_hn").isNotNull(), F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int")).otherwise(F.lit(-1))
     dealt = (
-        rows.withColumn("_salt", F.coalesce(salt, F.lit(-1)))
+        rows.join(F.broadcast(figures), "_sha", "left")
+        .withColumn("_salt", salt)
         .withColumn("_head", F.substring("_text", 1, 24))
         .withColumn("_hash", F.xxhash64("_text"))
         .repartitionByRange("_head", "_hash", "_salt")
     )
     group = Window.partitionBy("_head", "_hash", "_salt", "_text")
     found = dealt.select(
-        "_id", "_sha", "_salt", *(["_text"] if text_out else []), *[f"_c_{c}" for c in carry or []],
+        "_id", "_sha", "_hn", "_hk", *(["_text"] if text_out else []), *[f"_c_{c}" for c in carry or []],
         F.row_number().over(group.orderBy(best_first)).alias("_rn"), pick("_id").over(group).alias("_keep"), F.count(F.lit(1)).over(group).alias("_n"),
     )
-    if hot:
-        ids = F.create_map(*[x for r in hot for x in (F.lit(r["_sha"]), F.struct(F.lit(r["_keep"]).alias("k"), F.lit(r["_n"]).cast("long").alias("n")))])
-        of = F.when(F.col("_salt") >= 0, ids[F.col("_sha")])
-        found = found.withColumn("_of", of).withColumns(
-            {
-                "_rn": F.when(F.col("_salt") >= 0, F.when(F.col("_keep").eqNullSafe(F.col("_of.k")), F.col("_rn")).otherwise(F.lit(2))).otherwise(F.col("_rn")),
-                "_keep": F.when(F.col("_salt") >= 0, F.col("_of.k")).otherwise(F.col("_keep")),
-                "_n": F.when(F.col("_salt") >= 0, F.col("_of.n")).otherwise(F.col("_n")),
-            }
-        )
+    is_hot = F.col("_hn").isNotNull()
+    found = found.withColumns(
+        {
+            "_rn": F.when(is_hot & ~F.col("_keep").eqNullSafe(F.col("_hk")), F.lit(2)).otherwise(F.col("_rn")),  # ids that are equal share a salt
+            "_keep": F.when(is_hot, F.col("_hk")).otherwise(F.col("_keep")),
+            "_n": F.coalesce("_hn", "_n"),
+        }
+    )
     return found.select(
         F.col("_id").alias(id_col), F.col("_keep").alias("keep_id"), F.col("_n").alias("group_size"), (F.col("_rn") == 1).alias("kept"),
         F.col("_sha").alias("text_sha256"), *[F.col(f"_c_{c}").alias(c) for c in carry or []],

@@ -44,7 +44,14 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
     place = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), F.asc_nulls_first("role"), F.asc_nulls_first("text"))
-    events = rows.withColumn("turn", F.row_number().over(place).cast("long")).withColumn("seq", F.col("turn")).withColumn("kind", F.lit("message"))
+    turns = rows.withColumn("turn", F.row_number().over(place).cast("long"))
+    # the log of a conversation: each turn opens with half of its text, and a delta brings the rest
+    half = F.floor(F.length("text") / 2).cast("int")
+    parts = F.array(
+        F.struct((2 * F.col("turn")).alias("seq"), F.lit("message").alias("kind"), F.left("text", half).alias("said")),
+        F.struct((2 * F.col("turn") + 1).alias("seq"), F.lit("delta").alias("kind"), F.substring("text", half + 1, F.length("text")).alias("said")),
+    )
+    events = turns.select("conv_id", "turn", "role", F.inline(parts)).withColumnRenamed("said", "text")
     out = chat.render(chat.fold_events(events)).withColumn("_turns", chat.parse_turns(F.col("formatted")))
     digest = F.array_join(F.transform("_turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     loss = chat.masked_text(F.col("formatted"), F.col("loss_spans"))

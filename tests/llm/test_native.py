@@ -144,3 +144,33 @@ def test_fold_events(spark):
     got = sorted((r.conv_id, r.turn, r.role, r.text) for r in chat.fold_events(e).collect())
     assert got == [(1, 0, "user", "hi"), (1, 1, "assistant", "new"), (1, 2, "user", "kept"), (2, 0, "user", "b"), (3, 0, "user", "only deltas")]
     assert chat.fold_events(e.limit(0)).count() == 0
+
+
+def test_chat_with_clashing_columns_ties_and_long_conversations(spark):
+    log = [(1, 1, 1, "message", "user", "b", 9, 9), (1, 1, 1, "delta", None, "a", 8, 8), (1, 1, 1, "delta", None, "a", 8, 8), (1, None, None, None, None, None, 0, 0)]
+    events = spark.createDataFrame(log, "conv_id long, seq long, turn long, kind string, role string, text string, _from int, _began int").withColumns({"_role": F.lit("x"), "_cut": F.lit(1), "before": F.lit(2)})
+    assert sorted((r.turn or 0, r.role, r.text) for r in chat.fold_events(events).collect()) == [(0, None, ""), (1, "user", "aab")]
+    assert chat.fold_events(events.limit(0)).count() == 0 and chat.render(chat.fold_events(events.limit(0))).count() == 0
+    many = spark.range(20_000).select(F.lit(7).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("said <|x "), F.col("id").cast("string")).alias("text"))
+    out = chat.render(many).withColumn("loss", chat.masked_text(F.col("formatted"), F.col("loss_spans"))).first()
+    assert out.loss == "".join(f"said <|x {i}" for i in range(1, 20_000, 2)) and len(out.loss_spans) == 10_000
+
+
+@pytest.mark.parametrize("partitions", ["1", "4", "64"])
+def test_exact_groups_at_any_number_of_partitions(spark, partitions):
+    data = [(i, "hot" if i % 3 == 0 else f"t{i % 40}", "a", i) for i in range(600)] + [(None, "hot", "a", 1), (0, "hot", "b", 2), (None, None, None, None), (5, "", "a", 1)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = exact_dedup.exact_groups(spark.createDataFrame(data, "doc_id long, text string, _sha string, _n long").repartition(3)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    texts = {}
+    for i, t, *_ in data:
+        texts.setdefault(t or "", []).append(i)
+    of = {i: t or "" for i, t, *_ in data if i is not None and i not in (0, 5)}
+    assert len(got) == len(data) and sum(r.kept for r in got) == len(texts)
+    for r in got:
+        if r.doc_id in of:
+            own = texts[of[r.doc_id]]
+            assert r.group_size == len(own) and r.keep_id == max(i for i in own if i is not None) and r.kept == (r.doc_id == r.keep_id)

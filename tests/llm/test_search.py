@@ -173,6 +173,52 @@ def test_near_groups_edge_cases(spark):
     assert near_dedup.drop_near_copies(spark.createDataFrame(data, schema)).filter("doc_id = 6 or doc_id = 5").count() == 2
 
 
+def test_near_copies_are_found_and_others_left(spark):
+    """Some thousand documents: planted copies with a few words changed, measured against the similarity of each pair."""
+    r = random.Random(12)
+    word = lambda: "".join(r.choices("abcdefghij", k=6))
+    data, pairs = [], []
+    for _ in range(700):
+        base = [word() for _ in range(r.randint(40, 260))]
+        own = []
+        for _ in range(r.choice([1, 2, 2, 3])):
+            t = list(base)
+            for _ in range(r.choice([0, 1, 2, 3, 5, 8])):
+                t[r.randrange(len(t))] = word()
+            own.append(len(data))
+            data.append((len(data), " ".join(t)))
+        pairs += [(a, b) for a in own for b in own if a < b]
+    passage = [word() for _ in range(60)]
+    data += [(len(data) + i, " ".join([*passage, *[word() for _ in range(50)]])) for i in range(1500)]
+    s = Settings()
+    df = defaultdict(int)
+    raw = [t.encode() for _, t in data]
+    h, begin = near_dedup.shingles(raw, s.words)
+    sets = [np.unique(h[a:b], return_counts=True) for a, b in zip(begin[:-1], begin[1:], strict=True)]
+    for k, _ in sets:
+        for x in k.tolist():
+            df[x] += 1
+    least, total = max(2, math.ceil(len(data) * s.common)), len(data)
+    w = [{x: c * (1 + s.idf * (1 - math.log(max(df[x], least) / least) / math.log(total / least))) for x, c in zip(k.tolist(), v.tolist(), strict=True)} for k, v in sets]
+
+    def similarity(a, b):
+        both = sum(min(v, w[b][x]) for x, v in w[a].items() if x in w[b])
+        return both / (sum(w[a].values()) + sum(w[b].values()) - both)
+
+    got = {x.doc_id: x.class_id for x in near_dedup.near_groups(spark.createDataFrame(data, "doc_id long, text string").repartition(4)).collect()}
+    near = [(a, b) for a, b in pairs if similarity(a, b) >= s.similarity]
+    assert len(near) > 200 and sum(got[a] == got[b] for a, b in near) >= 0.99 * len(near)
+    sizes = defaultdict(int)
+    for c in got.values():
+        sizes[c] += 1
+    assert all(sizes[got[i]] == 1 for i, _ in data[-1500:]), "a passage in common makes no copy"
+    root = list(range(len(data)))
+    find = lambda i: i if root[i] == i else find(root[i])
+    for a, b in near:
+        root[find(b)] = find(a)
+    assert all((got[a] == got[b]) <= (find(a) == find(b)) for a, b in pairs), "pairs below the threshold are no copies"
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
 <header><h1>Site</h1></header><nav class="x"><ul><li><a href="/a">Home</a><li><a>About us, now.</a></ul></nav><!-- <p>no</p> -->
 <div class="cookie-notice">We use cookies, truly.</div>{before}<article><h1>Title &amp; more</h1><p><b>First   para,
