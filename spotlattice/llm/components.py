@@ -1,37 +1,7 @@
-"""Connected components of an edge table, by alternating star contraction."""
+"""Connected components of links between documents."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from ..operators.graph import components
 
-from .storage import cut
-
-
-def _state(edges: DataFrame) -> tuple[int, int]:
-    r = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b") % F.lit(1 << 31)).alias("s")).first()
-    return r["n"], r["s"] or 0
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """``edges``: a, b of any one orderable type. Returns (a, b): each node but the smallest of its component, with that smallest.
-
-    Every round hangs all larger neighbours of a node on its smallest neighbour, then all smaller
-    ones, until nothing changes; the rounds grow with the logarithm of the longest path. Minima
-    are aggregated before they are shuffled, and no node's neighbours are ever collected.
-    """
-    now = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct())
-    state = _state(now)
-    while state[0]:
-        both = now.union(now.select("b", "a"))
-        # minima are cut, so that the join has an exchange on either side and Spark can split a hub's partition
-        low = cut(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
-        large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
-        low = cut(large.groupBy("a").agg(F.min("b").alias("m")))
-        near = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b")
-        now = cut(near.union(low.select("a", F.col("m").alias("b"))).distinct())
-        after = _state(now)
-        if after == state:
-            break
-        state = after
-    return now
+__all__ = ["components"]

@@ -299,11 +299,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     leaders = banded.groupBy("h").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).filter("lo != hi").select("h", "lo")
     coarse = components(banded.join(leaders, "h").select(F.col("digest").alias("a"), F.col("lo").alias("b")))
     links = verified_links(texts, signed, coarse, shared, s)
-    classes = cut(components(links))
+    classes = components(cut(links))
 
     each = signed.groupBy("digest").agg(F.min("_id").alias("lo"), F.count(F.lit(1)).alias("n"))
     linked = classes.select(F.col("a").alias("digest"), F.col("b").alias("root")).union(classes.select(F.col("b").alias("digest"), F.col("b").alias("root")).distinct())
-    every = each.join(linked, "digest", "left")
+    every = cut(each.join(linked, "digest", "left"))
     first = F.min(F.struct(F.col("lo").isNull().alias("none"), "lo", "digest"))
     figures = every.filter("root is not null").groupBy("root").agg(first.alias("first"), F.sum("n").alias("class_size"))
     # the texts of a large class meet its figures in several tasks

@@ -2,30 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
+from ..session import cut, shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; a local one only where none is set (tests, one machine)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    jvm = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if jvm.isDefined():
-        return str(jvm.get()).rstrip("/")
-    own = tempfile.mkdtemp(prefix="spotlattice-")
-    spark.sparkContext.setCheckpointDir(own)
-    return shared_dir(spark)
+__all__ = ["cut", "new_dir", "shared_dir"]
 
 
 def new_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Eager, reliable checkpoint: survives lost executors, removed by the context cleaner."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
