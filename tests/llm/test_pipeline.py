@@ -3,6 +3,9 @@
 import random
 from collections import Counter, defaultdict
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from spotlattice.llm import mixing
 
@@ -75,3 +78,12 @@ def test_entry_without_the_subpackage(monkeypatch):
     monkeypatch.setattr(builtins, "__import__", gone)
     left = entry.queries()
     assert "pipeline" not in left and not any(k.startswith("op") for k in left) and len(left) > 30
+
+
+@pytest.mark.parametrize("rows", [[], [(None, None, None, None, None)] * 3, [(1, "", "aa", "s", 0), (1, "", "aa", "s", 0), (2, "a b c", None, None, 5)]], ids=["empty", "nulls", "repeats"])
+def test_pipeline_on_odd_tables(spark, tmp_path, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("text_sha256", F.lit("clash")).withColumn("class_id", F.lit(1))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in got} == {i for i, *_ in rows[:1] + rows[2:]} and len(got) == len({t or "" for _, t, *_ in rows})
