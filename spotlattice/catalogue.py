@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import assign, expression, geometry, matrix, neighbours, tiler, tiles
+from .session import cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -124,7 +125,7 @@ def qc_metrics(spark, d):
 
 @query(f"WITH {MAD_SQL} SELECT metric, round(median, 6) AS median, round(mad, 6) AS mad FROM mad")
 def qc_mad_thresholds(spark, d):
-    return rounded(matrix.robust_scale(_metrics(spark, d), ["n_umi", "n_genes", "pct_mito"]), "median", "mad")
+    return rounded(matrix.robust_scale(cut(_metrics(spark, d)), ["n_umi", "n_genes", "pct_mito"]), "median", "mad")
 
 
 @query(f"""WITH {MAD_SQL}, lim AS (SELECT max(CASE WHEN metric = 'n_umi' THEN median - 1.5 * mad END) AS u, max(CASE WHEN metric = 'n_genes' THEN median - 1.5 * mad END) AS g,

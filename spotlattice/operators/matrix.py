@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import share, starts_with_any
 from ..session import cut
+from .quantiles import quantiles
 
 
 def cell_gene_matrix(counts: DataFrame, cell: str = "cell", gene: str = "gene", n: str = "n") -> DataFrame:
@@ -66,10 +67,11 @@ def qc_metrics(
 
 
 def robust_scale(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per column: metric, median, mad. mad is 1.4826 times the median deviation, else IQR / 1.349, else 1."""
+    """One row per column: metric, median, mad. mad is 1.4826 times the median deviation, else IQR / 1.349, else 1. Reads ``df`` several times: cut it first where it is dear."""
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("x")) for c in columns])).alias("s")).select("s.*")
-    q = long.groupBy("metric").agg(F.percentile("x", F.lit(0.5)).alias("median"), F.percentile("x", F.lit(0.25)).alias("q25"), F.percentile("x", F.lit(0.75)).alias("q75"))
-    spread = long.join(F.broadcast(q.select("metric", "median")), "metric").groupBy("metric").agg(F.percentile(F.abs(F.col("x") - F.col("median")), F.lit(0.5)).alias("d"))
+    q = cut(quantiles(long, "metric", "x", {"median": 0.5, "q25": 0.25, "q75": 0.75}))
+    off = long.join(F.broadcast(q.select("metric", "median")), "metric").select("metric", F.abs(F.col("x") - F.col("median")).alias("x"))
+    spread = quantiles(off, "metric", "x", {"d": 0.5})
     iqr = F.when(F.col("q75") > F.col("q25"), (F.col("q75") - F.col("q25")) / 1.349).otherwise(F.lit(1.0))
     return q.join(spread, "metric").select("metric", "median", F.when(F.col("d") > 0, 1.4826 * F.col("d")).otherwise(iqr).alias("mad"))
 
@@ -206,5 +208,7 @@ def first_per_label(features: DataFrame, label: str, seq: str, y: str, x: str) -
 def plot_summary(metrics: DataFrame, columns: list[str]) -> DataFrame:
     """Five-number summaries for box plots."""
     long = metrics.select(F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("x")) for c in columns])).alias("s")).select("s.*")
-    q: dict[str, Column] = {"lowest": F.min("x"), "q25": F.percentile("x", F.lit(0.25)), "median": F.percentile("x", F.lit(0.5)), "q75": F.percentile("x", F.lit(0.75)), "highest": F.max("x")}
-    return long.groupBy("metric").agg(*[c.alias(k) for k, c in q.items()])
+    long = cut(long)  # the quantiles read it twice
+    ends = long.groupBy("metric").agg(F.min("x").alias("lowest"), F.max("x").alias("highest"))
+    inner = quantiles(long, "metric", "x", {"q25": 0.25, "median": 0.5, "q75": 0.75})
+    return ends.join(F.broadcast(inner), "metric").select("metric", "lowest", "q25", "median", "q75", "highest")

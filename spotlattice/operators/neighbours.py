@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut, ship
+from .quantiles import quantiles
 
 PLACES = Decimal("1e-9")
 
@@ -26,58 +27,154 @@ def _round9(d: np.ndarray) -> np.ndarray:
     return out
 
 
-def nearest(vectors: DataFrame, k: int = 20, metric: str = "euclidean", key: str = "id", vector: str = "v", block: int = 2048) -> DataFrame:
-    """a, b, rank, distance: the k nearest others of each vector, exactly; ties of distances rounded to 9 places by b.
+def _kept(x: np.ndarray, y: np.ndarray, b: np.ndarray, k: int, metric: str) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For every row of x the places in y, and the distances, of the k nearest; ties of rounded distances by ``b``, which is in order.
 
-    Vectors are dealt into blocks; every pair of blocks is one task that keeps k per vector, so no
-    pair of vectors is ever a row. The matrix product only rules out who is beyond the kth by more
-    than its error. metric: euclidean or cosine.
+    The matrix product only rules out what is beyond the kth by more than its error.
     """
-    ship(vectors.sparkSession)
-    n = vectors.count()
-    blocks = max(1, math.ceil(n / block))
-    rows = vectors.select(F.col(key).cast("long").alias("a"), F.transform(vector, lambda x: x.cast("double")).alias("v"))
-    mine = rows.withColumn("i", F.pmod(F.xxhash64("a"), F.lit(blocks)).cast("int"))
-    each = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = mine.select("a", "v", "i", F.lit(True).alias("asks")).withColumn("j", each)
-    right = mine.select("a", "v", F.col("i").alias("j"), F.lit(False).alias("asks")).withColumn("i", each)
+    xx, yy = (x * x).sum(1), (y * y).sum(1)
+    error = 4 * (x.shape[1] + 8) * np.finfo(np.float64).eps
+    if metric == "cosine":
+        norms = np.sqrt(xx)[:, None] * np.sqrt(yy)[None, :]
+        d = 1 - x @ y.T / np.where(norms == 0, 1, norms)
+    else:
+        d = xx[:, None] + yy[None, :] - 2 * x @ y.T  # squared, with lost digits where vectors are close
+    d[~np.isfinite(d)] = np.inf
+    kth = np.partition(d, k - 1, axis=1)[:, k - 1] if k < len(b) else np.full(len(x), np.inf)
+    if metric == "cosine":
+        most = kth + 2 * error + 1e-9
+    else:
+        error = error * (xx + yy.max())
+        most = (np.sqrt(np.maximum(kth, 0) + error) + 1e-9) ** 2 + error
+    out = []
+    for r in range(len(x)):
+        near = np.flatnonzero((d[r] <= most[r]) & (d[r] < np.inf))
+        if metric == "cosine":
+            norms = np.sqrt(xx[r]) * np.sqrt(yy[near])
+            own = 1 - (y[near] * x[r]).sum(1) / np.where(norms == 0, 1, norms)
+        else:
+            own = np.sqrt(((y[near] - x[r]) ** 2).sum(1))
+        first = np.argsort(_round9(own), kind="stable")[:k]
+        out.append((near[first], own[first]))
+    return out
+
+
+def _search(k: int, metric: str):
+    """Task body: the rows that ask against those that are candidates, in one pair of pieces."""
 
     def pairs(f: pd.DataFrame) -> pd.DataFrame:
-        q, c = f[f["asks"]], f[~f["asks"]]
+        q, c = f[f["asks"]], f[~f["asks"]].sort_values("a")
         if q.empty or c.empty:
             return pd.DataFrame({"a": [], "b": [], "distance": []})
-        c = c.sort_values("a")
-        x, y = np.stack(q["v"].to_numpy()), np.stack(c["v"].to_numpy())
-        xx, yy = (x * x).sum(1), (y * y).sum(1)
-        error = 4 * (x.shape[1] + 8) * np.finfo(np.float64).eps
-        if metric == "cosine":
-            norms = np.sqrt(xx)[:, None] * np.sqrt(yy)[None, :]
-            d = 1 - x @ y.T / np.where(norms == 0, 1, norms)
-        else:
-            d = xx[:, None] + yy[None, :] - 2 * x @ y.T  # squared, with lost digits where vectors are close
         a, b = q["a"].to_numpy(), c["a"].to_numpy()
-        d[(a[:, None] == b[None, :]) | ~np.isfinite(d)] = np.inf
-        kth = np.partition(d, k - 1, axis=1)[:, k - 1] if k < len(b) else np.full(len(a), np.inf)
-        if metric == "cosine":
-            most = kth + 2 * error + 1e-9
-        else:
-            error = error * (xx + yy.max())
-            most = (np.sqrt(np.maximum(kth, 0) + error) + 1e-9) ** 2 + error
-        out = []
-        for r in range(len(a)):
-            near = np.flatnonzero((d[r] <= most[r]) & (d[r] < np.inf))
-            if metric == "cosine":
-                norms = np.sqrt(xx[r]) * np.sqrt(yy[near])
-                own = 1 - (y[near] * x[r]).sum(1) / np.where(norms == 0, 1, norms)
-            else:
-                own = np.sqrt(((y[near] - x[r]) ** 2).sum(1))
-            first = np.argsort(_round9(own), kind="stable")[:k]  # b is in order
-            out.append((near[first], own[first]))
+        out = _kept(np.stack(q["v"].to_numpy()), np.stack(c["v"].to_numpy()), b, k, metric)
         return pd.DataFrame({"a": np.repeat(a, [len(n) for n, _ in out]), "b": b[np.concatenate([n for n, _ in out])], "distance": np.concatenate([o for _, o in out])})
 
-    found = left.unionByName(right).groupBy("i", "j").applyInPandas(pairs, "a long, b long, distance double")
+    return pairs
+
+
+def _unit(x: np.ndarray, metric: str) -> np.ndarray:
+    """What the triangle inequality is used on: vectors, or directions, whose squared distance is twice the cosine's. A zero has no direction and stays."""
+    if metric != "cosine":
+        return x
+    n = np.sqrt((x * x).sum(1))
+    return x / np.where(n == 0, 1, n)[:, None]
+
+
+def _spread(rows: DataFrame, found: DataFrame, k: int) -> DataFrame:
+    """What a vector found, given to all that equal it: the k nearest others of each row."""
     place = F.row_number().over(Window.partitionBy("a").orderBy(F.round("distance", 9), "b"))
-    return found.withColumn("rank", place).filter(F.col("rank") <= k).select("a", "b", "rank", "distance")
+    best = found.withColumn("_r", place).filter(F.col("_r") <= k + 1).groupBy("a").agg(F.sort_array(F.collect_list(F.struct("_r", "b", "distance"))).alias("found"))
+    out = rows.select("a", "rep").join(best.withColumnRenamed("a", "rep"), "rep")
+    others_of = F.slice(F.filter("found", lambda e: e["b"] != F.col("a")), 1, k)
+    return out.select("a", F.posexplode(others_of).alias("_p", "e")).select("a", F.col("e.b").alias("b"), (F.col("_p") + 1).alias("rank"), F.col("e.distance").alias("distance"))
+
+
+def nearest(vectors: DataFrame, k: int = 20, metric: str = "euclidean", key: str = "id", vector: str = "v", block: int = 2048, most_centres: int = 2048) -> DataFrame:
+    """a, b, rank, distance: the k nearest others of each vector, exactly; ties of distances rounded to 9 places by b. metric: euclidean or cosine.
+
+    Of equal vectors one asks for all, and only the k + 1 smallest ids are candidates, since no answer
+    takes more. The rest is dealt to the nearest of at most ``most_centres`` vectors (chosen by hash,
+    ``most_centres`` times a vector is what is broadcast) and into pieces of about ``block`` rows. A
+    vector first searches its own piece; what it finds bounds how far its kth can be, and by the
+    triangle inequality it then goes only to the pieces of shards that may hold something nearer. A
+    task sees one pair of pieces, and no pair of vectors is a row.
+
+    Ids are taken to be unique. Vectors that are null, or hold a null or a number that is
+    not finite, take no part. A zero vector has the cosine distance 1 from all others.
+    """
+    spark = ship(vectors.sparkSession).sparkContext
+    every = F.transform(vector, lambda x: x.cast("double"))
+    finite = F.forall("v", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
+    rows = vectors.select(F.col(key).cast("long").alias("a"), every.alias("v")).filter(F.col("v").isNotNull() & (F.size("v") > 0)).filter(finite)
+    # of equal vectors the smallest id speaks for all; the candidates by two levels, so that a hot vector is not one sort
+    rows = cut(rows.join(rows.groupBy("v").agg(F.min("a").alias("rep")), "v"))
+    salt = F.pmod(F.xxhash64("a"), F.lit(256))
+    first = rows.withColumn("_r", F.row_number().over(Window.partitionBy("rep", salt).orderBy("a"))).filter(F.col("_r") <= k + 1)
+    first = first.withColumn("_r", F.row_number().over(Window.partitionBy("rep").orderBy("a"))).filter(F.col("_r") <= k + 1)
+    cand = cut(first.select("a", "v", "rep", (F.col("_r") == 1).alias("asks")))
+    n = cand.count()
+    schema = "a long, b long, distance double"
+    if n <= block:
+        both = cand.select("a", "v", F.lit(False).alias("asks")).unionByName(cand.filter("asks").select("a", "v", "asks"))
+        return _spread(rows, both.withColumn("i", F.lit(0)).groupBy("i").applyInPandas(_search(k + 1, metric), schema), k)
+    picked = cand.filter("asks").orderBy(F.xxhash64("a", F.lit(17)), "a").limit(min(most_centres, math.ceil(n / block))).select("v").toPandas()
+    centres = _unit(np.stack(picked["v"].to_numpy()), metric)
+    shared = spark.broadcast(centres)
+
+    def deal(frames):
+        for f in frames:
+            if not f.empty:
+                x = _unit(np.stack(f["v"].to_numpy()), metric)
+                s = ((shared.value**2).sum(1)[None] - 2 * x @ shared.value.T).argmin(1)
+                yield f.assign(s=s.astype(np.int32), away=np.sqrt(((x - shared.value[s]) ** 2).sum(1)), zero=~x.any(axis=1))
+
+    dealt = cut(cand.mapInPandas(deal, "a long, v array<double>, rep long, asks boolean, s int, away double, zero boolean"))
+    zeros = []
+    if metric == "cosine":
+        zeros = [r.a for r in dealt.filter("zero").select("a").collect()]  # k + 1 at most
+        dealt = dealt.filter("not zero")
+    sizes = dealt.groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("away")).toPandas()  # one row a centre
+    pieces = np.zeros(len(centres), np.int64)
+    radius = np.full(len(centres), -np.inf)
+    pieces[sizes["s"]], radius[sizes["s"]] = np.ceil(sizes["n"] / block), sizes["away"]
+    starts = np.concatenate([[0], np.cumsum(pieces)])
+    where = F.array(*[F.lit(int(x)) for x in starts])
+    own = F.element_at(where, F.col("s") + 1) + F.pmod(F.xxhash64("rep"), F.element_at(where, F.col("s") + 2) - F.element_at(where, F.col("s") + 1))
+    placed = dealt.withColumn("i", own.cast("int"))
+    candidates, asking = placed.select("a", "v", "i", F.lit(False).alias("asks")), placed.filter("asks").select("a", "v", "i", "s", "asks")
+    home = candidates.unionByName(asking.select("a", "v", "i", "asks")).groupBy("i").applyInPandas(_search(k + 1, metric), schema)
+    if starts[-1] > 1:
+        home = cut(home)
+        bounds = home.groupBy("a").agg(F.max("distance").alias("far"), F.count(F.lit(1)).alias("m"))
+        bounded = asking.join(bounds, "a", "left").withColumn("far", F.when(F.col("m") > k, F.col("far")))
+        plan = spark.broadcast((starts, radius))
+
+        def targets(frames):
+            st, rad = plan.value
+            for f in frames:
+                if f.empty:
+                    continue
+                x, c = _unit(np.stack(f["v"].to_numpy()), metric), shared.value
+                d2 = (x * x).sum(1)[:, None] + (c * c).sum(1)[None] - 2 * x @ c.T
+                far = f["far"].to_numpy(np.float64)
+                far = np.where(np.isnan(far), np.inf, np.sqrt(np.maximum(0, 2 * far) + 1e-8) if metric == "cosine" else far)
+                slack = 1e-8 + 1e-6 * (np.sqrt((x * x).sum(1)) + np.sqrt((c * c).sum(1).max()) + np.where(np.isfinite(far), far, 0))
+                near = np.sqrt(np.maximum(0, d2)) - rad[None, :] <= (far + slack)[:, None]
+                js = [np.concatenate([np.arange(st[s], st[s + 1]) for s in np.flatnonzero(r)] or [np.zeros(0, np.int64)]) for r in near]
+                yield pd.DataFrame({"a": f["a"], "v": f["v"], "i": f["i"], "j": [x[x != i].astype(np.int32) for x, i in zip(js, f["i"], strict=True)]})
+
+        asked = cut(bounded.select("a", "v", "i", "far").mapInPandas(targets, "a long, v array<double>, i int, j array<int>")).withColumn("j", F.explode("j"))
+        wanted = asked.select("i", "j").distinct().groupBy("j").agg(F.collect_set("i").alias("by"))  # one number a piece at most
+        given = candidates.withColumnRenamed("i", "j").join(wanted, "j").select("a", "v", F.explode("by").alias("i"), "j", "asks")
+        away = asked.withColumn("asks", F.lit(True)).unionByName(given).groupBy("i", "j").applyInPandas(_search(k + 1, metric), schema)
+        home = home.unionByName(away)
+    if zeros:
+        # a zero is at 1 from everything: it finds the smallest ids, and only its own smallest can be found
+        others = [r.a for r in rows.select("a").orderBy("a").limit(k + 1).collect()]
+        home = home.unionByName(asking.select("a", F.explode(F.array(*[F.lit(int(z)) for z in sorted(zeros)])).alias("b"), F.lit(1.0).alias("distance")))
+        home = home.unionByName(vectors.sparkSession.createDataFrame([(int(min(zeros)), int(b), 1.0) for b in others], schema))
+    return _spread(rows, home, k)
 
 
 def fuzzy_weights(neighbours: DataFrame, k: int, rounds: int = 40) -> DataFrame:
@@ -194,5 +291,6 @@ def doublet_scores(vectors: DataFrame, rate: float = 0.06, ratio: int = 2, k: in
     q = near.filter("a >= 0").groupBy("a").agg(((F.count_if(F.col("b") < 0) + 1.0) / (kk + 2.0)).alias("q"))
     score = F.col("q") * rho / r / ((1 - rho) - F.col("q") * (1 - rho - rho / r))
     scored = q.select(F.col("a").alias(key), score.alias("doublet_score"))
-    limit = scored.agg(F.percentile("doublet_score", F.lit(1 - rate)).alias("_c"))
+    scored = cut(scored)  # read by every pass over the quantile
+    limit = quantiles(scored.withColumn("_g", F.lit(0)), "_g", "doublet_score", {"_c": 1 - rate}).select("_c")
     return scored.crossJoin(F.broadcast(limit)).withColumn("doublet_call", F.col("doublet_score") > F.col("_c")).drop("_c")

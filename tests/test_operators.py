@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from spotlattice.functions import cluster_order, share, starts_with_any
-from spotlattice.operators import assign, expression, geometry, matrix, neighbours, tiler, tiles
+from spotlattice.operators import assign, expression, geometry, matrix, neighbours, quantiles, tiler, tiles
 
 SQUARE = [0.0, 4.0, 4.0, 0.0], [0.0, 0.0, 4.0, 4.0]
 
@@ -69,6 +69,20 @@ def test_mad_branches(spark, v, want):
     assert abs(got["mad"] - want) < 1e-9 and got["median"] == float(np.median(v))
 
 
+@pytest.mark.parametrize("accuracy", [10_000, 100])
+def test_quantiles_are_exact(spark, accuracy):
+    r = np.random.default_rng(5)
+    x = {"spread": r.normal(0, 1, 5000), "skewed": np.exp(r.normal(0, 6, 4001)), "ties": r.integers(0, 3, 3000) * 1.0, "hot": np.where(r.random(2000) < 0.7, 0.0, r.random(2000)), "few": r.random(3), "one": r.random(1)}
+    rows = [(g, float(v)) for g, vs in x.items() for v in vs] + [("spread", None), ("nulls", None), (None, 2.0)]
+    probs = {"least": 0.0, "low": 0.003, "q25": 0.25, "median": 0.5, "high": 0.998, "most": 1.0}
+    got = {q.g: q for q in quantiles.quantiles(spark.createDataFrame(rows, "g string, v double"), "g", "v", probs, accuracy).collect()}
+    assert set(got) == {*x, "nulls", None}
+    for g, vs in x.items():
+        assert np.allclose([got[g][n] for n in probs], [np.quantile(vs, p) for p in probs.values()], rtol=1e-12, atol=1e-12), g
+    assert all(got["nulls"][n] is None for n in probs) and got[None]["median"] == 2.0
+    assert quantiles.quantiles(spark.createDataFrame([], "g string, v double"), "g", "v", probs).count() == 0
+
+
 def test_qc_and_yields(spark):
     m = spark.createDataFrame([(1, 1, 5), (1, 2, 3), (2, 1, 0), (3, 3, 10)], "cell long, gene long, n long")
     g = spark.createDataFrame([(1, "mt-A"), (2, "Rps1"), (3, "X"), (4, None)], "gene long, gene_name string")
@@ -183,6 +197,31 @@ def test_nearest_of_equal_vectors_takes_the_smallest_ids(spark, metric, block):
     assert {(q.a, q["rank"], q.b) for q in got.collect()} == want
 
 
+@pytest.mark.parametrize("metric", ["euclidean", "cosine"])
+def test_nearest_leaves_far_pieces_out_and_stays_exact(spark, metric):
+    r = np.random.default_rng(11)
+    mid = r.normal(0, 40, (12, 8))
+    x = np.concatenate([m + r.normal(0, 1, (40, 8)) for m in mid] + [np.tile(mid[0], (150, 1)), np.zeros((5, 8)), r.normal(0, 60, (30, 8))])
+    x = x[r.permutation(len(x))]
+    ids = r.permutation(4 * len(x))[: len(x)]
+    odd = [(10_000, None), (10_001, []), (10_002, [1.0] * 7 + [float("nan")]), (10_003, [1.0] * 7 + [float("inf")]), (10_004, [1.0] * 7 + [None])]
+    rows = [(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)] + odd
+    got = neighbours.nearest(spark.createDataFrame(rows, "id long, v array<double>"), 7, metric, block=32).collect()
+    n = np.linalg.norm(x, axis=1)
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)) if metric == "euclidean" else 1 - (x[:, None] * x[None]).sum(2) / np.maximum(n[:, None] * n[None], 1e-300)
+    of = {int(i): p for p, i in enumerate(ids)}
+    want = {(a, rank, b) for a in of for rank, b in enumerate(sorted(set(of) - {a}, key=lambda b: (round(d[of[a], of[b]], 9), b))[:7], 1)}
+    assert {(q.a, q["rank"], q.b) for q in got} == want and len(got) == len(want)
+    assert all(abs(q.distance - d[of[q.a], of[q.b]]) < 1e-9 for q in got)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, [0.0, 0.0])], [(1, None)], [(1, [1.0, 2.0]), (2, [1.0, 2.0])]])
+def test_nearest_of_few(spark, rows):
+    for metric in ("euclidean", "cosine"):
+        got = neighbours.nearest(spark.createDataFrame(rows, "id long, v array<double>"), 3, metric).collect()
+        assert {(q.a, q.b) for q in got} == ({(1, 2), (2, 1)} if len(rows) == 2 else set())
+
+
 def test_tiles_cover_the_tissue_once(spark):
     mask = np.zeros((32, 32), int)
     mask[:20, :24] = 1
