@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, html_text, lm, mixing, near_dedup, packing, token_files, topk, toxicity
+from . import ball_kmeans, chat, exact_dedup, html_text, lm, mixing, near_dedup, packing, prefix_trie, token_files, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -144,5 +144,78 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_lm_score": op2_lm_score, "op3_near_dedup": op3_near_dedup, "op4_token_files": op4_token_files, "op5_chat_format": op5_chat_format, "op6_exact_dedup": op6_exact_dedup, "op7_top_k": op7_top_k, "op8_toxicity": op8_toxicity, "op9_html_text": op9_html_text, "op10_best_fit_packing": op10_best_fit_packing}
-SQL = {"op1_mix_sources": OP1_SQL, "op5_chat_format": OP5_SQL, "op6_exact_dedup": OP6_SQL, "op7_top_k": OP7_SQL}
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(prefix_trie.branched(_table(spark, sf_dir, "conversations"), every=20, most=3))
+
+
+#: crc32 bit by bit over the characters of the decimal id; a prefix is known by the digests of its turns, 64 characters each.
+OP11_SQL = r"""
+WITH ids AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,
+         xor(list_reduce(flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+             lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END, CAST(4294967295 AS BIGINT)), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)),
+r AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
+      FROM conversations WHERE conv_id IS NOT NULL),
+t AS (SELECT i.conv_id, r.k AS pos, role, text FROM ids i JOIN r ON r.conv_id = i.base AND r.k <= i.h
+      UNION ALL SELECT i.conv_id, r.k + 3, role, text FROM ids i JOIN r ON r.conv_id = i.conv_id AND r.k > i.h),
+p AS (SELECT conv_id, row_number() OVER w AS depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+             string_agg(sha256(length(role) || ':' || role || text), '') OVER w AS prefix
+      FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY pos)
+      UNION ALL SELECT conv_id, 0, 0, '' FROM ids),
+n AS (SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words FROM p GROUP BY prefix, depth),
+c AS (SELECT left(prefix, length(prefix) - 64) AS prefix, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+u AS (SELECT left(prefix, CAST(64 * unnest(range(0, CAST(depth + 1 AS BIGINT))) AS BIGINT)) AS prefix, (n_convs - 1) * words AS saved,
+             CASE WHEN c.prefix IS NULL THEN 1 ELSE 0 END AS leaf FROM n LEFT JOIN c USING (prefix)),
+s AS (SELECT prefix, CAST(sum(saved) AS BIGINT) AS saved_tokens, CAST(sum(leaf) AS BIGINT) AS n_leaves FROM u GROUP BY prefix),
+e AS (SELECT prefix, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS told
+      FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY depth DESC) AS last FROM p) WHERE last = 1 GROUP BY prefix)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, a.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens,
+       coalesce(told, sha256('')) AS ends_sha256
+FROM n LEFT JOIN n a ON n.depth > 0 AND a.prefix = left(n.prefix, length(n.prefix) - 64)
+LEFT JOIN c ON c.prefix = n.prefix LEFT JOIN e ON e.prefix = n.prefix JOIN s ON s.prefix = n.prefix
+"""
+
+
+def op13_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_kmeans.ball_kmeans(_table(spark, sf_dir, "embeddings"))
+
+
+def kmeans_sql(k: int, rounds: int) -> str:
+    """The plain algorithm, a pair of steps for each round."""
+    steps = [
+        f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, v, list_dot_product(v, v) AS vv FROM (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS k, v FROM kept ORDER BY k LIMIT {k})"""
+    ]
+    for t in range(rounds + 1):
+        steps.append(f"""
+a{t} AS MATERIALIZED (SELECT rid, min(CAST(vv - 2 * list_dot_product(kept.v, c.v) + list_dot_product(c.v, c.v) AS BIGINT) * 1000 + k) AS best
+  FROM kept CROSS JOIN c{t} c GROUP BY rid)""")
+        if t < rounds:
+            steps.append(f"""
+m{t} AS (SELECT k, list(mean ORDER BY j) AS v FROM (SELECT best % 1000 AS k, j, floor(sum(x) / count(*)) AS mean
+  FROM (SELECT best, unnest(v) AS x, unnest(range(64)) AS j FROM a{t} JOIN kept USING (rid)) GROUP BY 1, 2) GROUP BY k),
+c{t + 1} AS MATERIALIZED (SELECT c{t}.k, coalesce(m{t}.v, c{t}.v) AS v FROM c{t} LEFT JOIN m{t} USING (k))""")
+    return ",".join(steps) + f"""
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, best // 1000 AS distance, CAST(sum(best // 1000) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(best // 1000) OVER () AS BIGINT) AS inertia, sha256(array_to_string(list_transform(c.v, lambda x: CAST(x AS BIGINT)), ',')) AS centroid_sha256
+FROM a{rounds} JOIN kept USING (rid) JOIN c{rounds} c ON k = best % 1000"""
+
+
+OP13_SQL = kmeans_sql(40, 5)
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_mix_sources, op2_lm_score, op3_near_dedup, op4_token_files, op5_chat_format, op6_exact_dedup, op7_top_k,
+        op8_toxicity, op9_html_text, op10_best_fit_packing, op11_prefix_trie, op13_ball_kmeans,
+    )
+}
+SQL = {
+    "op1_mix_sources": OP1_SQL, "op5_chat_format": OP5_SQL, "op6_exact_dedup": OP6_SQL, "op7_top_k": OP7_SQL,
+    "op11_prefix_trie": OP11_SQL, "op13_ball_kmeans": OP13_SQL,
+}
