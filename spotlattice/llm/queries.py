@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import ball_kmeans, chat, exact_dedup, html_text, lm, mixing, near_dedup, packing, prefix_trie, token_files, topk, toxicity
+from . import ball_kmeans, chat, exact_dedup, html_text, lm, mixing, near_dedup, ngram_join, packing, prefix_trie, token_files, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -178,6 +178,29 @@ LEFT JOIN c ON c.prefix = n.prefix LEFT JOIN e ON e.prefix = n.prefix JOIN s ON
 """
 
 
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS MATERIALIZED (
+  SELECT rid, doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM w),
+u AS MATERIALIZED (SELECT rid, len(s) AS n, unnest(s) AS h FROM s),
+l AS MATERIALIZED (
+  SELECT a.rid AS a, b.rid AS b FROM u a JOIN u b ON a.h = b.h AND a.rid <> b.rid
+  GROUP BY a.rid, b.rid, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+r AS (SELECT rid AS a, rid AS b FROM s UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id
+FROM s JOIN (SELECT r.a AS rid, min(o.doc_id) AS component_id FROM r JOIN s o ON o.rid = r.b GROUP BY r.a) c USING (rid)
+"""
+
+
 def op13_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_kmeans.ball_kmeans(_table(spark, sf_dir, "embeddings"))
 
@@ -212,10 +235,10 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_lm_score, op3_near_dedup, op4_token_files, op5_chat_format, op6_exact_dedup, op7_top_k,
-        op8_toxicity, op9_html_text, op10_best_fit_packing, op11_prefix_trie, op13_ball_kmeans,
+        op8_toxicity, op9_html_text, op10_best_fit_packing, op11_prefix_trie, op12_ngram_join, op13_ball_kmeans,
     )
 }
 SQL = {
     "op1_mix_sources": OP1_SQL, "op5_chat_format": OP5_SQL, "op6_exact_dedup": OP6_SQL, "op7_top_k": OP7_SQL,
-    "op11_prefix_trie": OP11_SQL, "op13_ball_kmeans": OP13_SQL,
+    "op11_prefix_trie": OP11_SQL, "op12_ngram_join": OP12_SQL, "op13_ball_kmeans": OP13_SQL,
 }
