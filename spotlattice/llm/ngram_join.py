@@ -4,7 +4,7 @@ A document is the set of its distinct shingles. Three steps leave no link out an
 
 1. Exact counting. Whatever links with another text has at least the threshold's share of its
    shingles in some other text. Every shingle is counted over all documents, in sorted blocks by
-   its leading bits (five bytes a shingle; a task sends a shingle once, however many of its texts
+   its leading bits (four bytes a shingle; a task sends a shingle once, however many of its texts
    hold it), and only texts that pass go on. Most texts of a corpus end here.
 2. Prefixes. Of two linked texts, the rarest shingles of either, as many as may be missing from the
    overlap and one more, have one in common. Texts that share such a shingle and are of like size
@@ -37,8 +37,8 @@ from .components import components
 from .near_dedup import shingles
 from .storage import cut
 
-#: Bytes of a shingle's hash that travel beside the number of its block.
-FIVE = 5
+#: Bits of the map of wanted texts that goes to all tasks: 2 MB. A map that fills up lets more texts pass, and the join after it is exact.
+MAP_BITS = 24
 
 
 @dataclass(frozen=True)
@@ -80,13 +80,7 @@ def _sized(s: Settings):
 
 
 def _short(h: np.ndarray, low: np.uint64) -> bytes:
-    return np.ascontiguousarray((h >> low).astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :FIVE].tobytes()
-
-
-def _long(data: bytes) -> np.ndarray:
-    raw = np.zeros((len(data) // FIVE, 8), dtype=np.uint8)
-    raw[:, :FIVE] = np.frombuffer(data, np.uint8).reshape(-1, FIVE)
-    return raw.view("<u8").ravel()
+    return (h >> low).astype("<u4").tobytes()
 
 
 def lone_shingles(texts: DataFrame, s: Settings) -> DataFrame:
@@ -95,8 +89,8 @@ def lone_shingles(texts: DataFrame, s: Settings) -> DataFrame:
     ``lone`` is never too high: hashes that agree in the bits that travel, and copies that a task no
     longer remembers, make a shingle shared. So the filter built on it loses nothing.
     """
-    bits = max(6, (texts.rdd.getNumPartitions() * 2 - 1).bit_length())
-    down, low = np.uint64(64 - bits), np.uint64(64 - bits - 8 * FIVE)
+    bits = max(5, (texts.rdd.getNumPartitions() - 1).bit_length())
+    down, low = np.uint64(64 - bits), np.uint64(64 - bits - 32)
 
     def deal(batches, most: int = 2_000_000, remember: int = 200_000):
         seen: set[bytes] = set()
@@ -143,12 +137,12 @@ def lone_shingles(texts: DataFrame, s: Settings) -> DataFrame:
             yield out()
 
     def tally(f: pd.DataFrame) -> pd.DataFrame:
-        once = np.concatenate([_long(x) for x in f["once"]])
+        once = np.concatenate([np.frombuffer(x, "<u4") for x in f["once"]])
         docs = np.concatenate([np.repeat(np.frombuffer(d, "<i8"), np.frombuffer(k, "<u4")) for d, k in zip(f["docs"], f["sizes"], strict=True)])
-        many = np.concatenate([_long(x) for x in f["many"]])
+        many = np.concatenate([np.frombuffer(x, "<u4") for x in f["many"]])
         h = np.concatenate([once, many])
         order = np.argsort(h, kind="stable")
-        first = np.flatnonzero(np.diff(h[order], prepend=h[order][:1] + np.uint64(1)))
+        first = np.flatnonzero(np.diff(h[order], prepend=h[order][:1] + np.uint32(1)))
         owner = np.concatenate([docs, np.zeros(len(many), np.int64)])[order]
         shared = np.logical_or.reduceat(order >= len(once), first) | (np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first))
         d, lone = np.unique(owner[first][~shared], return_counts=True)
@@ -168,6 +162,16 @@ def lone_shingles(texts: DataFrame, s: Settings) -> DataFrame:
     return told.groupBy("dpart").applyInPandas(add_up, "d long, lone long")
 
 
+def wanted_map(hashes: DataFrame) -> np.ndarray:
+    """Packed bits, one set for the leading bits of each 64-bit hash. Its size is fixed, and tasks add up their own before anything is sent."""
+    place = F.shiftrightunsigned("_h", 64 - MAP_BITS)
+    bytes_ = hashes.select(F.shiftright(place, 3).cast("int").alias("at"), F.expr(f"shiftright(128, cast(shiftrightunsigned(_h, {64 - MAP_BITS}) % 8 as int))").alias("bit"))
+    told = bytes_.groupBy("at").agg(F.bit_or("bit").alias("bits")).toPandas()
+    out = np.zeros(1 << (MAP_BITS - 3), dtype=np.uint8)
+    out[told["at"]] = told["bits"]
+    return out
+
+
 class SignatureTree:
     """Levels of nodes, sets first: OR of bitmaps, smallest and largest size, and most shingles that share a bit with another of their set."""
 
@@ -297,11 +301,12 @@ def links_within(sets: DataFrame, member: DataFrame, s: Settings) -> DataFrame:
     ``sets``: k, n, tokens (sorted as unsigned numbers); ``member``: k, comp.
     """
     size = F.floor(F.log(F.col("n")) / math.log(1.26)).cast("int").alias("size")
-    rows = cut(sets.join(member, "k").select("k", "n", size, "comp", "tokens"))
+    placed = cut(sets.select("k", "n").join(member, "k").select("k", "n", size, "comp"))
     parts = F.ceil(F.greatest(F.count(F.lit(1)) / s.block, F.sum("n") / s.block_shingles)).cast("int")
-    blocks = cut(rows.groupBy("comp").agg(parts.alias("blocks"), F.min("k").alias("pivot")))
-    small = rows.join(blocks.filter("blocks = 1").select("comp"), "comp").select("comp", "k", "tokens")
-    large = cut(rows.join(blocks.filter("blocks > 1"), "comp"))
+    blocks = cut(placed.groupBy("comp").agg(parts.alias("blocks"), F.min("k").alias("pivot")))
+    own_tokens = sets.select("k", "tokens")
+    small = own_tokens.join(placed.join(blocks.filter("blocks = 1").select("comp"), "comp"), "k").select("comp", "k", "tokens")
+    large = cut(own_tokens.join(placed.join(blocks.filter("blocks > 1"), "comp"), "k"))
 
     def within(batches):
         for held in _groups(batches, 1):
@@ -400,7 +405,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 listed = pa.ListArray.from_arrays(starts, flat)
                 yield pa.RecordBatch.from_arrays([b.column(1).slice(a, len(t)), pa.array([len(x) for x in sets], pa.int64()), listed], names=["digest", "n", "tokens"])
 
-    found = texts.join(wanted, at).select("text", "digest").mapInArrow(tokens, "digest binary, n long, tokens array<long>")
+    maps = ship(docs.sparkSession).sparkContext.broadcast(wanted_map(open_.select("r._h")))
+
+    def sift(batches):
+        for b in batches:
+            h = (np.asarray(b.column(2)).astype(np.int64).view(np.uint64) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+            yield b.filter(pa.array((maps.value[h >> 3] >> (7 - h % 8).astype(np.uint8)) & 1 == 1))
+
+    likely = texts.mapInArrow(sift, texts.schema)
+    found = likely.join(wanted, at).select("text", "digest").mapInArrow(tokens, "digest binary, n long, tokens array<long>")
     once = F.row_number().over(Window.partitionBy("digest").orderBy(F.lit(0)))  # rows that repeat id and text
     sets = cut(found.withColumn("_rn", once).filter("_rn = 1").select(F.monotonically_increasing_id().alias("k"), "digest", "n", "tokens"))
     comps = coarse_components(rare_prefixes(sets.select("k", "n", "tokens"), s))
