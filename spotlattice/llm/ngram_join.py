@@ -392,7 +392,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     each = sized.filter("n > 0").groupBy("digest").agg(F.min(F.struct("_h", "_c", "_id")).alias("r"), F.min("_id").alias("lo"), F.max("n").alias("n"), F.count(F.lit(1)).alias("rows"))
     each = each.withColumn("d", first8)
     lone = lone_shingles(texts.select("text"), s)
-    open_ = each.join(lone, "d", "left").filter(100 * (F.col("n") - F.coalesce("lone", F.lit(0))) >= s.percent * F.col("n"))
+    open_ = cut(each.join(lone, "d", "left").filter(100 * (F.col("n") - F.coalesce("lone", F.lit(0))) >= s.percent * F.col("n")).select("digest", "r"))
     wanted = open_.select("digest", F.col("r._h").alias("_wh"), F.col("r._c").alias("_wc"), F.col("r._id").alias("_wi"))
     at = (F.col("_h") == F.col("_wh")) & (F.col("_c") == F.col("_wc")) & F.col("_id").eqNullSafe(F.col("_wi"))
 
