@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,3 +42,25 @@ def cut(df: DataFrame) -> DataFrame:
     """Eager, reliable checkpoint in the shared folder: survives lost executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+class Scratch:
+    """Tables of an iteration, as Parquet in the shared folder: unlike checkpoints they carry no facts about
+    their columns from round to round (plans of many rounds grow by them), and they can be deleted."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.top = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.held: list[str] = []
+
+    def put(self, df: DataFrame) -> DataFrame:
+        folder = f"{self.top}/{len(self.held)}"
+        self.held.append(folder)
+        df.write.parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
+
+    def drop_before(self, last: int) -> None:
+        """Deletes all but the ``last`` tables put in; those that are deleted must not be read any more."""
+        jvm = self.spark.sparkContext._jvm
+        for folder in self.held[: max(0, len(self.held) - last)]:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
