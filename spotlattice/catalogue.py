@@ -168,15 +168,6 @@ def dilated_assign(spark, d):
     return assign.assign_dilated(spots(spark, d), cells(spark, d), 2.0)
 
 
-@query()
-def dilation_summary(spark, d):
-    out = assign.dilate_stars(cells(spark, d), 2.0)
-    return out.agg(
-        F.count(F.lit(1)).alias("cells"), F.count_if("clipped").alias("clipped"), F.round(100 * F.avg(F.col("clipped").cast("int")), 6).alias("clipped_pct"),
-        F.round(F.avg("gained"), 6).alias("mean_gain"), F.round(F.percentile("gained", F.lit(0.5)), 6).alias("median_gain"),
-    )
-
-
 @query(f"""WITH {CELLS_SQL}, a AS (SELECT spot, min(cell_id) AS cell_id FROM hit WHERE odd OR edge GROUP BY spot), n AS (SELECT cell_id, count(*) AS n FROM a GROUP BY 1)
 SELECT cell_id, round(sum((x1 + x2) * (x1 * y2 - x2 * y1)) / (6 * sum(x1 * y2 - x2 * y1) / 2), 6) AS centroid_x, round(sum((y1 + y2) * (x1 * y2 - x2 * y1)) / (6 * sum(x1 * y2 - x2 * y1) / 2), 6) AS centroid_y,
  round(abs(sum(x1 * y2 - x2 * y1) / 2), 6) AS area_px2, coalesce(max(n), 0) AS n_spots FROM e LEFT JOIN n USING (cell_id) GROUP BY cell_id""")
@@ -464,4 +455,4 @@ def geojson_roundtrip(spark, d):
     return back.groupBy("cell_id").agg(F.count(F.lit(1)).alias("rings"), F.sum(F.size("xs")).alias("points"), F.min(F.col("props")["name"]).alias("name"))
 
 
-from . import catalogue_pixels  # noqa: E402,F401  registers its queries
+from . import catalogue_pixels, catalogue_shapes  # noqa: E402,F401  register their queries
