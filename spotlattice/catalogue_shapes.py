@@ -98,9 +98,9 @@ def dissolved_boxes(spark, d):
 
 @query()
 def leiden_clusters(spark, d):
-    """Clusters of vectors by Leiden on the fuzzy neighbour graph."""
+    """Clusters of vectors by one iteration of Leiden on the fuzzy neighbour graph."""
     edges = cut(neighbours.fuzzy_weights(neighbours.nearest(_vectors(spark, d), 19), 20))
-    return leiden.leiden(edges).select(F.col("a").alias("vec_id"), "cluster")
+    return leiden.leiden(edges, iterations=1).select(F.col("a").alias("vec_id"), "cluster")
 
 
 @query(f"""WITH {STATS_SQL}, t100 AS (SELECT * FROM st ORDER BY var DESC, gene LIMIT 100),
@@ -124,7 +124,7 @@ def component_variance(spark, d):
 @query()
 def clustered_bundle(spark, d):
     """The chain from counts to clusters, written as a bundle and read back: cell, total, cluster and the first component."""
-    got = clustering.clustered(cell_matrix(spark, d), ClusterSettings(n_pcs=20, neighbours=12, variable_genes=500))
+    got = clustering.clustered(cell_matrix(spark, d), ClusterSettings(n_pcs=20, neighbours=12, variable_genes=500), iterations=1)
     folder = f"{shared_dir(spark)}/clustered-{got.notes['cells']}-{got.notes['genes']}"
     got.write(folder)
     obs = spark.read.parquet(f"{folder}/obs")

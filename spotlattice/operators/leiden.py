@@ -43,18 +43,18 @@ def _best(scored: DataFrame, keys: list[str], label: str) -> DataFrame:
 
 
 def local_moves(edges: DataFrame, nodes: DataFrame, m2: float, resolution: float, batches: int, seed: int, kept: Scratch) -> tuple[DataFrame, int]:
-    """``nodes``: a, k, c. Moves nodes to the cluster around them that gains most, batch by batch; ends early when two in a row, of opposite orders, move none."""
+    """``nodes``: a, k, c. Moves nodes to the cluster around them that gains most, batch by batch; ends early when two in a row, of opposite orders, move less than one node in 200 each."""
     moves = still = 0
     for batch in range(batches):
         totals = nodes.groupBy("c").agg(F.sum("k").alias("total"))
         links = _around(edges, nodes, "c").join(nodes.select("a", "k", F.col("c").alias("from")), "a")
         links = links.filter((F.col("c") == F.col("from")) | _below(F.col("c"), F.col("from"), batch, seed))
         score = _gain(F.col("w"), F.col("k"), F.col("total"), F.col("c") == F.col("from"), resolution, m2)
-        moved = kept.put(_best(links.join(totals, "c").withColumn("score", score), ["k"], "c"))
+        best = _best(links.join(totals, "c").withColumn("score", score), ["k"], "c")
+        moved, seen = kept.put_seen(best, F.count_if("moved").alias("moved"), F.count(F.lit(1)).alias("all"))
         nodes = moved.drop("moved")
-        n = moved.filter("moved").count()
-        moves += n
-        still = 0 if n else still + 1
+        moves += seen["moved"]
+        still = still + 1 if 200 * seen["moved"] < seen["all"] else 0
         if still == 2:
             break
     return nodes, moves
@@ -67,6 +67,7 @@ def refined(edges: DataFrame, nodes: DataFrame, m2: float, resolution: float, ba
     inside = _around(edges, nodes, "c").join(nodes.select("a", "k", "c"), ["a", "c"]).join(clusters, "c")
     tied = F.col("w") >= F.lit(resolution / m2) * F.col("k") * (F.col("whole") - F.col("k")) - 1e-9
     now = kept.put(inside.select("a", "k", "c", tied.alias("tied"), F.col("a").alias("r")))
+    still = 0
     for batch in range(batches):
         parts = now.groupBy("r").agg(F.sum("k").alias("total"), F.count(F.lit(1)).alias("size"), F.min("c").alias("part_of"))
         links = _around(edges, now, "r").join(now.select("a", "k", "c", "tied", F.col("r").alias("from")), "a").join(parts, "r")
@@ -74,7 +75,12 @@ def refined(edges: DataFrame, nodes: DataFrame, m2: float, resolution: float, ba
         alone = F.max(F.when(own, F.col("size"))).over(Window.partitionBy("a")) == 1
         may = F.col("tied") & (F.col("part_of") == F.col("c")) & _below(F.col("r"), F.col("from"), batch, seed) & (F.col("w") > 0)
         scored = links.withColumn("alone", alone).filter(own | (may & F.col("alone")))
-        now = kept.put(_best(scored.withColumn("score", _gain(F.col("w"), F.col("k"), F.col("total"), own, resolution, m2)), ["k", "c", "tied"], "r").drop("moved"))
+        best = _best(scored.withColumn("score", _gain(F.col("w"), F.col("k"), F.col("total"), own, resolution, m2)), ["k", "c", "tied"], "r")
+        told, seen = kept.put_seen(best, F.count_if("moved").alias("moved"), F.count(F.lit(1)).alias("all"))
+        now = told.drop("moved")
+        still = still + 1 if 200 * seen["moved"] < seen["all"] else 0
+        if still == 2:
+            break
     return now.drop("tied")
 
 

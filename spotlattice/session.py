@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _SHIPPED = "_spotlattice_shipped"
 
@@ -58,6 +58,11 @@ class Scratch:
         df.write.parquet(folder)
         return self.spark.read.schema(df.schema).parquet(folder)
 
+    def put_seen(self, df: DataFrame, *figures: Column) -> tuple[DataFrame, dict]:
+        """``put``, and aggregates of the rows that come from the same job."""
+        seen = Observation()
+        return self.put(df.observe(seen, *figures)), seen.get
+
     def drop_before(self, last: int) -> None:
         """Deletes all but the ``last`` tables put in; those that are deleted must not be read any more."""
         jvm = self.spark.sparkContext._jvm

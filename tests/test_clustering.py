@@ -84,9 +84,9 @@ def test_leiden_finds_planted_groups(spark):
 
 
 def test_leiden_is_as_good_as_serial_and_resolution_counts(spark):
-    edges = planted(150, 10, 0.5, 0.06, 2)
+    edges = planted(120, 8, 0.5, 0.06, 2)
     df = frame(spark, edges).cache()
-    found = {x: {r.a: r.cluster for r in leiden.leiden(df, x).collect()} for x in (0.2, 1.0)}
+    found = {x: {r.a: r.cluster for r in leiden.leiden(df, x, iterations=n).collect()} for x, n in ((0.2, 1), (1.0, 2))}
     assert len(set(found[0.2].values())) < len(set(found[1.0].values()))
     q = quality(edges, found[1.0])
     assert q >= 0.98 * max(quality(edges, serial(edges, seed=i)) for i in range(3))
