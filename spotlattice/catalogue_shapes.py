@@ -6,15 +6,17 @@ are those crossings of two lines that no third one cuts off.
 
 from __future__ import annotations
 
-import math
+import uuid
 
 from pyspark.sql import functions as F
 
-from .catalogue import STATS_SQL, _stats, _values, _vectors, cell_matrix, cells, query, rounded, table
-from .operators import expression, geometry, leiden, neighbours, outline, sparse_pca, voronoi
+from .catalogue import STATS_SQL, _metrics, _stats, _values, _vectors, cell_matrix, cells, query, rounded, table
+from .catalogue_pixels import BEFORE_SQL, _drawn
+from .operators import doublets, expression, geometry, leiden, matrix, neighbours, outline, sparse_pca, voronoi
 from .plans import clustering
 from .plans.stages import ClusterSettings
 from .session import cut, shared_dir
+from .sources import images
 
 SITES_SQL = """s AS MATERIALIZED (SELECT s_suppkey AS k, (s_suppkey * 37) % 100 + 0.013::DOUBLE AS x, (s_suppkey * 53) % 100 + 0.017::DOUBLE AS y,
   4.0::DOUBLE + s_suppkey % 3 AS r FROM supplier)"""
@@ -43,7 +45,6 @@ def voronoi_cells(spark, d):
     return rounded(found.select("cell_id", "area"), "area", places=3)
 
 
-STEP = math.pi / 32
 GROWN_AREA_SQL = "16 * sin(pi() / 8) * r * 2 + 4 * 8 * sin(pi() / 4) / 8 * r * r + 32 * 4 * sin(pi() / 32)"
 
 
@@ -123,9 +124,32 @@ def component_variance(spark, d):
 
 @query()
 def clustered_bundle(spark, d):
-    """The chain from counts to clusters, written as a bundle and read back: cell, total, cluster and the first component."""
+    """The chain from counts to clusters, written as a bundle and read back: cell, total, cluster, the first component and whether it has a place."""
     got = clustering.clustered(cell_matrix(spark, d), ClusterSettings(n_pcs=20, neighbours=12, variable_genes=500), iterations=1)
-    folder = f"{shared_dir(spark)}/clustered-{got.notes['cells']}-{got.notes['genes']}"
+    folder = f"{shared_dir(spark)}/clustered-{uuid.uuid4().hex}"
     got.write(folder)
     obs = spark.read.parquet(f"{folder}/obs")
-    return obs.select("cell", "total", "cluster", F.round(F.col("pc")[0], 6).alias("pc1"))
+    return obs.select("cell", "total", "cluster", F.round(F.col("pc")[0], 6).alias("pc1"), F.col("x").isNotNull().alias("placed"))
+
+
+@query()
+def doublets_on_counts(spark, d):
+    """Scores and calls of cells among sums of pairs of cells."""
+    calls, _ = doublets.doublet_calls(cell_matrix(spark, d), n_genes=500)
+    return calls
+
+
+@query()
+def qc_called(spark, d):
+    """Cells that pass quality control and are not called doublets from their counts."""
+    calls, _ = doublets.doublet_calls(cell_matrix(spark, d), n_genes=500)
+    kept = matrix.qc_keep(_metrics(spark, d), min_genes=0, min_umis=0, max_mito=0.0)
+    return matrix.final_keep(kept, calls).select("cell", "n_umi", "n_genes")
+
+
+@query(f"WITH {BEFORE_SQL} SELECT CAST(y AS BIGINT) AS y, CAST(x AS BIGINT) AS x, cell_id + 1 AS label FROM rb")
+def label_files(spark, d):
+    """Cells drawn as labels from 1, written as tiled files and read back."""
+    drawn = _drawn(spark, d).select("y", "x", (F.col("cell_id") + 1).alias("label"))
+    folder = f"{shared_dir(spark)}/labels-{uuid.uuid4().hex}"
+    return images.read_label_tiles(spark, folder, images.write_label_tiles(drawn, folder, 120, 120, side=64))

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import expression, leiden, neighbours, sparse_pca
+from ..operators import expression, layout, leiden, neighbours, sparse_pca
 from ..session import cut
 from ..sources import tables
 from .stages import ClusterSettings
@@ -17,7 +17,7 @@ from .stages import ClusterSettings
 
 @dataclass
 class Clustered:
-    """x: cell, gene, value (all genes); obs: cell, total, cluster, pc; var: gene, mean, var, norm_var, place, loading; edges: a, b, weight."""
+    """x: cell, gene, value (all genes); obs: cell, total, cluster, pc, x, y; var: gene, mean, var, norm_var, place, loading; edges: a, b, weight."""
 
     x: DataFrame
     obs: DataFrame
@@ -30,13 +30,13 @@ class Clustered:
         self.edges.write.mode("overwrite").parquet(f"{folder}/edges")
 
 
-def clustered(matrix: DataFrame, settings: ClusterSettings = ClusterSettings(), cell: str = "cell", gene: str = "gene", n: str = "n", iterations: int = 2) -> Clustered:
+def clustered(matrix: DataFrame, settings: ClusterSettings = ClusterSettings(), cell: str = "cell", gene: str = "gene", n: str = "n", iterations: int = 2, place: bool = True) -> Clustered:
     """``matrix``: cell (long), gene, n, one row a pair. Cells below ``min_counts`` go; values are normalised to 10,000
     and logged; the genes with the largest stabilised variance are scaled (at most 10) and give the
-    components, whose neighbours (the cell itself counts as one) give the graph and its Leiden clusters.
+    components, whose neighbours (the cell itself counts as one) give the graph, its Leiden clusters and, with ``place``, its layout.
 
     A cell without a stored value among those genes has the coordinates of an all-zero row. Fewer
-    cells than neighbours: all others are neighbours. A lone cell has no edge and the cluster null.
+    cells than neighbours: all others are neighbours. A lone cell has no edge, and null for cluster, x and y.
     """
     s = settings
     totals = cut(matrix.groupBy(cell).agg(F.sum(n).alias("total")).filter(F.col("total") >= (s.min_counts or 0)))
@@ -57,6 +57,10 @@ def clustered(matrix: DataFrame, settings: ClusterSettings = ClusterSettings(),
     edges = cut(neighbours.fuzzy_weights(near, s.neighbours))
     clusters = leiden.leiden(edges, s.resolution, iterations=iterations, seed=s.seed).withColumnRenamed("a", cell)
     obs = totals.join(scores, cell).join(clusters, cell, "left")
+    if place:
+        obs = obs.join(layout.layout(edges, seed=s.seed).withColumnRenamed("a", cell), cell, "left")
+    else:
+        obs = obs.withColumns({c: F.lit(None).cast("double") for c in "xy"})
     # one row a gene
     loads = matrix.sparkSession.createDataFrame([(i, [float(x) for x in comp[:, i]]) for i in range(genes)], "ix int, loading array<double>")
     var = top.join(places.join(loads, "ix").drop("ix"), gene)
