@@ -50,23 +50,27 @@ def wilcoxon(values: DataFrame, clusters: DataFrame, cell: str = "cell", gene: s
     """cluster, gene, z of the rank-sum test of each cluster against the rest; ties share mean ranks, without tie correction.
 
     ``clusters`` has one row a cell. Zeros are one tie below all (positive) values, so only stored
-    values are ranked; genes without any are left out. A gene's values are dealt into ranges of
-    ``step``, whose counts are summed first, so a gene that every cell has is not one task.
+    values are ranked; genes without any are left out. Equal values of a cluster are counted before
+    anything is ranked, so a tie is one row a cluster; a gene's values are dealt into ranges of
+    ``step``, ranked there, and moved up by the counts of the ranges below, so a gene that every cell has is not one task.
     """
     sizes = clusters.groupBy(cluster).agg(F.count(F.lit(1)).cast("double").alias("size"))
     n = sizes.agg(F.sum("size").alias("cells"))
     v = values.filter(F.col(value) > 0).join(clusters.select(cell, cluster), cell)
-    v = v.select(gene, cluster, value, F.floor(F.col(value) / step).alias("_b"))
-    ranges = v.groupBy(gene, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    own = Window.partitionBy(gene)
-    ahead = F.coalesce(F.sum("_n").over(own.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = ranges.select(gene, "_b", ahead.alias("_ahead"), F.sum("_n").over(own).cast("double").alias("stored"))
+    tied = v.groupBy(gene, F.floor(F.col(value) / step).alias("_b"), value, cluster).agg(F.count(F.lit(1)).cast("double").alias("_k"))
     by = Window.partitionBy(gene, "_b")
-    tied = F.count(F.lit(1)).over(Window.partitionBy(gene, "_b", value))
-    ranked = v.withColumn("r", F.rank().over(by.orderBy(value)) + (tied.cast("double") - 1) / 2).join(placed, [gene, "_b"]).withColumn("r", F.col("r") + F.col("_ahead"))
-    sums = ranked.groupBy(gene, cluster).agg(F.sum("r").alias("r"), F.count(F.lit(1)).cast("double").alias("k"))
-    genes = ranked.groupBy(gene).agg(F.first("stored").alias("stored")).crossJoin(F.broadcast(n))
-    every = genes.crossJoin(F.broadcast(sizes)).join(sums, [gene, cluster], "left")
+    upto = F.sum("_k").over(by.orderBy(value).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    every_k = F.sum("_k").over(Window.partitionBy(gene, "_b", value))
+    inside = tied.select(gene, "_b", cluster, "_k", (F.col("_k") * (upto - (every_k - 1) / 2)).alias("_r"))
+    ranges = inside.groupBy(gene, "_b", cluster).agg(F.sum("_r").alias("_r"), F.sum("_k").alias("_k"))
+    own = Window.partitionBy(gene)
+    below = F.coalesce(F.sum("_k").over(own.orderBy("_b").rangeBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    moved = ranges.select(gene, cluster, "_k", (F.col("_r") + below * F.col("_k")).alias("_r"), F.sum("_k").over(own).alias("stored"))
+    sums = moved.groupBy(gene, cluster).agg(F.sum("_r").alias("r"), F.sum("_k").alias("k"), F.first("stored").alias("stored"))
+    # one entry a cluster
+    entry = F.when(F.col(cluster).isNotNull(), F.struct(cluster, F.struct("r", "k")))
+    genes = sums.groupBy(gene).agg(F.first("stored").alias("stored"), F.map_from_entries(F.collect_list(entry)).alias("_own"))
+    every = genes.crossJoin(F.broadcast(sizes.crossJoin(n))).withColumn("_o", F.try_element_at("_own", F.col(cluster))).select("*", "_o.r", "_o.k")
     zeros = F.col("cells") - F.col("stored")
     k = F.coalesce("k", F.lit(0.0))
     total = F.coalesce("r", F.lit(0.0)) + k * zeros + (F.col("size") - k) * (zeros + 1) / 2
