@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .catalogue import STATS_SQL, _metrics, _stats, _values, _vectors, cell_matrix, cells, query, rounded, table
 from .catalogue_pixels import BEFORE_SQL, _drawn
-from .operators import doublets, expression, geometry, leiden, matrix, neighbours, outline, sparse_pca, voronoi
+from .operators import descent, doublets, expression, geometry, leiden, matrix, neighbours, outline, sparse_pca, voronoi
 from .plans import clustering
 from .plans.stages import ClusterSettings
 from .session import cut, shared_dir
@@ -97,10 +97,16 @@ def dissolved_boxes(spark, d):
     return outline.dissolved(boxes).groupBy("group").agg(F.round(F.sum("area"), 4).alias("area"))
 
 
+@query()
+def knn_descent(spark, d):
+    """Approximate neighbours of vectors, by descent."""
+    return rounded(descent.descend(_vectors(spark, d), 19), "distance", places=6)
+
+
 @query()
 def leiden_clusters(spark, d):
-    """Clusters of vectors by one iteration of Leiden on the fuzzy neighbour graph."""
-    edges = cut(neighbours.fuzzy_weights(neighbours.nearest(_vectors(spark, d), 19), 20))
+    """Clusters of vectors by one iteration of Leiden on the fuzzy graph of approximate neighbours."""
+    edges = cut(neighbours.fuzzy_weights(descent.descend(_vectors(spark, d), 19), 20))
     return leiden.leiden(edges, iterations=1).select(F.col("a").alias("vec_id"), "cluster")
 
 

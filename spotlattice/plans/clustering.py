@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,10 +31,11 @@ class Clustered:
         self.edges.write.mode("overwrite").parquet(f"{folder}/edges")
 
 
-def clustered(matrix: DataFrame, settings: ClusterSettings = ClusterSettings(), cell: str = "cell", gene: str = "gene", n: str = "n", iterations: int = 2, place: bool = True) -> Clustered:
+def clustered(matrix: DataFrame, settings: ClusterSettings = ClusterSettings(), cell: str = "cell", gene: str = "gene", n: str = "n", iterations: int = 2, place: bool = True, search: Callable = neighbours.nearest) -> Clustered:
     """``matrix``: cell (long), gene, n, one row a pair. Cells below ``min_counts`` go; values are normalised to 10,000
     and logged; the genes with the largest stabilised variance are scaled (at most 10) and give the
-    components, whose neighbours (the cell itself counts as one) give the graph, its Leiden clusters and, with ``place``, its layout.
+    components, whose neighbours (the cell itself counts as one) give the graph, its Leiden clusters and, with ``place``, its layout. ``search`` finds the neighbours: exactly, or
+    ``descent.descend`` for many cells.
 
     A cell without a stored value among those genes has the coordinates of an all-zero row. Fewer
     cells than neighbours: all others are neighbours. A lone cell has no edge, and null for cluster, x and y.
@@ -53,7 +55,7 @@ def clustered(matrix: DataFrame, settings: ClusterSettings = ClusterSettings(),
     k = max(1, min(s.n_pcs, genes, cells - 1))
     mean, comp, variances, whole = sparse_pca.sparse_components(rows, genes, k, seed=s.seed)
     scores = cut(sparse_pca.sparse_scores(rows, mean, comp, cell))
-    near = neighbours.nearest(scores, s.neighbours - 1, key=cell, vector="pc")
+    near = search(scores, s.neighbours - 1, key=cell, vector="pc")
     edges = cut(neighbours.fuzzy_weights(near, s.neighbours))
     clusters = leiden.leiden(edges, s.resolution, iterations=iterations, seed=s.seed).withColumnRenamed("a", cell)
     obs = totals.join(scores, cell).join(clusters, cell, "left")
