@@ -275,20 +275,19 @@ def markers_top(spark, d):
     return expression.top_markers(rounded(_tests(spark, d), "z"))
 
 
-@query(f"""WITH {WILCOXON_SQL}, p AS (SELECT cluster, gene, 1 / (1 + round(z, 6) * round(z, 6)) AS p FROM test), r AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY p, gene) AS k, count(*) OVER (PARTITION BY cluster) AS m FROM p)
-SELECT cluster, gene, round(least(1, min(p * m / k) OVER (PARTITION BY cluster ORDER BY k DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)), 6) AS p_adj FROM r""")
-def markers_bh(spark, d):
-    t = rounded(_tests(spark, d), "z").withColumn("p", 1 / (1 + F.col("z") * F.col("z")))
-    return rounded(expression.adjust(t, "p"), "p_adj").select("cluster", "gene", "p_adj")
+#: Two-sided p of z: 1 - erf(|z| / sqrt 2), erf by its series of positive terms 2^n x^(2n+1) / (1 * 3 * ... * (2n+1)).
+P_SQL = """, x AS (SELECT cluster, gene, z, abs(z) / sqrt(2.0::DOUBLE) AS x FROM test),
+pv AS (SELECT cluster, gene, z, CASE WHEN x = 0 THEN 1.0::DOUBLE WHEN x > 5.5 THEN 0.0::DOUBLE ELSE greatest(0, 1 - 2 / sqrt(pi()) * list_sum(list_transform(range(0, 160),
+  lambda n: exp((2 * n + 1) * ln(x) + 2 * n * ln(2) - lgamma(2 * n + 2) + lgamma(n + 1) - x * x)))) END AS p FROM x)"""
+BH_SQL = P_SQL + """, r AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY round(p, 9), gene) AS k, count(*) OVER (PARTITION BY cluster) AS m FROM pv),
+adj AS (SELECT cluster, gene, z, p, least(1, min(round(p, 9) * m / k) OVER (PARTITION BY cluster ORDER BY k DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS p_adj FROM r)"""
 
 
-@query()
-def markers_table(spark, d):
-    """cluster, gene, score, logFC, p_adj of the best genes of each cluster."""
-    t = _tests(spark, d).withColumn("p", expression.two_sided_p(F.col("z")))
-    fold = expression.log_fold_change(expression.cluster_means(_values(spark, d), cell_clusters(spark, d)))
-    top = expression.top_markers(expression.adjust(t, "p")).join(fold, ["cluster", "gene"], "left")
-    return top.select("cluster", "gene", F.round("z", 6).alias("score"), F.round("logfc", 6).alias("logFC"), F.round("p_adj", 6).alias("p_adj"))
+@query(f"WITH {WILCOXON_SQL}{BH_SQL} SELECT cluster, gene, round(p, 6) AS p, round(p_adj, 5) AS p_adj FROM adj")
+def markers_bh(spark, d):
+    """p of the rank-sum test of every gene and cluster, and adjusted; p is rounded to 9 places before it is ranked."""
+    t = _tests(spark, d).withColumn("p", F.round(expression.two_sided_p(F.col("z")), 9))
+    return rounded(rounded(expression.adjust(t, "p"), "p_adj", places=5), "p", places=6).select("cluster", "gene", "p", "p_adj")
 
 
 OWN_SQL = """,
@@ -300,6 +299,16 @@ MEANS_SQL = NORM_SQL + CLUSTERS_SQL + OWN_SQL
 FOLD_SQL = "log2((round(raw / size, 9) + 1e-9) / (round(greatest(0, coalesce((raw_all - raw) / nullif(cells - size, 0), 0)), 9) + 1e-9))"
 
 
+@query(f"""WITH {WILCOXON_SQL}{BH_SQL}{OWN_SQL}, top AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY round(z, 6) DESC, gene) AS place FROM adj)
+SELECT top.cluster, top.gene, round(z, 6) AS score, round({FOLD_SQL}, 5) AS "logFC", round(p_adj, 5) AS p_adj FROM top JOIN mean ON mean.cluster = top.cluster AND mean.gene = top.gene WHERE place <= 100""")
+def markers_table(spark, d):
+    """cluster, gene, score, logFC, p_adj of the best genes of each cluster."""
+    t = _tests(spark, d).withColumn("p", F.round(expression.two_sided_p(F.col("z")), 9))
+    fold = expression.log_fold_change(expression.cluster_means(_values(spark, d), cell_clusters(spark, d)))
+    top = expression.top_markers(rounded(expression.adjust(t, "p"), "z")).join(fold, ["cluster", "gene"], "left")
+    return top.select("cluster", "gene", F.col("z").alias("score"), F.round("logfc", 5).alias("logFC"), F.round("p_adj", 5).alias("p_adj"))
+
+
 @query(f"WITH {MEANS_SQL} SELECT cluster, gene, round({FOLD_SQL}, 3) AS logfc FROM mean")
 def marker_logfc(spark, d):
     return rounded(expression.log_fold_change(expression.cluster_means(_values(spark, d), cell_clusters(spark, d))), "logfc", places=3)
@@ -434,12 +443,13 @@ def adaptive_tiles(spark, d):
     return tiler.adaptive_tiles(boxes, tiler.prefix_sums(mask), 128, 2048, 2048, 1024, 256, overlap=8)
 
 
-@query("""SELECT d.d AS dataset, printf('sdP%.2f_sdN%.2f_vpx%d_cl%s', p.p, n.n, r.r, c.c) AS run_tag FROM (VALUES ('left'), ('right')) d(d), (VALUES (0.3::DOUBLE), (0.35)) p(p), (VALUES (0.5::DOUBLE), (0.6)) n(n),
+@query("""SELECT n_name AS dataset, printf('sdP%.2f_sdN%.2f_vpx%d_cl%s', p.p, n.n, r.r, c.c) AS run_tag FROM nation, (VALUES (0.3::DOUBLE), (0.35)) p(p), (VALUES (0.5::DOUBLE), (0.6)) n(n),
  (VALUES (1), (3), (5)) r(r), (VALUES ('fine'), ('coarse')) c(c)""")
 def sweep_grid(spark, d):
-    from .plans.sweep import grid
+    from .plans.sweep import grid_over
 
-    return grid(spark, dataset=["left", "right"], prob=[0.3, 0.35], nms=[0.5, 0.6], growth=[1, 3, 5], config=["fine", "coarse"]).select("dataset", "run_tag")
+    datasets = table(spark, d, "nation").select("n_name")
+    return grid_over(datasets, "n_name", prob=[0.3, 0.35], nms=[0.5, 0.6], growth=[1, 3, 5], config=["fine", "coarse"]).select("dataset", "run_tag")
 
 
 @query("SELECT s_suppkey AS cell_id, 1::BIGINT AS rings, 9::BIGINT AS points, 's' || s_suppkey AS name FROM supplier")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import functions as fn
-from .catalogue import CELLS_SQL, MAD_SQL, MATRIX_SQL, QC_SQL, _metrics, _stats, _values, cell_matrix, cells, counts, genes, query, rounded, spots, table
+from .catalogue import CELLS_SQL, MAD_SQL, MATRIX_SQL, QC_SQL, STATS_SQL, _metrics, _stats, _values, cell_matrix, cells, counts, genes, query, rounded, spots, table
 from .operators import assign, expression, geometry, matrix, raster, segment, tiles
 
 GRAY_SQL = """gray AS (SELECT CAST(user_id // 5 AS INTEGER) AS y, CAST(floor(value / 8) AS INTEGER) AS x,
@@ -332,9 +332,12 @@ def hvg_stabilised(spark, d):
     return expression.stabilised_genes(_values(spark, d), n, 100)
 
 
-@query(f"""WITH {MATRIX_SQL}, g AS (SELECT p_partkey AS gene FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 50) SELECT cell, gene, n FROM m SEMI JOIN g USING (gene)""")
+@query(f"""WITH {STATS_SQL}, b AS (SELECT *, coalesce(var / nullif(mean, 0), 0) AS disp, ntile(20) OVER (ORDER BY mean, gene) AS bin FROM st),
+d AS (SELECT gene, disp - avg(disp) OVER (PARTITION BY bin) AS off, stddev_samp(disp) OVER (PARTITION BY bin) AS sd FROM b),
+g AS (SELECT gene FROM d ORDER BY round(off / CASE WHEN sd > 0 THEN sd ELSE 1 END, 6) DESC, gene LIMIT 50) SELECT cell, gene, n FROM m SEMI JOIN g USING (gene)""")
 def hvg_subset(spark, d):
-    g = table(spark, d, "part").orderBy(F.desc("p_retailprice"), "p_partkey").limit(50).select(F.col("p_partkey").alias("gene"))
+    """Counts of the 50 most variable genes."""
+    g = expression.variable_genes(_stats(spark, d), 50)
     return expression.gene_subset(cell_matrix(spark, d), g)
 
 

@@ -21,6 +21,12 @@ def grid(spark: SparkSession, dataset: list[str], prob: list[float], nms: list[f
     return df.withColumn("run_tag", run_tag(F.col("prob"), F.col("nms"), F.col("growth"), F.col("config")))
 
 
+def grid_over(datasets: DataFrame, column: str, prob: list[float], nms: list[float], growth: list[int], config: list[str]) -> DataFrame:
+    """The runs of every dataset named in a table; the settings, as many as their lists make, go to every task."""
+    settings = grid(datasets.sparkSession, [""], prob, nms, growth, config).drop("dataset")
+    return datasets.select(F.col(column).alias("dataset")).crossJoin(F.broadcast(settings)).select("dataset", *settings.columns)
+
+
 def sweep(runs: DataFrame, run: Callable[[dict], None], log_path: str | None = None) -> DataFrame:
     """Calls ``run`` for every row of the grid; a run that fails is logged and the next one starts. The log is appended after each run."""
     spark, done = runs.sparkSession, []
