@@ -57,7 +57,17 @@ def _grouped(rows: DataFrame) -> DataFrame:
     return rows.select("g", "a", "fresh", "most", "v").repartition("g").sortWithinPartitions("g", "a").mapInArrow(_compared, FOUND)
 
 
-def descend(vectors: DataFrame, k: int = 20, metric: str = "euclidean", key: str = "id", vector: str = "v", rounds: int = 8, width: int = 15, settle: float = 0.002, seed: int = 0) -> DataFrame:
+def descend(
+    vectors: DataFrame,
+    k: int = 20,
+    metric: str = "euclidean",
+    key: str = "id",
+    vector: str = "v",
+    rounds: int = 8,
+    width: int = 15,
+    settle: float = 0.002,
+    seed: int = 0,
+) -> DataFrame:
     """a, b, rank, distance: about the k nearest others of each vector (ids unique), ties by b. metric: euclidean or cosine.
 
     ``width``: how many neighbours, and how many of which a point is a neighbour, take part in a
@@ -83,11 +93,14 @@ def descend(vectors: DataFrame, k: int = 20, metric: str = "euclidean", key: str
 
     # two throws, so that hardly any point starts without k others
     thrown = F.pmod(F.xxhash64("a", "t", F.lit(seed)), F.lit(max(1, n // (k + k // 2 + 2))))
-    start = rows.withColumn("t", F.explode(F.array(F.lit(0), F.lit(1)))).select(F.concat_ws(":", "t", thrown).alias("g"), "a", F.lit(True).alias("fresh"), F.lit(float("inf")).alias("most"), "v")
+    start = rows.withColumn("t", F.explode(F.array(F.lit(0), F.lit(1))))
+    start = start.select(F.concat_ws(":", "t", thrown).alias("g"), "a", F.lit(True).alias("fresh"), F.lit(float("inf")).alias("most"), "v")
     lists = kept.put(best(_grouped(start).distinct()).withColumn("fresh", F.lit(True)))
     for r in range(rounds):
-        kth = lists.groupBy("a").agg(F.max("distance").alias("far"), F.count(F.lit(1)).alias("m")).select("a", F.when(F.col("m") < k, F.lit(float("inf"))).otherwise(F.col("far")).alias("most"))
-        both = lists.select(F.col("a").alias("g"), F.col("b").alias("a"), "fresh", F.lit(0).alias("way")).unionByName(lists.select(F.col("b").alias("g"), "a", "fresh", F.lit(1).alias("way")))
+        kth = lists.groupBy("a").agg(F.max("distance").alias("far"), F.count(F.lit(1)).alias("m"))
+        kth = kth.select("a", F.when(F.col("m") < k, F.lit(float("inf"))).otherwise(F.col("far")).alias("most"))
+        there = lists.select(F.col("a").alias("g"), F.col("b").alias("a"), "fresh", F.lit(0).alias("way"))
+        both = there.unionByName(lists.select(F.col("b").alias("g"), "a", "fresh", F.lit(1).alias("way")))
         # new ones first, then by hash; a hub's many are cut to the width before they are shuffled
         order = Window.partitionBy("g", "way").orderBy(F.desc("fresh"), F.xxhash64("g", "a", F.lit(seed + r)))
         taken = both.withColumn("p", F.row_number().over(order)).filter(F.col("p") <= width).groupBy("g", "a").agg(F.max("fresh").alias("fresh"))

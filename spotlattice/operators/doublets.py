@@ -51,7 +51,18 @@ def valley(counts: np.ndarray, most: int = 10_000) -> int | None:
     return None
 
 
-def doublet_calls(matrix: DataFrame, rate: float = 0.06, ratio: int = 2, k: int | None = None, n_pcs: int = 30, n_genes: int = 2000, seed: int = 0, cell: str = "cell", gene: str = "gene", n: str = "n") -> tuple[DataFrame, float | None]:
+def doublet_calls(
+    matrix: DataFrame,
+    rate: float = 0.06,
+    ratio: int = 2,
+    k: int | None = None,
+    n_pcs: int = 30,
+    n_genes: int = 2000,
+    seed: int = 0,
+    cell: str = "cell",
+    gene: str = "gene",
+    n: str = "n",
+) -> tuple[DataFrame, float | None]:
     """(cell, doublet_score, doublet_call) of every cell (whole number, not below 0) with a count, and the threshold.
 
     ``k``: neighbours among real cells, by default half the root of their number. The threshold is

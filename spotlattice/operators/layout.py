@@ -101,7 +101,17 @@ def _moves(a: float, b: float, steps: int, rate: float, negatives: int, seed: in
     return run
 
 
-def layout(edges: DataFrame, min_dist: float = 0.5, spread: float = 1.0, rounds: int = 16, steps: int = 6, negatives: int = 5, block: int = 2000, seed: int = 0, start: DataFrame | None = None) -> DataFrame:
+def layout(
+    edges: DataFrame,
+    min_dist: float = 0.5,
+    spread: float = 1.0,
+    rounds: int = 16,
+    steps: int = 6,
+    negatives: int = 5,
+    block: int = 2000,
+    seed: int = 0,
+    start: DataFrame | None = None,
+) -> DataFrame:
     """a, x, y: a place for every node of a symmetric graph (a, b, weight up to 1; loops are left out).
 
     ``start``: a, x, y to begin with, in place of the spectral start. In a round an edge draws with the
@@ -123,7 +133,8 @@ def layout(edges: DataFrame, min_dist: float = 0.5, spread: float = 1.0, rounds:
     schema = f"a {edges.schema['a'].dataType.simpleString()}, x double, y double"
     for r in range(rounds):
         uniform = F.pmod(F.xxhash64("a", "b", F.lit(seed + r)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        drawn = ranked.filter(uniform < F.col("chance")).select("a", "b").join(places.withColumnRenamed("a", "b"), "b").select(slot.alias("i"), F.lit(1).alias("kind"), "a", "x", "y")
+        drawn = ranked.filter(uniform < F.col("chance")).select("a", "b").join(places.withColumnRenamed("a", "b"), "b")
+        drawn = drawn.select(slot.alias("i"), F.lit(1).alias("kind"), "a", "x", "y")
         own = places.select(slot.alias("i"), F.lit(0).alias("kind"), "a", "x", "y")
         far = places.select(F.pmod(slot + F.lit(1 + r), F.lit(blocks)).cast("int").alias("i"), F.lit(2).alias("kind"), "a", "x", "y")
         moves = _moves(a, b, steps, RATE * (1 - r / rounds), negatives, seed + r)

@@ -31,7 +31,16 @@ class Clustered:
         self.edges.write.mode("overwrite").parquet(f"{folder}/edges")
 
 
-def clustered(matrix: DataFrame, settings: ClusterSettings = ClusterSettings(), cell: str = "cell", gene: str = "gene", n: str = "n", iterations: int = 2, place: bool = True, search: Callable = neighbours.nearest) -> Clustered:
+def clustered(
+    matrix: DataFrame,
+    settings: ClusterSettings = ClusterSettings(),
+    cell: str = "cell",
+    gene: str = "gene",
+    n: str = "n",
+    iterations: int = 2,
+    place: bool = True,
+    search: Callable = neighbours.nearest,
+) -> Clustered:
     """``matrix``: cell (long), gene, n, one row a pair. Cells below ``min_counts`` go; values are normalised to 10,000
     and logged; the genes with the largest stabilised variance are scaled (at most 10) and give the
     components, whose neighbours (the cell itself counts as one) give the graph, its Leiden clusters and, with ``place``, its layout. ``search`` finds the neighbours: exactly, or

@@ -263,7 +263,8 @@ def read_h5_matrix(spark: SparkSession, path: str, group: str = "matrix") -> tup
     if wrong:
         raise ValueError("; ".join(f"{r['name'] or path}: {r['error']}" for r in wrong))
     part = {k.rsplit("/", 1)[-1]: every.filter(F.col("name") == k).select("pos", "value", "said") for k in names}
-    genes = part["id"].select(F.col("pos").alias("gene_ix"), F.trim("said").alias("gene_id")).join(part["name"].select(F.col("pos").alias("gene_ix"), F.trim("said").alias("gene_name")), "gene_ix")
+    ids, called = (part[k].select(F.col("pos").alias("gene_ix"), F.trim("said").alias(c)) for k, c in (("id", "gene_id"), ("name", "gene_name")))
+    genes = ids.join(called, "gene_ix")
     barcodes = part["barcodes"].select(F.col("pos").alias("bc_ix"), F.trim("said").alias("barcode"))
     # where a column begins, and where the next one does
     begin = part["indptr"].select(F.col("pos").alias("bc_ix"), F.col("value").cast("long").alias("a"))

@@ -250,5 +250,7 @@ def read_label_tiles(spark: SparkSession, folder: str, manifest: DataFrame) -> D
     named = blocks.select("file", "dy", "dx", "cols", "values").join(manifest.select("file", "y0", "x0"), "file")
     each = named.select("dy", "dx", "y0", "x0", "cols", F.posexplode("values").alias("p", "v")).filter("v > 0")
     return each.select(
-        (F.col("y0") + F.col("dy") + F.floor(F.col("p") / F.col("cols"))).alias("y"), (F.col("x0") + F.col("dx") + F.col("p") % F.col("cols")).alias("x"), F.col("v").cast("long").alias("label")
+        (F.col("y0") + F.col("dy") + F.floor(F.col("p") / F.col("cols"))).alias("y"),
+        (F.col("x0") + F.col("dx") + F.col("p") % F.col("cols")).alias("x"),
+        F.col("v").cast("long").alias("label"),
     )
