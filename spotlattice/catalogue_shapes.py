@@ -10,10 +10,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from .catalogue import STATS_SQL, _metrics, _stats, _values, _vectors, cell_matrix, cells, query, rounded, table
+from .catalogue import CELLS_SQL, STATS_SQL, _metrics, _stats, _values, _vectors, cell_matrix, cells, counts, genes, query, rounded, spots, table
 from .catalogue_pixels import BEFORE_SQL, _drawn
 from .operators import descent, doublets, expression, geometry, leiden, matrix, neighbours, outline, sparse_pca, voronoi
-from .plans import clustering
+from .plans import assignment, clustering
 from .plans.stages import ClusterSettings
 from .session import cut, shared_dir
 from .sources import images
@@ -159,3 +159,19 @@ def label_files(spark, d):
     drawn = _drawn(spark, d).select("y", "x", (F.col("cell_id") + 1).alias("label"))
     folder = f"{shared_dir(spark)}/labels-{uuid.uuid4().hex}"
     return images.read_label_tiles(spark, folder, images.write_label_tiles(drawn, folder, 120, 120, side=64))
+
+
+@query(f"""WITH {CELLS_SQL}, a AS (SELECT spot, min(cell_id) AS cell_id FROM hit WHERE odd OR edge GROUP BY spot),
+k AS (SELECT l_orderkey AS spot, CAST(sum(round(l_quantity)) AS BIGINT) AS n FROM lineitem GROUP BY 1),
+s AS (SELECT a.cell_id, coalesce(n, 0) AS n FROM events LEFT JOIN a ON a.spot = event_id LEFT JOIN k ON k.spot = event_id)
+SELECT count(*) AS n_spots_total, count(cell_id) AS n_spots_assigned, CAST(sum(n) AS BIGINT) AS counts_total,
+       CAST(coalesce(sum(n) FILTER (cell_id IS NOT NULL), 0) AS BIGINT) AS counts_assigned,
+       (SELECT count(*) FROM supplier) AS cells, (SELECT count(*) FROM part) AS genes FROM s""")
+def assignment_set(spark, d):
+    """The stage from spots to cells, all of its tables written; figures read back from them."""
+    got = assignment.assigned(spots(spark, d), cells(spark, d), counts(spark, d), genes(spark, d).drop("brand"))
+    folder = f"{shared_dir(spark)}/assigned-{uuid.uuid4().hex}"
+    got.write(folder)
+    told = spark.read.json(f"{folder}/assignment_yield")
+    sizes = [spark.read.option("header", True).csv(f"{folder}/{f}").agg(F.count(F.lit(1)).alias(c)) for f, c in (("cells_meta", "cells"), ("gene_assigned_fractions", "genes"))]
+    return told.select("n_spots_total", "n_spots_assigned", "counts_total", "counts_assigned").crossJoin(F.broadcast(sizes[0])).crossJoin(F.broadcast(sizes[1]))
