@@ -59,6 +59,7 @@ def doublet_calls(
     n_pcs: int = 30,
     n_genes: int = 2000,
     seed: int = 0,
+    least: int = 30,
     cell: str = "cell",
     gene: str = "gene",
     n: str = "n",
@@ -67,12 +68,13 @@ def doublet_calls(
 
     ``k``: neighbours among real cells, by default half the root of their number. The threshold is
     the valley of the simulated scores' histogram (256 bins, which is what comes to the driver); where
-    it has no two heights the threshold is None and nothing is called. Fewer than three cells are not scored: null, not called.
+    it has no two heights the threshold is None and nothing is called. Fewer than ``least`` cells say
+    nothing about a valley and are not scored: null, not called.
     """
     matrix = matrix.filter(F.col(n) > 0)
     cells = cut(matrix.select(cell).distinct())
     count = cells.count()
-    if count < 3:
+    if count < max(3, least):
         return cells.select(cell, F.lit(None).cast("double").alias("doublet_score"), F.lit(False).alias("doublet_call")), None
     pairs = cut(cell_pairs(cells, count, ratio, seed, cell))
     m = pairs.count()
