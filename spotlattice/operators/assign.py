@@ -54,7 +54,8 @@ def assign_dilated(spots: DataFrame, regions: DataFrame, radius: float, spot: st
     """Spots in regions grown by ``radius`` but capped by the territory of the nearest centroid.
 
     A spot is in a grown region if it lies within ``radius`` of it and no other centroid is nearer
-    than its own (the smaller id of equals). Candidates for the nearest centroid are sought in the
+    than its own (the smaller id of equals, distances taken to 9 decimals: those of regions about one
+    point differ by rounding). Candidates for the nearest centroid are sought in the
     reach of any region that could claim the spot.
     """
     r = min(radius, pad_cap)
@@ -68,12 +69,12 @@ def assign_dilated(spots: DataFrame, regions: DataFrame, radius: float, spot: st
     reach = centred.select(F.col(cell).alias("_other"), "_cx", "_cy", F.lit(1).alias("_one"))
     mine = F.collect_list(F.struct(F.col(cell), F.round("_gap", 6).alias("distance")))  # regions that overlap at one spot
     far = claims.groupBy(spot).agg(F.min("x").alias("x"), F.min("y").alias("y"), F.min(F.struct("_away", cell)).alias("_best"), mine.alias("_claims"))
-    box = F.col("_best._away")
+    box = F.col("_best._away") + 1e-6
     cells = [F.explode(F.sequence(_cell(F.col(a) - box, size), _cell(F.col(a) + box, size))) for a in "xy"]
     sought = far.withColumn("_gx", cells[0]).withColumn("_gy", cells[1])
     placed = reach.withColumn("_gx", _cell(F.col("_cx"), size)).withColumn("_gy", _cell(F.col("_cy"), size))
     d = F.sqrt((x - F.col("_cx")) ** 2 + (y - F.col("_cy")) ** 2)
-    nearest = sought.join(placed, ["_gx", "_gy"]).groupBy(spot).agg(F.min(F.struct(d.alias("_away"), F.col("_other").alias(cell))).alias("_near"), F.any_value("_claims").alias("_claims"))
+    nearest = sought.join(placed, ["_gx", "_gy"]).groupBy(spot).agg(F.min(F.struct(F.round(d, 9).alias("_away"), F.col("_other").alias(cell))).alias("_near"), F.any_value("_claims").alias("_claims"))
     own = F.filter("_claims", lambda c: c[cell] == F.col(f"_near.{cell}"))
     return nearest.select(spot, F.inline(own))
 

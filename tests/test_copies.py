@@ -17,3 +17,11 @@ def test_crop_keeps_points_beyond_the_picture(spark):
     p = spark.createDataFrame([(1, "a", 10.0, 10.0), (2, "a", 30.0, 190.0)], "spot long, cluster string, x double, y double")
     got = raster.crop_points(p, raster.fixed_bounds(p, 5, 100, 100, "cluster"), "cluster", 300.0)
     assert {r.spot: (r.x, r.y, r.scale) for r in got.collect()} == {1: (5.0, 5.0, 1.0), 2: (25.0, 185.0, 1.0)}
+
+
+def test_cells_about_one_point_tie_by_id(spark):
+    at = spark.range(2000).select(F.col("id").alias("spot"), (F.col("id") * 7 % 1000 / 10).alias("x"), (F.col("id") * 13 % 1000 / 10).alias("y"))
+    got = {r.spot: r.cell_id for r in assign.assign_dilated(at, octagons(spark, 300), 2.0).collect()}
+    one = {r.spot: r.cell_id for r in assign.assign_dilated(at, octagons(spark, 100), 2.0).collect()}
+    # the first of a place speaks for it, and no other takes what is its
+    assert set(one) <= set(got) and all(got[s] == c for s, c in one.items()) and max(got.values()) < 100
