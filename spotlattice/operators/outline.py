@@ -24,11 +24,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut, ship
+from ..session import cut, ship, spread
 from . import geometry as g
 from .graph import components
 from .voronoi import envelope, voronoi_cells
 
+#: Comparisons that numpy makes at a time.
+AT_ONCE = 4_000_000
 #: Segments of a quarter of a circle, as in common geometry libraries.
 QUARTER = 16
 RINGS = "part int, ring int, xs array<double>, ys array<double>, area double"
@@ -46,7 +48,11 @@ def split(e: np.ndarray, grid: float) -> np.ndarray:
     """Pieces of edges (x1, y1, x2, y2) between all points where they meet, on a grid of coordinates."""
     p, r = e[:, :2], e[:, 2:] - e[:, :2]
     lo, hi = np.minimum(e[:, :2], e[:, 2:]) - grid, np.maximum(e[:, :2], e[:, 2:]) + grid
-    i, j = np.nonzero(np.triu((lo[:, None] <= hi[None]).all(2) & (lo[None] <= hi[:, None]).all(2), 1))
+    met, rows = [], max(1, AT_ONCE // len(e))
+    for a in range(0, len(e), rows):
+        x, y = np.nonzero((lo[a : a + rows, None] <= hi[None, a:]).all(2) & (lo[None, a:] <= hi[a : a + rows, None]).all(2))
+        met.append(np.stack([x, y])[:, x < y] + a)
+    i, j = np.concatenate(met, axis=1)
     den = r[i, 0] * r[j, 1] - r[i, 1] * r[j, 0]
     q = p[j] - p[i]
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -101,7 +107,8 @@ def outline(e: np.ndarray, inside: Callable[[np.ndarray], np.ndarray]) -> list[n
     size = np.sqrt((d * d).sum(1))
     mid = (u[:, :2] + u[:, 2:]) / 2
     step = np.minimum(size * 1e-3, grid * 64)[:, None] * np.stack([d[:, 1], -d[:, 0]], 1) / size[:, None]
-    right = np.concatenate([winding(*(mid + step)[a : a + 2000].T, s) for a in range(0, len(u), 2000)])
+    rows = max(1, AT_ONCE // len(s))
+    right = np.concatenate([winding(*(mid + step)[a : a + rows].T, s) for a in range(0, len(u), rows)])
     in_left, in_right = inside(right + net), inside(right)
     kept = np.concatenate([u[in_left & ~in_right], u[in_right & ~in_left][:, [2, 3, 0, 1]]])
     return [r + base[:2] for r in _rings(kept)]
@@ -193,25 +200,30 @@ def flat_edges(edges: Column) -> Column:
 
 
 def _mapped(df: DataFrame, keys: list[str], columns: list[str], schema: str, f: Callable[..., list[tuple]]) -> DataFrame:
-    """Rows f(*numpy of the columns) of each row, behind its keys. Columns are flat arrays of numbers; null is an empty one."""
+    """Rows f(*numpy of the columns) of each row, behind its keys. Columns are flat arrays of numbers; null is an empty one.
+
+    Rows with equal columns are worked out once, over all cores, and their result goes to each of their keys.
+    """
     ship(df.sparkSession)
-    own = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    own = ", ".join(f"`{c}` array<double>" for c in columns)
     names = [c.strip().split(" ")[0] for c in schema.split(", ")]
 
     def run(batches):
         for b in batches:
             rows, at = [], []
-            cols = [b.column(len(keys) + i) for i in range(len(columns))]
             for r in range(b.num_rows):
-                found = f(*[np.array(c[r].as_py() or [], dtype=np.float64) for c in cols])
+                found = f(*[np.array(c[r].as_py(), dtype=np.float64) for c in b.columns])
                 rows += found
                 at += [r] * len(found)
-            given = [b.column(i).take(pa.array(at, pa.int64())) for i in range(len(keys))]
+            given = [c.take(pa.array(at, pa.int64())) for c in b.columns]
             types = {"int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "array<double>": pa.list_(pa.float64())}
             made = [pa.array([x[i] for x in rows], types[c.strip().split(" ")[1]]) for i, c in enumerate(schema.split(", "))]
-            yield pa.RecordBatch.from_arrays([*given, *made], names=[*keys, *names])
+            yield pa.RecordBatch.from_arrays([*given, *made], names=[*columns, *names])
 
-    return df.select(*keys, *columns).mapInArrow(run, f"{own}, {schema}")
+    none = F.array().cast("array<double>")
+    given = df.select(*keys, *[F.coalesce(c, none).alias(c) for c in columns])
+    once = spread(given.select(*columns).distinct(), *columns).mapInArrow(run, f"{own}, {schema}")
+    return given.join(once, columns).select(*keys, *names)
 
 
 def repaired_parts(regions: DataFrame, key: str = "cell_id") -> DataFrame:
@@ -226,9 +238,12 @@ def repaired_parts(regions: DataFrame, key: str = "cell_id") -> DataFrame:
 def dissolved(regions: DataFrame, key: str = "cell_id", size: float = 16.0) -> DataFrame:
     """The union of overlapping regions: group (smallest key of regions that hang together by overlapping boxes), part, ring, xs, ys, area.
 
-    Boxes meet on a grid of ``size``, so no pair of far regions is looked at; a group's edges have to
-    fit a task. Regions whose boxes meet without overlapping are parts of one group.
+    Boxes meet on a grid of ``size``, so no pair of far regions is looked at. Regions with equal edges
+    count once. The different edges of a group have to fit a task, which compares AT_ONCE pairs of
+    them at a time. Regions whose boxes meet without overlapping are parts of one group.
     """
+    regions = regions.filter(F.size("edges") > 0).groupBy("edges").agg(F.min(key).alias(key))
+    regions = cut(regions.select(key, "edges"))
     boxed = regions.select(F.col(key).alias("k"), *g.bounds(F.col("edges"))).filter("x_lo is not null")
     slots = [F.explode(F.sequence(*[F.floor(F.col(f"{a}_{s}") / size).cast("long") for s in ("lo", "hi")])) for a in "xy"]
     dealt = cut(boxed.withColumn("gx", slots[0]).withColumn("gy", slots[1]))
@@ -255,13 +270,13 @@ def dilate_capped(regions: DataFrame, radius: float, key: str = "cell_id", pad:
     """Grown outlines, cut at the Voronoi cell of the region's centroid: key, part, ring, xs, ys, area and the region's
     region_area, grown_area, out_area, gain and clipped.
 
-    The cells lie in the regions' box, wider by ``pad``. Where nothing of a grown region is in its
+    The cells lie in the regions' box, wider by ``pad``; regions with one centroid share its cell. Where nothing of a grown region is in its
     cell the region stays as it is. Regions without an area have no row.
     """
     box = envelope(regions, pad)
     cx, cy = g.centroid(F.col("edges"))
     held = cut(regions.select(key, flat_edges(F.col("edges")).alias("_e"), cx.alias("x"), cy.alias("y")).filter("x is not null"))
-    cells = voronoi_cells(held, box, size, key)
+    cells = voronoi_cells(held, box, size, key, shared=True)
     ring = F.flatten(F.transform("ring", lambda p: F.array(p["x"], p["y"])))
     both = held.join(cells.select(key, ring.alias("_v")), key)
 

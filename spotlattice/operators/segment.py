@@ -7,7 +7,7 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
@@ -16,6 +16,21 @@ from . import raster
 Predict = Callable[[np.ndarray], list[tuple[list[float], list[float]]]]
 
 
+def dense(places: Column, values: Column, size: int) -> Column:
+    """Array of ``size`` numbers: each value at its place, 0 elsewhere, in one pass over the values."""
+
+    def fill(at: pd.Series, v: pd.Series) -> pd.Series:
+        rows = []
+        for p, x in zip(at, v, strict=True):
+            row = np.zeros(size)
+            row[np.asarray(p, dtype=np.int64)] = np.asarray(x, dtype=np.float64)
+            rows.append(row)
+        return pd.Series(rows, index=at.index, dtype=object)
+
+    ship(SparkSession.getActiveSession())
+    return F.pandas_udf(fill, "array<double>")(places, values)
+
+
 def predict_tiles(tiles: DataFrame, predict: Predict, scale: float = 1.0) -> DataFrame:
     """slide, y0, x0, number, xs, ys: outlines on the slide of what ``predict`` finds in each tile.
 

@@ -44,6 +44,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by keys over all cores, four tasks a core: a small file is one partition, however long its rows take, and small shuffles are merged."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 class Scratch:
     """Tables of an iteration, as Parquet in the shared folder: unlike checkpoints they carry no facts about
     their columns from round to round (plans of many rounds grow by them), and they can be deleted."""
