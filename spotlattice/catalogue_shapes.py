@@ -41,7 +41,7 @@ def voronoi_cells(spark, d):
     """Areas of the territories of cells, in the cells' box with a border."""
     own = cells(spark, d)
     cx, cy = geometry.centroid(F.col("edges"))
-    found = voronoi.voronoi_cells(own.select("cell_id", cx.alias("x"), cy.alias("y")), outline.envelope(own), 16.0)
+    found = voronoi.voronoi_cells(own.select("cell_id", cx.alias("x"), cy.alias("y")), outline.envelope(own), 16.0, shared=True)
     return rounded(found.select("cell_id", "area"), "area", places=3)
 
 
@@ -51,7 +51,7 @@ GROWN_AREA_SQL = "16 * sin(pi() / 8) * r * 2 + 4 * 8 * sin(pi() / 4) / 8 * r * r
 @query(f"""WITH {SITES_SQL} SELECT k AS cell_id, 0 AS part, 0 AS ring, round({GROWN_AREA_SQL}, 4) AS area FROM s""")
 def buffered_cells(spark, d):
     """Octagons grown by 2: their own area, a strip along each side, and a polygon of 64 sides in their corners."""
-    return rounded(outline.buffered(cells(spark, d), 2.0).select("cell_id", "part", "ring", "area"), "area")
+    return rounded(outline.buffered(cells(spark, d), 2.0).select("cell_id", "part", "ring", "area"), "area", places=4)
 
 
 @query(f"""WITH {SITES_SQL},
@@ -65,7 +65,7 @@ SELECT count(*) AS cells, count(*) FILTER (clipped) AS clipped, round(100 * avg(
        round(avg(gain), 4) AS mean_gain, round(median(gain), 4) AS median_gain FROM z""")
 def dilation_summary(spark, d):
     """Cells grown by 2 within their territories: how many are cut, and what they gain."""
-    return rounded(outline.dilation_figures(outline.dilate_capped(cells(spark, d), 2.0)), "mean_gain", "median_gain")
+    return rounded(outline.dilation_figures(outline.dilate_capped(cells(spark, d), 2.0)), "mean_gain", "median_gain", places=4)
 
 
 @query("""SELECT s_suppkey AS cell_id, CAST(p AS INTEGER) AS part, 0 AS ring, round((4.0::DOUBLE + s_suppkey % 3) * (4 + s_suppkey % 3) / 4, 4) AS area
@@ -76,7 +76,7 @@ def repaired_outlines(spark, d):
     x, y, r = (k * 37) % 100 + 0.013, (k * 53) % 100 + 0.017, 4.0 + k % 3
     edges = geometry.ring_edges(F.array(x, x + r, x + r, x), F.array(y, y + r, y, y + r))
     bow = table(spark, d, "supplier").select(k.alias("cell_id"), edges.alias("edges"))
-    return rounded(outline.repaired_parts(bow).select("cell_id", "part", "ring", "area"), "area")
+    return rounded(outline.repaired_parts(bow).select("cell_id", "part", "ring", "area"), "area", places=4)
 
 
 @query(f"""WITH RECURSIVE {SITES_SQL}, b AS (SELECT k, x - r AS x0, x + r AS x1, y - r AS y0, y + r AS y1 FROM s),
