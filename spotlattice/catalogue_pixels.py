@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import functions as fn
 from .catalogue import CELLS_SQL, MAD_SQL, MATRIX_SQL, QC_SQL, STATS_SQL, _metrics, _stats, _values, cell_matrix, cells, counts, genes, query, rounded, spots, table
 from .operators import assign, expression, geometry, matrix, raster, segment, tiles
+from .session import spread
 
 GRAY_SQL = """gray AS (SELECT CAST(user_id // 5 AS INTEGER) AS y, CAST(floor(value / 8) AS INTEGER) AS x,
  round(avg((CASE WHEN ((user_id - 75) / 60.0::DOUBLE) * ((user_id - 75) / 60.0::DOUBLE) + ((value - 245) / 200) * ((value - 245) / 200) < 1 THEN 0.3::DOUBLE ELSE 0.9 END) + (event_id % 11) / 100.0::DOUBLE), 6) AS gray
@@ -195,8 +196,8 @@ rep AS (SELECT cell_id, ry, (min(c) + max(c)) / 2 AS rx FROM (SELECT cell_id, ry
 
 @query(f"WITH {CELLS_SQL}, {REP_SQL} SELECT cell_id, round(rx, 6) AS x, round(ry, 6) AS y FROM rep")
 def representative_points(spark, d):
-    x, y = geometry.representative_point(F.col("edges"))
-    return cells(spark, d).select("cell_id", F.round(x, 6).alias("x"), F.round(y, 6).alias("y"))
+    at = F.inline(F.array(geometry.representative(F.col("edges"))))
+    return rounded(spread(cells(spark, d), "cell_id").select("cell_id", at), "x", "y")
 
 
 @query(f"WITH {CELLS_SQL}, {REP_SQL} SELECT cell_id FROM rep WHERE rx > 20 AND rx < 60 AND ry > 10 AND ry < 90")
@@ -259,8 +260,8 @@ SELECT CAST(ty * 50 AS INTEGER) AS y0, CAST(tx * 100 AS INTEGER) AS x0, CAST(ty
 def predicted_outlines(spark, d):
     """The hook for a model: outlines that a stand-in finds in every tile, on the slide."""
     e = table(spark, d, "events").groupBy(F.floor(F.col("user_id") / 50).alias("ty"), F.floor(F.col("value") / 100).alias("tx"), (F.col("user_id") % 50).alias("y"), (F.floor("value") % 100).alias("x")).agg(F.max(F.col("event_id") % 97).alias("v"))
-    m = e.groupBy("ty", "tx").agg(F.map_from_entries(F.collect_list(F.struct((F.col("y") * 100 + F.col("x")).cast("int").alias("k"), F.col("v").cast("double")))).alias("m"))  # one tile of 50 x 100
-    px = F.transform(F.sequence(F.lit(0), F.lit(4999)), lambda i: F.coalesce(F.col("m")[i], F.lit(0.0)))
+    m = spread(e.groupBy("ty", "tx").agg(F.collect_list(F.struct((F.col("y") * 100 + F.col("x")).cast("int").alias("k"), F.col("v").cast("double").alias("v"))).alias("m")), "ty", "tx")  # one tile of 50 x 100
+    px = segment.dense(F.col("m.k"), F.col("m.v"), 5000)
     t = m.select(F.lit(1).alias("slide"), (F.col("ty") * 50).cast("int").alias("y0"), (F.col("tx") * 100).cast("int").alias("x0"), F.lit(50).alias("height"), F.lit(100).alias("width"), px.alias("pixels"))
     o = segment.predict_tiles(t, segment.bright_boxes(95.0), 2.0)
     return o.select("y0", "x0", F.array_min("ys").alias("top"), F.array_max("ys").alias("bottom"), F.array_min("xs").alias("left"), F.array_max("xs").alias("right"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from . import geometry as g
 
 
@@ -39,8 +40,8 @@ def assign_spots(spots: DataFrame, regions: DataFrame, spot: str = "spot", cell:
 
 def region_filter(regions: DataFrame, rois: DataFrame, cell: str = "cell_id", size: float = 64.0) -> DataFrame:
     """Regions of which a representative point lies strictly inside a region of interest."""
-    px, py = g.representative_point(F.col("edges"))
-    points = regions.select(cell, F.inline(F.array(F.struct(px.alias("x"), py.alias("y"))))).filter("x is not null")  # a generator, so that a point is worked out once
+    dealt = spread(regions.select(cell, "edges"), cell)
+    points = dealt.select(cell, F.inline(F.array(g.representative(F.col("edges"))))).filter("x is not null")  # a generator, so that a point is worked out once
     return regions.join(roi_filter(points, rois, cell, size).select(cell), cell, "left_semi")
 
 

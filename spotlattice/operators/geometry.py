@@ -123,13 +123,27 @@ def scan_spans(y: Column, edges: Column) -> Column:
     return F.transform(F.array(crossings), pairs)[0]  # bound by a lambda, so that it is sorted once
 
 
-def representative_point(edges: Column) -> tuple[Column, Column]:
-    """A point inside: the middle of the widest span of the line halfway between the vertices next to the middle of the box."""
+def representative(edges: Column) -> Column:
+    """Struct x, y of a point inside: the middle of the widest span of the line halfway between the vertices next to the middle of the box."""
+
+    def halfway(ys: Column) -> Column:
+        mid = (F.array_min(ys) + F.array_max(ys)) / 2
+        line = lambda m: (F.array_max(F.filter(ys, lambda v: v <= m)) + F.array_min(F.filter(ys, lambda v: v > m))) / 2
+        return F.transform(F.array(mid), line)[0]
+
+    def point(y: Column) -> Column:
+        widest = F.array_max(F.transform(scan_spans(y, edges), lambda p: F.struct((p["b"] - p["a"]).alias("w"), ((p["a"] + p["b"]) / 2).alias("x"))))
+        return F.struct(widest["x"].alias("x"), y.alias("y"))
+
+    # bound by lambdas, so that heights and line are worked out once and not once an edge
     ys = F.flatten(F.transform(edges, lambda e: F.array(e["y1"], e["y2"])))
-    mid = (F.array_min(ys) + F.array_max(ys)) / 2
-    y = (F.array_max(F.filter(ys, lambda v: v <= mid)) + F.array_min(F.filter(ys, lambda v: v > mid))) / 2
-    widest = F.array_max(F.transform(scan_spans(y, edges), lambda p: F.struct((p["b"] - p["a"]).alias("w"), ((p["a"] + p["b"]) / 2).alias("x"))))
-    return widest["x"], y
+    return F.transform(F.transform(F.array(ys), halfway), point)[0]
+
+
+def representative_point(edges: Column) -> tuple[Column, Column]:
+    """x, y of ``representative``."""
+    p = representative(edges)
+    return p["x"], p["y"]
 
 
 def repaired(edges: Column) -> Column:
