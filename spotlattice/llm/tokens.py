@@ -9,6 +9,7 @@ texts that may hold an added token of the vocabulary, go to the library whole.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import sys
@@ -132,3 +133,10 @@ class Encoder:
 def encoder(path: str, leading_blank: bool) -> Encoder:
     """One per worker process, so that tasks share its caches."""
     return Encoder(path, leading_blank)
+
+
+def forget() -> None:
+    """Lets go of the encoders that an earlier task of this worker process left: other operators need the memory, and Spark uses workers again."""
+    if encoder.cache_info().currsize:
+        encoder.cache_clear()
+        gc.collect()

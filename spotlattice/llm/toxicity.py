@@ -13,15 +13,19 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship
-from .bytewords import LETTERS, Words, runs_of, slices
+from .bytewords import LETTERS, Words, slices
+from .tokens import forget
 
 WIDTHS = (1, 2, 3)
 #: Thresholds tried for the decision.
 TRIED = np.linspace(0.2, 0.8, 61)
+#: Bytes of texts that are scored at a time; what they need besides is some thirty times as much.
+AT_ONCE = 400_000
 SALTS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -91,6 +95,12 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z.astype(np.float64), -30, 30)))
 
 
+def scores_of(model: Model, texts: pa.Array) -> np.ndarray:
+    """Scores of a column of binary; texts leave the column a run of bounded size at a time."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    return np.concatenate([model.scores(texts.slice(a, b - a).to_pylist()) for a, b in slices(sizes, AT_ONCE)] or [np.zeros(0)])
+
+
 def _start(got: np.ndarray, begin: np.ndarray, y: np.ndarray, buckets: int, dims: int, filters: int, seed: int) -> Model:
     """Small random weights; the first dimension starts as each bucket's shrunken log odds over the training rows."""
     rng = np.random.default_rng(seed)
@@ -252,9 +262,10 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", column: str = "
     given = docs.select(F.encode(F.col(text_col), "UTF-8").alias("_bytes"), *[f"`{c}`" for c in kept])
 
     def run(batches):
+        forget()
         m = shared.value
         for b in batches:
-            s = np.concatenate([m.scores(t) for _, t in runs_of(b.column(0))] or [np.zeros(0)])
+            s = scores_of(m, b.column(0))
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(s, pa.float64())], names=[*kept, column])
 
     schema = docs.select(*[f"`{c}`" for c in kept]).withColumn(column, F.lit(0.0)).schema
