@@ -9,11 +9,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import cut, ship
+from ..session import cut, dealt, ship
 
 
 def log_normalise(matrix: DataFrame, target: float = 1e4, cell: str = "cell", n: str = "n", out: str = "value") -> DataFrame:
     """ln(1 + n * target / total of the cell)."""
+    matrix = dealt(matrix, cell)
     totals = matrix.groupBy(cell).agg(F.sum(n).cast("double").alias("_t"))
     return matrix.join(totals, cell).withColumn(out, F.log1p(F.try_divide(F.col(n) * F.lit(float(target)), F.col("_t")))).drop("_t", n)
 
@@ -57,12 +58,13 @@ def wilcoxon(values: DataFrame, clusters: DataFrame, cell: str = "cell", gene: s
     sizes = clusters.groupBy(cluster).agg(F.count(F.lit(1)).cast("double").alias("size"))
     n = sizes.agg(F.sum("size").alias("cells"))
     v = values.filter(F.col(value) > 0).join(clusters.select(cell, cluster), cell)
-    tied = v.groupBy(gene, F.floor(F.col(value) / step).alias("_b"), value, cluster).agg(F.count(F.lit(1)).cast("double").alias("_k"))
+    v = dealt(v.select(gene, F.floor(F.col(value) / step).alias("_b"), value, cluster), gene, "_b")
+    tied = v.groupBy(gene, "_b", value, cluster).agg(F.count(F.lit(1)).cast("double").alias("_k"))
     by = Window.partitionBy(gene, "_b")
     upto = F.sum("_k").over(by.orderBy(value).rangeBetween(Window.unboundedPreceding, Window.currentRow))
     every_k = F.sum("_k").over(Window.partitionBy(gene, "_b", value))
     inside = tied.select(gene, "_b", cluster, "_k", (F.col("_k") * (upto - (every_k - 1) / 2)).alias("_r"))
-    ranges = inside.groupBy(gene, "_b", cluster).agg(F.sum("_r").alias("_r"), F.sum("_k").alias("_k"))
+    ranges = dealt(inside.groupBy(gene, "_b", cluster).agg(F.sum("_r").alias("_r"), F.sum("_k").alias("_k")), gene)
     own = Window.partitionBy(gene)
     below = F.coalesce(F.sum("_k").over(own.orderBy("_b").rangeBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     moved = ranges.select(gene, cluster, "_k", (F.col("_r") + below * F.col("_k")).alias("_r"), F.sum("_k").over(own).alias("stored"))
@@ -85,12 +87,27 @@ def top_markers(tests: DataFrame, n: int = 100, cluster: str = "cluster", gene:
 
 
 def adjust(tests: DataFrame, p: str, cluster: str = "cluster", gene: str = "gene", out: str = "p_adj") -> DataFrame:
-    """Benjamini-Hochberg within each cluster: from the largest p down, the least of p * m / rank."""
-    all_ = Window.partitionBy(cluster)
-    rank = F.row_number().over(all_.orderBy(p, gene))
-    m = F.count(p).over(all_)
-    down = all_.orderBy(F.desc("_rank")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return tests.withColumn("_rank", rank).withColumn("_q", F.col(p) * m / F.col("_rank")).withColumn(out, F.least(F.lit(1.0), F.min("_q").over(down))).drop("_rank", "_q")
+    """Benjamini-Hochberg within each cluster: from the largest p down, the least of p * m / rank.
+
+    Equal p have the result of the last of them, so only different p are ranked, in 1,024 ranges of p
+    that counts and least values of the others are handed to; no task holds a cluster.
+    """
+    tests = cut(tests)  # read twice
+    each = tests.groupBy(cluster, p).agg(F.count(F.lit(1)).alias("_n")).withColumn("_b", F.coalesce(F.floor(F.col(p) * 1024), F.lit(-1)))
+    own, range_ = Window.partitionBy(cluster), Window.partitionBy(cluster, "_b")
+    before = own.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = each.groupBy(cluster, "_b").agg(F.sum("_n").alias("_all"), F.sum(F.when(F.col(p).isNotNull(), F.col("_n"))).alias("_m"))
+    sizes = sizes.select(F.col(cluster).alias("_c"), F.col("_b").alias("_at"), F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_below"), F.coalesce(F.sum("_m").over(own), F.lit(0)).alias("_m"))
+    ranked = each.join(sizes, F.col(cluster).eqNullSafe(F.col("_c")) & (F.col("_b") == F.col("_at"))).drop("_c", "_at")
+    rank = F.col("_below") + F.sum("_n").over(range_.orderBy(p).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    q = ranked.withColumn("_q", F.col(p) * F.col("_m") / rank)
+    q = q.withColumn("_q", F.min("_q").over(range_.orderBy(F.desc(p)).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    least = q.groupBy(cluster, "_b").agg(F.min("_q").alias("_least"))
+    after = F.min("_least").over(own.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1))
+    least = least.select(F.col(cluster).alias("_c"), F.col("_b").alias("_at"), after.alias("_after"))
+    done = q.join(least, F.col(cluster).eqNullSafe(F.col("_c")) & (F.col("_b") == F.col("_at")))
+    done = done.select(F.col(cluster).alias("_c"), F.col(p).alias("_p"), F.least(F.lit(1.0), "_q", "_after").alias(out))
+    return tests.join(done, F.col(cluster).eqNullSafe(F.col("_c")) & F.col(p).eqNullSafe(F.col("_p"))).drop("_c", "_p")
 
 
 def two_sided_p(z: Column) -> Column:

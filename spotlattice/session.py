@@ -49,6 +49,13 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, *keys)
 
 
+def dealt(df: DataFrame, *keys: str | Column) -> DataFrame:
+    """Rows dealt by keys into as many tasks as the session shuffles into, four a core at least. Left to itself Spark merges small shuffles
+    until a task has 64 compressed MB, which sorts and hash tables of narrow rows make more than a GB of."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism), *keys)
+
+
 class Scratch:
     """Tables of an iteration, as Parquet in the shared folder: unlike checkpoints they carry no facts about
     their columns from round to round (plans of many rounds grow by them), and they can be deleted."""

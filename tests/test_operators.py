@@ -243,3 +243,29 @@ def test_column_functions(spark):
     assert [r.c for r in df.orderBy(*cluster_order(F.col("c"))).collect() if r.c] == ["9", "10", "a", "b"]
     got = df.select(starts_with_any(F.col("c"), ("A", "1")).alias("s"), share(F.lit(1), F.lit(0)).alias("n"), share(F.lit(1), F.lit(0), 0.5).alias("h")).collect()
     assert [r.s for r in got] == [True, False, False, True, False] and got[0].n is None and got[0].h == 0.5
+
+
+def test_adjusted_p_of_ties_nulls_and_clusters(spark):
+    from spotlattice.operators import expression
+
+    rng = np.random.default_rng(5)
+    rows = [(c, g, None if c == 2 or (c == 1 and g % 50 == 0) else float(round(p, 2))) for c in (0, 1, 2, None) for g, p in enumerate(rng.random(300) ** 2)]
+    got = expression.adjust(spark.createDataFrame(rows, "cluster int, gene int, p double"), "p")
+    assert not [x for x in got._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Window" in x and "gene" in x]  # no window holds a cluster's genes
+    expected = {}
+    for c in (0, 1, 2, None):
+        own = sorted((x for x in rows if x[0] == c), key=lambda x: (x[2] is not None, x[2] or 0.0, x[1]))
+        m, low = sum(x[2] is not None for x in own), 1.0
+        for k in range(len(own), 0, -1):
+            low = low if own[k - 1][2] is None else min(low, own[k - 1][2] * m / k)
+            expected[own[k - 1][:2]] = low
+    assert {(x.cluster, x.gene): x.p_adj for x in got.collect()} == expected
+
+
+def test_markers_are_ranked_in_tasks_that_are_not_merged(spark):
+    from spotlattice.operators import expression
+
+    values = spark.createDataFrame([(c, g, float(1 + (c * g) % 3)) for c in range(8) for g in range(5)], "cell int, gene int, value double")
+    clusters = spark.createDataFrame([(c, c % 2) for c in range(8)], "cell int, cluster int")
+    plan = expression.wilcoxon(values, clusters)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") >= 2
