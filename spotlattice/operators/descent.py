@@ -42,7 +42,7 @@ def _compared(batches):
 
     for b in batches:
         g, a, fresh, most = (c.to_pylist() for c in b.columns[:4])
-        v = np.asarray(b.column(4).flatten()).reshape(b.num_rows, -1)
+        v = np.asarray(b.column(4).flatten(), dtype=np.float64).reshape(b.num_rows, -1)
         for r in range(b.num_rows):
             if g[r] != now:
                 close()
@@ -78,7 +78,9 @@ def descend(
     """
     spark = ship(vectors.sparkSession)
     kept = Scratch(spark, "descent")
-    each = F.transform(vector, lambda x: x.cast("double"))
+    # floats stay as short as they are until they are compared, as doubles
+    short = metric == "euclidean" and vectors.schema[vector].dataType.simpleString() == "array<float>"
+    each = F.col(vector) if short else F.transform(vector, lambda x: x.cast("double"))
     finite = F.forall("v", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
     rows = vectors.select(F.col(key).cast("long").alias("a"), each.alias("v")).filter(F.col("v").isNotNull() & (F.size("v") > 0)).filter(finite)
     if metric == "cosine":
@@ -95,7 +97,7 @@ def descend(
     thrown = F.pmod(F.xxhash64("a", "t", F.lit(seed)), F.lit(max(1, n // (k + k // 2 + 2))))
     start = rows.withColumn("t", F.explode(F.array(F.lit(0), F.lit(1))))
     start = start.select(F.concat_ws(":", "t", thrown).alias("g"), "a", F.lit(True).alias("fresh"), F.lit(float("inf")).alias("most"), "v")
-    lists = kept.put(best(_grouped(start).distinct()).withColumn("fresh", F.lit(True)))
+    lists = kept.put(best(_grouped(start).repartition("a").distinct()).withColumn("fresh", F.lit(True)))
     for r in range(rounds):
         kth = lists.groupBy("a").agg(F.max("distance").alias("far"), F.count(F.lit(1)).alias("m"))
         kth = kth.select("a", F.when(F.col("m") < k, F.lit(float("inf"))).otherwise(F.col("far")).alias("most"))
@@ -105,11 +107,15 @@ def descend(
         order = Window.partitionBy("g", "way").orderBy(F.desc("fresh"), F.xxhash64("g", "a", F.lit(seed + r)))
         taken = both.withColumn("p", F.row_number().over(order)).filter(F.col("p") <= width).groupBy("g", "a").agg(F.max("fresh").alias("fresh"))
         taken = kept.put(taken)
-        found = _grouped(taken.join(rows.join(kth, "a", "left").fillna({"most": float("inf")}), "a")).distinct()
+        # where nobody is new nobody is compared: only the other groups fetch vectors
+        news = taken.groupBy("g").agg(F.count_if("fresh").alias("news")).filter("news > 0").select("g")
+        met = taken.join(news, "g", "left_semi")
+        found = _grouped(met.join(rows.join(kth, "a", "left").fillna({"most": float("inf")}), "a"))
         asked = taken.filter("fresh").select(F.col("g").alias("a"), F.col("a").alias("b")).withColumn("met", F.lit(True))
         old = lists.join(asked, ["a", "b"], "left").select("a", "b", "distance", (F.col("fresh") & F.col("met").isNull()).alias("fresh"), F.lit(True).alias("had"))
         merged = old.unionByName(found.select("*", F.lit(True).alias("fresh"), F.lit(False).alias("had")))
-        merged = merged.groupBy("a", "b").agg(F.min("distance").alias("distance"), F.max("had").alias("had"), F.min("fresh").alias("fresh"))
+        # dealt by a once, which is what the sums of repeated pairs and the ranks both need
+        merged = merged.repartition("a").groupBy("a", "b").agg(F.min("distance").alias("distance"), F.max("had").alias("had"), F.min("fresh").alias("fresh"))
         lists, seen = kept.put_seen(best(merged), F.count_if(~F.col("had")).alias("new"))
         if seen["new"] < settle * n * k:
             break

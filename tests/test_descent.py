@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from spotlattice.operators import descent
 
@@ -38,3 +39,22 @@ def test_few_and_odd_vectors(spark):
     assert descent.descend(df.filter("id = 1"), 5).collect() == []
     same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(200)], "id long, v array<double>")
     assert {g.distance for g in descent.descend(same, 4, rounds=2).collect()} == {0.0}
+
+
+def test_only_groups_with_news_fetch_vectors_and_floats_stay_short(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 6)).astype(np.float32)
+    vectors = spark.createDataFrame([(i, [float(y) for y in v]) for i, v in enumerate(x)], "id long, v array<float>")
+    seen, plain = [], descent._grouped
+
+    def grouped(rows):
+        still = rows.groupBy("g").agg(F.count_if("fresh").alias("n")).filter("n = 0").count()
+        seen.append((rows.schema["v"].dataType.simpleString(), still))
+        return plain(rows)
+
+    monkeypatch.setattr(descent, "_grouped", grouped)
+    short = descent.descend(vectors, 6, width=6, settle=0.0, rounds=5).collect()
+    assert len(seen) > 2 and set(seen) == {("array<float>", 0)}
+    monkeypatch.undo()
+    long_ = descent.descend(vectors.select("id", F.col("v").cast("array<double>").alias("v")), 6, width=6, settle=0.0, rounds=5).collect()
+    assert sorted(short) == sorted(long_)
