@@ -8,6 +8,7 @@ goes in. Thresholds for the decision are set by language on all labelled rows th
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -218,7 +219,7 @@ def calibrate(model: Model, counts: pd.DataFrame, least: int = 20) -> Model:
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", positives: int = 2000, negatives: int = 3000, most_bytes: int = 64_000_000, seed: int = 7) -> Model:
     """``labels``: id and toxic (0 or 1; null counts as no label, and 1 wins if an id has both).
 
-    A bounded sample is collected: up to ``positives`` and ``negatives`` ids of the two labels, in
+    A bounded sample trains it, in one task: up to ``positives`` and ``negatives`` ids of the two labels, in
     the order of a hash of the id, and then the texts of these ids alone, one a row id (of rows that
     repeat an id, the smallest by hash of the text), in the order of the hash until they come to
     ``most_bytes``; a text of more than a 64th of that is left to the thresholds. Four in five of them train the model, weighed as the labels of all ids are mixed.
@@ -233,19 +234,28 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     found = docs.select(F.col(id_col).alias("_id"), text).join(sample, "_id")
     once = found.filter(F.length("text") <= most_bytes // 64).groupBy("_id", "k", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("s")).select("_id", "k", "toxic", "s.text")
     size = F.sum(F.length("text").cast("long")).over(Window.orderBy("k", "_id"))  # positives + negatives rows at most
-    got = once.withColumn("_upto", size).filter(F.col("_upto") <= most_bytes).drop("_upto").toPandas().sort_values(["k", "_id"], kind="stable")
-    texts, y = [bytes(t) for t in got["text"]], got["toxic"].to_numpy(dtype=np.int64)
-    aside = (got["k"].to_numpy(dtype=np.int64) // 64 % 5) == 0
     share = marks.agg(F.avg("toxic")).first()[0]
-    model = fit([t for t, a in zip(texts, aside, strict=True) if not a], y[~aside], seed=seed, share=share)
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def train(frames):
+        got = pd.concat([f for f in frames if len(f)] or [pd.DataFrame(columns=["_id", "k", "toxic", "text"])]).sort_values(["k", "_id"], kind="stable")
+        y = got["toxic"].to_numpy(dtype=np.int64)
+        aside = (got["k"].to_numpy(dtype=np.int64) // 64 % 5) == 0
+        model = fit([bytes(t) for t, a in zip(got["text"], aside, strict=True) if not a], y[~aside], seed=seed, share=share)
+        yield pd.DataFrame({"model": [pickle.dumps(model)], "trained": [got["_id"][~aside].tolist()]})
+
+    # in a task, so that the driver holds the model alone; the sample is one partition as it is
+    ship(docs.sparkSession)
+    sampled = once.withColumn("_upto", size).filter(F.col("_upto") <= most_bytes).drop("_upto").coalesce(1)
+    told = sampled.mapInPandas(train, f"model binary, trained array<{kind}>").first()
+    model = pickle.loads(told.model) if told else fit([], np.zeros(0), seed=seed, share=share)
     if share is None:
         return model
 
     # texts stay where they are: scores are joined with the labels
     scored = score(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")), model, column="_s").select("_id", "lang", "_s")
     place = F.size(F.filter(F.array(*[F.lit(float(t)) for t in TRIED]), lambda t: t <= F.col("_s")))
-    trained = got["_id"][~aside]
-    used = docs.sparkSession.createDataFrame(pd.DataFrame({"_id": trained, "used": True}), f"_id {docs.schema[id_col].dataType.simpleString()}, used boolean")
+    used = docs.sparkSession.createDataFrame([(i, True) for i in told.trained] if told else [], f"_id {kind}, used boolean")
     marked = scored.join(marks.select(F.col(id_col).alias("_id"), "toxic"), "_id").join(F.broadcast(used), "_id", "left")
     counts = marked.groupBy("lang", "toxic", F.when(F.col("used").isNull(), place).alias("place")).agg(F.count(F.lit(1)).alias("n"))
     return calibrate(model, counts.toPandas())  # two labels and 62 places a language

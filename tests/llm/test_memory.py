@@ -25,3 +25,15 @@ def test_a_worker_lets_go_of_encoders():
     tokens.forget()
     assert tokens.encoder.cache_info().currsize == 0
     tokens.forget()
+
+
+def test_the_driver_does_not_train(spark, monkeypatch):
+    def here(*_):
+        raise AssertionError("trained in the driver")
+
+    docs = spark.createDataFrame([(i, f"w{i % 9} {'bad' if i % 2 else 'good'} words", "en") for i in range(60)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "_start", here)
+    model = toxicity.learn(docs, labels)
+    bad, good = model.scores([b"bad words", b"good words"])
+    assert bad > good
