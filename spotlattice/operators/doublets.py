@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from . import expression, sparse_pca
-from .neighbours import nearest
+from .neighbours import nearest_tally
 
 BINS = 256
 
@@ -71,18 +71,21 @@ def doublet_calls(
     it has no two heights the threshold is None and nothing is called. Fewer than ``least`` cells say
     nothing about a valley and are not scored: null, not called.
     """
-    matrix = matrix.filter(F.col(n) > 0)
-    cells = cut(matrix.select(cell).distinct())
+    matrix = cut(matrix.filter(F.col(n) > 0).select(cell, gene, n))
+    totals = cut(matrix.groupBy(cell).agg(F.sum(n).alias(n)))
+    cells = totals.select(cell)
     count = cells.count()
     if count < max(3, least):
         return cells.select(cell, F.lit(None).cast("double").alias("doublet_score"), F.lit(False).alias("doublet_call")), None
     pairs = cut(cell_pairs(cells, count, ratio, seed, cell))
     m = pairs.count()
-    every = cut(matrix.select(cell, gene, n).unionByName(simulated(matrix, pairs, cell, gene, n)))
-    values = cut(expression.log_normalise(every, cell=cell, n=n))
-    real = values.filter(F.col(cell) >= 0)
+    real = cut(expression.log_normalise(matrix, cell=cell, n=n))
     top = cut(expression.stabilised_genes(real, count, n_genes, cell=cell, gene=gene))
-    scaled, zeros = expression.scale(expression.gene_subset(values, top, gene), top.select(gene, "mean", "var"), 10.0, gene)
+    # of a pair only the listed genes are looked at: its total is that of its cells
+    made = simulated(expression.gene_subset(matrix, top, gene), pairs, cell, gene, n)
+    both = pairs.select(F.col("id"), F.explode(F.array("left", "right")).alias(cell)).join(totals, cell).groupBy(F.col("id").alias(cell)).agg(F.sum(n).alias(n))
+    values = expression.gene_subset(real, top, gene).unionByName(expression.log_normalise(made, cell=cell, n=n, totals=both))
+    scaled, zeros = expression.scale(values, top.select(gene, "mean", "var"), 10.0, gene)
     places = cut(sparse_pca.gene_places(top, gene))
     genes = places.count()
     listed = cells.unionByName(pairs.select(F.col("id").alias(cell)))
@@ -91,8 +94,8 @@ def doublet_calls(
     scores = cut(sparse_pca.sparse_scores(rows, mean, comp, cell))
     r = m / count
     around = round((k or max(1, round(0.5 * math.sqrt(count)))) * (1 + r))
-    near = nearest(scores, around, key=cell, vector="pc")
-    share = near.groupBy("a").agg(((F.count_if(F.col("b") < 0) + 1.0) / (F.count(F.lit(1)) + 2.0)).alias("q"))
+    near = nearest_tally(scores, around, F.col("b") < 0, key=cell, vector="pc")
+    share = near.select("a", ((F.col("chosen") + 1.0) / (F.col("n") + 2.0)).alias("q"))
     score = F.col("q") * rate / r / ((1 - rate) - F.col("q") * (1 - rate - rate / r))
     scored = cut(share.select(F.col("a").alias(cell), score.alias("doublet_score")))
     made = scored.filter(F.col(cell) < 0)

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from ..session import cut, dealt, ship
 
 
-def log_normalise(matrix: DataFrame, target: float = 1e4, cell: str = "cell", n: str = "n", out: str = "value") -> DataFrame:
-    """ln(1 + n * target / total of the cell)."""
+def log_normalise(matrix: DataFrame, target: float = 1e4, cell: str = "cell", n: str = "n", out: str = "value", totals: DataFrame | None = None) -> DataFrame:
+    """ln(1 + n * target / total of the cell). ``totals`` (cell, n): where ``matrix`` does not hold all of a cell's counts."""
     matrix = dealt(matrix, cell)
-    totals = matrix.groupBy(cell).agg(F.sum(n).cast("double").alias("_t"))
+    totals = (matrix.groupBy(cell).agg(F.sum(n).alias(n)) if totals is None else totals).select(cell, F.col(n).cast("double").alias("_t"))
     return matrix.join(totals, cell).withColumn(out, F.log1p(F.try_divide(F.col(n) * F.lit(float(target)), F.col("_t")))).drop("_t", n)
 
 
