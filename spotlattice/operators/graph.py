@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 from ..session import cut, ship
 
 
-def _contracted(edges: DataFrame, most: int = 200_000) -> DataFrame:
+#: Edges that a task joins up at a time.
+MOST = 200_000
+
+
+def _contracted(edges: DataFrame, most: int) -> DataFrame:
     """Each run of ``most`` edges of a task as stars: every node with the smallest node that the run joins it to."""
     kind = edges.schema["a"].dataType.simpleString()
 
@@ -53,15 +57,18 @@ def _is_stars(edges: DataFrame) -> bool:
     return ends.groupBy("v").agg(F.sum("low").alias("low"), F.max("high").alias("high")).filter("low > 1 or (low > 0 and high > 0)").isEmpty()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, most: int = MOST) -> DataFrame:
     """``edges``: a, b of one orderable type. Returns (a, b): each node but the smallest of its component, with that smallest.
 
-    Tasks join up what they can see first. A round then hangs the larger neighbours of a node on its
+    Tasks join up what they can see first, ``most`` edges at a time. Where no more than that are left one task
+    ends it: rounds are some four jobs each, however few the edges, and each leaves its mark on the driver. Otherwise a round hangs the larger neighbours of a node on its
     smallest one, then the smaller ones, until only stars are left; rounds grow with the logarithm
     of the longest path. Minima are aggregated before a shuffle, and no node's neighbours are ever
     collected. Loops and repeats do no harm.
     """
-    now = cut(_contracted(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b")).distinct())
+    now = cut(_contracted(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b"), most).distinct())
+    if now.count() <= most:
+        return cut(_contracted(now.coalesce(1), most))
     while not _is_stars(now):
         both = now.union(now.select("b", "a"))
         # minima are cut, so that the join has an exchange on either side and Spark can split a hub's partition

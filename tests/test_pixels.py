@@ -55,6 +55,22 @@ def test_components_and_small_objects(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_few_edges_are_joined_up_in_few_jobs(spark):
+    """A path and a tree over many tasks: one bounded task ends what rounds of jobs would, with the same rows."""
+    edges = [(i, i + 1) for i in range(300)] + [(1000 + i, 1000 + i // 2) for i in range(1, 200)] + [(5000, 5000), (301, 3), (3, 301)]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(16).cache()
+    df.count()
+    sc, seen = spark.sparkContext, {}
+    for most in (600, 200, 1):
+        sc.setJobGroup(f"components {most}", "")
+        seen[most] = sorted(map(tuple, graph.components(df, most).collect()))
+        seen[f"jobs {most}"] = len(sc.statusTracker().getJobIdsForGroup(f"components {most}"))
+    sc.setJobGroup("", "")
+    assert seen[600] == [(i, 0) for i in range(1, 302)] + [(1000 + i, 1000) for i in range(1, 200)]
+    assert seen[600] == seen[200] == seen[1]
+    assert seen["jobs 600"] <= 6 < seen["jobs 1"], {k: v for k, v in seen.items() if isinstance(k, str)}
+
+
 def test_morphology_and_holes(spark):
     a = np.zeros((20, 22), int)
     a[3:15, 4:18] = 1
