@@ -114,8 +114,8 @@ dev AS (SELECT metric, quantile_cont(abs(x - median), 0.5) AS d FROM long JOIN q
 mad AS (SELECT metric, median, CASE WHEN d > 0 THEN 1.4826 * d WHEN q75 > q25 THEN (q75 - q25) / 1.349 ELSE 1.0 END AS mad FROM q JOIN dev USING (metric))"""
 
 
-def _metrics(spark, d):
-    return matrix.qc_metrics(cell_matrix(spark, d), genes(spark, d), ("brand#1",), ("Brand#2", "Brand#5"), name="brand")
+def _metrics(spark, d, summed=None):
+    return matrix.qc_metrics(cell_matrix(spark, d) if summed is None else summed, genes(spark, d), ("brand#1",), ("Brand#2", "Brand#5"), name="brand")
 
 
 @query(f"WITH {QC_SQL} SELECT cell, n_umi, n_genes, round(pct_mito, 6) AS pct_mito, round(pct_ribo, 6) AS pct_ribo, round(top5_frac, 6) AS top5_frac FROM qc")

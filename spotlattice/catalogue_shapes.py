@@ -148,8 +148,9 @@ def doublets_on_counts(spark, d):
 @query()
 def qc_called(spark, d):
     """Cells that pass quality control and are not called doublets from their counts."""
-    calls, _ = doublets.doublet_calls(cell_matrix(spark, d), n_genes=500)
-    kept = matrix.qc_keep(_metrics(spark, d), min_genes=0, min_umis=0, max_mito=0.0)
+    summed = cut(cell_matrix(spark, d))  # read by both
+    calls, _ = doublets.doublet_calls(summed, n_genes=500)
+    kept = matrix.qc_keep(_metrics(spark, d, summed), min_genes=0, min_umis=0, max_mito=0.0)
     return matrix.final_keep(kept, calls).select("cell", "n_umi", "n_genes")
 
 

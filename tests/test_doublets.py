@@ -3,7 +3,8 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from spotlattice.operators import doublets, neighbours
+from spotlattice import catalogue, catalogue_shapes
+from spotlattice.operators import doublets, matrix, neighbours
 
 
 def test_planted_doublets_are_found(spark):
@@ -67,3 +68,13 @@ def test_neighbours_are_counted_without_being_listed(spark, monkeypatch):
     monkeypatch.setattr(doublets, "simulated", lambda m, *rest: wide.append(m.select("gene").distinct().count()) or own(m, *rest))
     assert doublets.doublet_calls(counts, n_pcs=3, n_genes=5)[0].count() == 40 and wide == [5]  # pairs over the listed genes alone
     assert neighbours.doublet_scores(df.filter("id >= 0"), k=5).count() == 151
+
+
+def test_qc_called_sums_the_counts_once(spark, monkeypatch):
+    d = "/root/testdata/sf0.001"
+    kept = matrix.qc_keep(catalogue._metrics(spark, d), min_genes=0, min_umis=0, max_mito=0.0).filter("qc_keep")
+    want = sorted(map(tuple, kept.select("cell", "n_umi", "n_genes").collect()))  # too few cells for calls
+    summed = []
+    for m in (catalogue, catalogue_shapes):
+        monkeypatch.setattr(m, "cell_matrix", lambda *a, own=m.cell_matrix: summed.append(a) or own(*a))
+    assert sorted(map(tuple, catalogue_shapes.qc_called(spark, d).collect())) == want and want and len(summed) == 1
