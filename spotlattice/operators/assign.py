@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
+from ..session import cut, spread
 from . import geometry as g
 
 
@@ -56,28 +56,33 @@ def assign_dilated(spots: DataFrame, regions: DataFrame, radius: float, spot: st
 
     A spot is in a grown region if it lies within ``radius`` of it and no other centroid is nearer
     than its own (the smaller id of equals, distances taken to 9 decimals: those of regions about one
-    point differ by rounding). Candidates for the nearest centroid are sought in the
-    reach of any region that could claim the spot.
+    point differ by rounding). So only the nearest centroid is asked for its outline. The nearest centroid of a box that,
+    grown by ``radius``, holds the spot bounds how far the nearest of all can be. Equal outlines have one
+    centroid, and the smallest id of them speaks for all.
     """
     r = min(radius, pad_cap)
+    own = regions.groupBy("edges").agg(F.min(cell).alias(cell))
     cx, cy = g.centroid(F.col("edges"))
-    centred = regions.withColumn("_cx", cx).withColumn("_cy", cy)
+    centred = cut(own.select(cell, "edges", cx.alias("_cx"), cy.alias("_cy"), *g.bounds(F.col("edges"))))  # read three times
+    centred = centred.filter("_cx is not null and _cy is not null")  # here, or Spark works centroids out before it groups
     x, y, edges = F.col("x"), F.col("y"), F.col("edges")
-    gap = F.when(g.covers(x, y, edges), F.lit(0.0)).otherwise(g.edge_distance(x, y, edges))
     away = F.sqrt((x - F.col("_cx")) ** 2 + (y - F.col("_cy")) ** 2)
-    claims = grid_join(spots, centred, size, r).select(spot, "x", "y", cell, gap.alias("_gap"), away.alias("_away")).filter(F.col("_gap") <= r)
-    # any centroid nearer than the claimed one cuts it off: its own claim need not exist
-    reach = centred.select(F.col(cell).alias("_other"), "_cx", "_cy", F.lit(1).alias("_one"))
-    mine = F.collect_list(F.struct(F.col(cell), F.round("_gap", 6).alias("distance")))  # regions that overlap at one spot
-    far = claims.groupBy(spot).agg(F.min("x").alias("x"), F.min("y").alias("y"), F.min(F.struct("_away", cell)).alias("_best"), mine.alias("_claims"))
-    box = F.col("_best._away") + 1e-6
+    at = spots.select(F.col(spot), "x", "y", _cell(x, size).alias("_gx"), _cell(y, size).alias("_gy"))
+    dealt = centred.select("_cx", "_cy", "x_lo", "x_hi", "y_lo", "y_hi")
+    for a in "xy":
+        dealt = dealt.withColumn(f"_g{a}", F.explode(F.sequence(_cell(F.col(f"{a}_lo") - r, size), _cell(F.col(f"{a}_hi") + r, size))))
+    held = x.between(F.col("x_lo") - r, F.col("x_hi") + r) & y.between(F.col("y_lo") - r, F.col("y_hi") + r)
+    near = at.join(dealt, ["_gx", "_gy"]).filter(held).groupBy(spot).agg(F.min("x").alias("x"), F.min("y").alias("y"), F.min(away).alias("_best"))
+    near = spread(near, spot)  # all that follows is work on these rows
+    box = F.col("_best") + 1e-6
     cells = [F.explode(F.sequence(_cell(F.col(a) - box, size), _cell(F.col(a) + box, size))) for a in "xy"]
-    sought = far.withColumn("_gx", cells[0]).withColumn("_gy", cells[1])
-    placed = reach.withColumn("_gx", _cell(F.col("_cx"), size)).withColumn("_gy", _cell(F.col("_cy"), size))
-    d = F.sqrt((x - F.col("_cx")) ** 2 + (y - F.col("_cy")) ** 2)
-    nearest = sought.join(placed, ["_gx", "_gy"]).groupBy(spot).agg(F.min(F.struct(F.round(d, 9).alias("_away"), F.col("_other").alias(cell))).alias("_near"), F.any_value("_claims").alias("_claims"))
-    own = F.filter("_claims", lambda c: c[cell] == F.col(f"_near.{cell}"))
-    return nearest.select(spot, F.inline(own))
+    sought = near.withColumn("_gx", cells[0]).withColumn("_gy", cells[1]).drop("_best")
+    placed = centred.select(cell, "_cx", "_cy", _cell(F.col("_cx"), size).alias("_gx"), _cell(F.col("_cy"), size).alias("_gy"))
+    first = F.min(F.struct(F.round(away, 9).alias("_away"), F.col(cell))).alias("_near")
+    nearest = sought.join(placed, ["_gx", "_gy"]).groupBy(spot).agg(F.min("x").alias("x"), F.min("y").alias("y"), first)
+    asked = nearest.select(spot, "x", "y", F.col(f"_near.{cell}").alias(cell)).join(centred.select(cell, "edges"), cell)
+    gap = F.when(g.covers(x, y, edges), F.lit(0.0)).otherwise(g.edge_distance(x, y, edges))
+    return asked.select(spot, cell, gap.alias("_gap")).filter(F.col("_gap") <= r).select(spot, cell, F.round("_gap", 6).alias("distance"))
 
 
 def dilate_stars(regions: DataFrame, radius: float, cell: str = "cell_id", size: float = 16.0, rays: int = 64) -> DataFrame:
