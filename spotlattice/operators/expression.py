@@ -6,6 +6,8 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -140,19 +142,118 @@ def local_trend(x: np.ndarray, y: np.ndarray, span: float = 0.3, knots: int = 40
     return np.interp(x, at, fitted)
 
 
+def _columns(batches) -> list[np.ndarray]:
+    """What a task is given: x, y of its points in order, and how many rows each stands for."""
+    got = [[np.asarray(c) for c in b.columns] for b in batches]
+    mean, var, n = (np.concatenate([g[i] for g in got] or [np.zeros(0)]) for i in range(3))
+    return [np.log10(mean), np.log10(var), n.astype(np.int64)]
+
+
+def _lines(points: DataFrame, body) -> dict[int, np.ndarray]:
+    """``body`` (part, x, y, n) to an array of doubles, once a part of ``points``; by part. What comes to the driver is one array a part."""
+
+    def run(batches):
+        part = TaskContext.get().partitionId()
+        told = np.asarray(body(part, *_columns(batches)), np.float64)
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "told": pa.array([told.tobytes()], pa.binary())})
+
+    return {r.part: np.frombuffer(r.told) for r in points.mapInArrow(run, "part int, told binary").collect()}
+
+
+def trend_knots(stats: DataFrame, span: float = 0.3, knots: int = 400, fan: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """Knots and fitted values of ``local_trend`` over log10 of ``mean`` and ``var`` (both above 0) of all rows, which stay distributed.
+
+    Points are put in order by ranges of their mean, so values are found by their rank. The window of a
+    knot is sought by rank, ``fan`` places a round for all knots at once; a fit needs no more of a task than
+    the triangle (QR) of its points in the window. The driver holds some numbers for each knot and part.
+    """
+    spark = ship(stats.sparkSession)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    each = stats.groupBy("mean", "var").agg(F.count(F.lit(1)).alias("n"))
+    points = cut(each.repartitionByRange(parts, "mean", "var").sortWithinPartitions("mean", "var").select("mean", "var", "n"))
+    held = _lines(points, lambda part, x, y, n: [n.sum()])
+    starts = {part: int(sum(held[q][0] for q in held if q < part)) for part in held}
+    rows = int(sum(h[0] for h in held.values()))
+
+    def at_rank(ranks: np.ndarray) -> np.ndarray:
+        wanted = np.unique(ranks)
+        shared = spark.sparkContext.broadcast((wanted, starts))
+
+        def own(part, x, y, n):
+            want, begin = shared.value
+            upto = begin[part] + np.cumsum(n)
+            here = want[np.searchsorted(want, begin[part]) : np.searchsorted(want, upto[-1])] if len(n) else want[:0]
+            return x[np.searchsorted(upto, here, side="right")]
+
+        told = _lines(points, own)
+        return np.concatenate([told[q] for q in sorted(told)])[np.searchsorted(wanted, ranks)]
+
+    place = np.linspace(0, 1, min(knots, rows)) * (rows - 1)
+    low = np.floor(place).astype(np.int64)
+    a, b = at_rank(np.stack([low, np.minimum(low + 1, rows - 1)]))
+    t = place - low
+    at = np.unique(np.where(t >= 0.5, b - (b - a) * (1 - t), a + (b - a) * t))
+    # of the windows of k points the first that reaches as far up as down; far is the reach of the best
+    k = min(rows, max(4, int(np.ceil(span * rows))))
+    lo, hi = np.zeros(len(at), np.int64), np.full(len(at), rows - k)
+    while (lo < hi).any():
+        tried = lo[:, None] + (hi - lo)[:, None] * np.arange(fan) // fan
+        down, up = at_rank(np.stack([tried, tried + k - 1]))
+        enough = up - at[:, None] >= at[:, None] - down
+        first = np.where(enough.any(1), enough.argmax(1), fan)  # enough at this place, not at the one before
+        ends = np.concatenate([tried, hi[:, None]], 1)
+        lo, hi = np.where(first > 0, np.take_along_axis(ends, np.maximum(first - 1, 0)[:, None], 1)[:, 0] + 1, lo), np.take_along_axis(ends, first[:, None], 1)[:, 0]
+        lo = np.minimum(lo, hi)
+    before = np.maximum(lo - 1, 0)
+    down, up, down_before, up_before = at_rank(np.stack([lo, lo + k - 1, before, before + k - 1]))
+    far = np.minimum(np.maximum(at - down, up - at), np.maximum(at - down_before, up_before - at))
+    windows = spark.sparkContext.broadcast((at, far))
+
+    def triangles(part, x, y, n):
+        out = np.zeros((len(windows.value[0]), 4, 4))
+        for i, (c, reach) in enumerate(zip(*windows.value, strict=True)):
+            s = slice(np.searchsorted(x, c - reach), np.searchsorted(x, c + reach, side="right"))
+            px = x[s] - c
+            w = np.sqrt(((1 - np.minimum(np.abs(px) / (reach or 1.0), 1) ** 3) ** 3 + 1e-12) * n[s])
+            r = np.linalg.qr(np.stack([w, px * w, px * px * w, y[s] * w], 1), mode="r")
+            out[i, : len(r)] = r
+        return out.ravel()
+
+    told = _lines(points, triangles)
+    whole = np.stack([told[q].reshape(-1, 4, 4) for q in sorted(told)], 1).reshape(len(at), -1, 4)
+    return at, np.array([np.linalg.lstsq(m[:, :3], m[:, 3], rcond=None)[0][0] for m in whole])
+
+
+def expected_sd(stats: DataFrame, span: float = 0.3, gene: str = "gene", most: int = 50_000) -> DataFrame:
+    """gene, sd: the deviation that the trend of log10 variance on log10 mean expects, of rows (gene, mean, var) with both above 0.
+
+    Up to ``most`` rows come to the driver, more stay distributed.
+    """
+    spark = ship(stats.sparkSession)
+    schema = f"{gene} {stats.schema[gene].dataType.simpleString()}, sd double"
+    if stats.limit(most + 1).count() <= most:
+        fit = stats.select(gene, "mean", "var").toPandas()
+        sd = np.sqrt(10 ** local_trend(np.log10(fit["mean"].to_numpy()), np.log10(fit["var"].to_numpy()), span)) if len(fit) else np.zeros(0)
+        return spark.createDataFrame(pd.DataFrame({gene: fit[gene], "sd": sd}), schema)
+    shared = spark.sparkContext.broadcast(trend_knots(stats, span))
+
+    def run(batches):
+        for b in batches:
+            sd = np.sqrt(10 ** np.interp(np.log10(np.asarray(b.column(1))), *shared.value))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sd)], names=[gene, "sd"])
+
+    return stats.select(gene, "mean").mapInArrow(run, schema)
+
+
 def stabilised_genes(values: DataFrame, n_cells: int, n_top: int, span: float = 0.3, cell: str = "cell", gene: str = "gene", value: str = "value") -> DataFrame:
     """gene, mean, var, norm_var, place: the ``n_top`` genes with the largest variance of standardised, clipped values.
 
     The variance expected of a mean is a local quadratic trend of log10 variance on log10 mean (Stuart
     et al., 2019). Values are standardised by mean and expected deviation and clipped at the root of
-    the number of cells. One row a gene comes to the driver for the trend, values never do; genes
-    without variance have 0.
+    the number of cells. Genes without variance have 0.
     """
     stats = cut(gene_mean_var(values, n_cells, gene, value))
-    fit = stats.filter("var > 0 and mean > 0").toPandas()  # one row a gene
-    sd = np.sqrt(10 ** local_trend(np.log10(fit["mean"].to_numpy()), np.log10(fit["var"].to_numpy()), span)) if len(fit) else np.zeros(0)
-    spark = values.sparkSession
-    expected = spark.createDataFrame(pd.DataFrame({gene: fit[gene], "sd": sd}), f"{gene} {stats.schema[gene].dataType.simpleString()}, sd double")
+    expected = expected_sd(stats.filter("var > 0 and mean > 0"), span, gene)
     top = float(np.sqrt(n_cells))
     per = stats.join(expected, gene).withColumn("z0", F.least(F.lit(top), -F.col("mean") / F.col("sd")))
     z = F.least(F.lit(top), (F.col(value) - F.col("mean")) / F.col("sd"))

@@ -176,6 +176,29 @@ def test_stabilised_genes_match_numpy(spark):
     assert np.allclose(expression.local_trend(x, 1 + 2 * x - x * x), 1 + 2 * x - x * x, atol=1e-3)
 
 
+def test_trend_of_many_genes_stays_distributed(spark, monkeypatch):
+    r = np.random.default_rng(4)
+    mean = 10 ** np.concatenate([r.normal(-1, 0.7, 1500), np.full(400, -1.5), r.choice([0.3, 0.5, 0.9], 300)])
+    var = np.where(r.random(2200) < 0.3, mean, mean * 10 ** r.normal(0, 0.4, 2200))
+    var[1500:1900] = 0.02  # a window of equal points has no reach
+    x, y = np.log10(mean), np.log10(var)
+    stats = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(mean, var, strict=True))], "gene long, mean double, var double").cache()
+    want = {span: np.sqrt(10 ** expression.local_trend(x, y, span)) for span in (0.3, 0.06)}
+    genes = spark.createDataFrame([(c, k, float(1 + (c * k) % (2 + k % 7))) for c in range(30) for k in range(40) if (c + k) % 3], "cell long, gene long, value double")
+    few = [tuple(q) for q in expression.stabilised_genes(genes, 30, 12).collect()]
+
+    def whole(*_):
+        raise AssertionError("a row a gene on the driver")
+
+    monkeypatch.setattr(type(stats), "toPandas", whole)
+    for span, sd in want.items():
+        got = {q.gene: q.sd for q in expression.expected_sd(stats, span, most=100).collect()}
+        near = sorted(abs(got[i] / v - 1) for i, v in enumerate(sd))
+        assert len(got) == 2200 and near[-1] < 1e-6, (span, near[-5:])
+    monkeypatch.setattr(expression.expected_sd, "__defaults__", (0.3, "gene", 10))
+    assert [tuple(q) for q in expression.stabilised_genes(genes, 30, 12).collect()] == few and len(few) == 12
+
+
 def test_predicted_outlines_come_back_on_the_slide(spark):
     px = np.zeros((8, 10))
     px[2:4, 5:9] = 1.0
