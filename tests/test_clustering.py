@@ -195,3 +195,13 @@ def test_weights_equal_a_serial_bisection(spark):
     got = {(x.a, x.b): x.weight for x in found.collect()}
     assert got.keys() == wanted.keys() and all(abs(got[p] - wanted[p]) < 1e-9 for p in got)
     assert neighbours.fuzzy_weights(df.limit(0), 6).collect() == []
+
+
+def test_no_row_a_gene_comes_to_the_driver(spark, monkeypatch):
+    counts = spark.createDataFrame([(c, g, 1 + (c * g) % (2 + g % 5)) for c in range(30) for g in range(300) if (c + g) % 3], "cell long, gene long, n long")
+    sizes, own = [], type(counts).toPandas
+    monkeypatch.setattr(type(counts), "toPandas", lambda df: sizes.append(len(own(df))) or own(df))
+    monkeypatch.setattr(expression.expected_sd, "__defaults__", (0.3, "gene", 50))
+    monkeypatch.setattr(leiden, "leiden", lambda edges, *_, **__: edges.select("a", F.lit(0).alias("cluster")).distinct())
+    got = clustering.clustered(counts, ClusterSettings(n_pcs=3, neighbours=4, variable_genes=12), place=False)
+    assert got.obs.count() == 30 and got.var.count() == 12 and max(sizes) <= 50
